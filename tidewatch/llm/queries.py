@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
+from . import packing, quality_rules, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": quality_rules.query,
+        "op2_packing": packing.query,
+        "op3_token_files": token_files.query,
     }
 
 
