@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality_rules, token_files
+from . import packing, quality_rules, simhash, token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_rules": quality_rules.query,
         "op2_packing": packing.query,
         "op3_token_files": token_files.query,
+        "op4_simhash": simhash.query,
     }
 
 
