@@ -20,6 +20,7 @@ Defined results
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table, written
-from .tokens import PieceEncoder, slices
+from .tokens import encoder_for, slices
 
 WINDOW = 2048
 END_ID = 1
@@ -47,7 +48,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID, spaced: bool
     code = id_code(tokenizer, end_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = PieceEncoder(tokenizer, spaced, code), np.array([end_id], code).tobytes()
+        encoder, end = encoder_for(tokenizer, spaced, code), np.array([end_id], code).tobytes()
         part, at, width = TaskContext.get().partitionId(), 0, len(end)
         for batch in batches:
             for rows in slices(batch, "text"):
@@ -63,6 +64,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID, spaced: bool
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(encode, TOKENS)
 
 
+@lru_cache(maxsize=4)
 def id_code(tokenizer: str, end_id: int) -> str:
     """'H' where 16 bits hold every id, else 'I'."""
     from tokenizers import Tokenizer

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .common import partitions, scratch, table
 from .packing import END_ID, id_code
-from .tokens import PieceEncoder, slices
+from .tokens import encoder_for, slices
 
 SHARD = "shard int, n_docs long, n_tokens long, n_null long"
 READ = "doc_id long, start long, n_tokens long, ids binary"
@@ -76,7 +76,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: in
     fs.create_dir(f"{path}/_temporary", recursive=True)
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = PieceEncoder(tokenizer, spaced, code), np.array([end_id], code).tobytes()
+        encoder, end = encoder_for(tokenizer, spaced, code), np.array([end_id], code).tobytes()
         number, fs, path = TaskContext.get().partitionId(), *opened(folder)
         own = f"{path}/_temporary/{number:06d}-{uuid.uuid4().hex}"
         offsets, names, nulls, out = [0], [], 0, None

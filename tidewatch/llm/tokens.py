@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -121,6 +122,12 @@ class PieceEncoder:
             yield from self.group(group)
 
 
+@lru_cache(maxsize=2)
+def encoder_for(path: str, spaced: bool, code: str) -> PieceEncoder:
+    """This process's encoder: a reused Python worker keeps its vocabulary and its memory of pieces."""
+    return PieceEncoder(path, spaced, code)
+
+
 def grouped(texts: Iterable[str]) -> Iterator[list[str]]:
     """Runs of texts, null as empty, of bounded rows and characters (one long text may exceed the latter)."""
     group: list[str] = []
