@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality_rules, simhash, token_files
+from . import packing, quality_rules, simhash, token_files, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,10 +15,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_packing": packing.query,
         "op3_token_files": token_files.query,
         "op4_simhash": simhash.query,
+        "op5_warc": warc.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": quality_rules.oracle(),
+        "op5_warc": warc.oracle(),
     }
