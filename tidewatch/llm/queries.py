@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality_rules, simhash, token_files, warc
+from . import bpe, packing, quality_rules, simhash, token_files, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_files": token_files.query,
         "op4_simhash": simhash.query,
         "op5_warc": warc.query,
+        "op6_bpe": bpe.query,
     }
 
 
