@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, quality_rules, simhash, token_files, warc
+from . import ann, bpe, packing, quality_rules, simhash, token_files, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_simhash": simhash.query,
         "op5_warc": warc.query,
         "op6_bpe": bpe.query,
+        "op7_ann": ann.query,
     }
 
 
