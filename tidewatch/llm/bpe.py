@@ -39,22 +39,13 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .packing import default_tokenizer
-from .tokens import PieceEncoder, slices
+from .tokens import WORDS, PieceEncoder, byte_letters, slices
 
-#: The byte-level split of text into words, numbers, signs and blanks (fixed value).
-WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pretokens of at most so many bytes are merged at once and may be remembered.
 SHORT = 256
 CODED = "doc_id long, n_tokens long, ids binary, decoded string"
 
 
-def byte_letters() -> dict[str, int]:
-    """The vocabulary's letter for each byte: itself if printable, else the next code point from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(rest)}
-
-
 class MergeList:
     """Vocabulary and merges of a byte-level file of the ``tokenizers`` library."""
 
