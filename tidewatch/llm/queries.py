@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, licenses, packing, quality_rules, secret_scan, simhash, token_files, warc
+from . import ann, bpe, licenses, mil, packing, quality_rules, secret_scan, simhash, token_files, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_bpe": bpe.query,
         "op7_ann": ann.query,
         "op8_licenses": licenses.query,
+        "op9_quality_classifier": mil.query,
         "op10_secrets": secret_scan.query,
     }
 
