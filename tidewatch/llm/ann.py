@@ -38,12 +38,14 @@ from pyspark.sql import functions as F
 from .common import table
 
 NEIGHBOURS = 20
-PROJECTIONS = 64
-HALF = 1.2
+PROJECTIONS = 32
+HALF = 1.0
 #: A vector at distance R passes the threshold with this many standard deviations to spare.
-SPARE = 0.8
+SPARE = 1.6
 #: R doubles from FIRST until it reaches the last step, then grows by it.
-FIRST, STEP = 0.15, 0.15
+FIRST, STEP = 0.2, 0.2
+#: More than twice the rounding error of a 32-bit inner product of unit vectors.
+ROUGH = 1e-4
 BLOCK = 65536
 QUERIES = 512
 SEED = 20240501
@@ -59,6 +61,8 @@ class Block:
         lines = np.random.default_rng(SEED).standard_normal((d + 1, projections))
         self.lines = lines[:d]
         scaled = vectors / greatest
+        #: For ranking candidates; the few that may be among the best are scored exactly.
+        self.rough = scaled.astype(np.float32)
         extra = np.sqrt(np.maximum(0.0, 1.0 - (scaled * scaled).sum(1)))
         values = scaled @ self.lines + extra[:, None] * lines[d]
         order = np.argsort(values, axis=0, kind="stable")
@@ -80,7 +84,8 @@ class Block:
         centre = (query / norm) @ self.lines + self.gap * np.arange(m)
         low = high = None
         count, verified = np.zeros(n, np.int64), np.zeros(n, bool)
-        rows, scores, radius = np.empty(0, np.int64), np.empty(0), FIRST
+        rows, rough, radius = np.empty(0, np.int64), np.empty(0, np.float32), FIRST
+        unit = (query / norm).astype(np.float32)
         while True:
             # Distances between unit vectors are at most 2; wider windows take in all.
             everything = radius > 2.0
@@ -98,14 +103,17 @@ class Block:
             if len(new):
                 verified[new] = True
                 new = new[self.ids[new] != own]
-                rows, scores = np.concatenate([rows, new]), np.concatenate([scores, self._exact(new, query)])
+                rows, rough = np.concatenate([rows, new]), np.concatenate([rough, self.rough[new] @ unit])
             if everything:
                 break
             if len(rows) >= k:
-                kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-                if 2.0 - 2.0 * kth / (norm * self.greatest) <= radius * radius:
+                kth = np.partition(rough, len(rough) - k)[len(rough) - k]
+                if 2.0 - 2.0 * kth <= radius * radius:
                     break
             radius += min(radius, STEP)
+        if len(rows) > k:
+            rows = rows[rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - ROUGH]
+        scores = self._exact(rows, query)
         best = np.lexsort((self.ids[rows], -scores))[:k]
         return self.ids[rows[best]], scores[best]
 
