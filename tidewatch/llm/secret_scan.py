@@ -167,7 +167,8 @@ def redacted(docs: DataFrame, owner: Column | None = None, repository: Column |
     found = written(candidates(docs, base_owner, base_repository), "secret-spans")
     live = ownership(found).filter((F.col("owners") <= MOST_OWNERS) & (F.col("repositories") <= MOST_REPOSITORIES)).select("hash")
     more = found.select("doc_id", F.explode("spans").alias("s")).filter(~F.col("s.kind").isin(*BASE))
-    spans = more.join(live, F.col("s.hash") == F.col("hash"), "left_semi").groupBy("doc_id").agg(F.collect_set("s.hash").alias("_live"))
+    # Stored, so that its true size decides how it meets the texts: few live values need no shuffle of them.
+    spans = written(more.join(live, F.col("s.hash") == F.col("hash"), "left_semi").groupBy("doc_id").agg(F.collect_set("s.hash").alias("_live")), "secret-live")
     names, kinds = docs.columns, docs.schema
     marked = docs.join(spans, "doc_id", "left").select(*[F.col(f"`{c}`") for c in names], "_live")
 
