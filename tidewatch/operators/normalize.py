@@ -17,6 +17,8 @@ def typed_events(raw: DataFrame) -> DataFrame:
     col = F.col
     quad = values.number(col("quad_class"))
     keep = [c for c in raw.columns if c in ("seq",)]
+    # In a projection of its own: a lambda would take "actor1_code" for the column made below, not the raw one.
+    raw = raw.withColumn("relevant", scores.relevant(col("actor1_code"), col("actor2_code"), col("actor1_country"), col("actor2_country")))
     rows = raw.select(
         *keep,
         F.concat(F.lit("gdelt-"), col("global_event_id")).alias("id"),
@@ -42,7 +44,7 @@ def typed_events(raw: DataFrame) -> DataFrame:
         values.number(col("avg_tone")).alias("avg_tone"),
         scores.root_category(col("event_root_code")).alias("category"),
         col("source_url"),
-        scores.relevant(col("actor1_code"), col("actor2_code"), col("actor1_country"), col("actor2_country")).alias("relevant"),
+        "relevant",
     )
     return rows.filter("category is not null and occurred_at is not null and first_seen_at is not null")
 
