@@ -84,3 +84,11 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` less the columns whose names the caller is about to add."""
     taken = {n.lower() for n in names}
     return df.drop(*[c for c in df.columns if c.lower() in taken])
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -99,8 +99,6 @@ def _repeated(words: Column) -> Column:
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the base counts and the ratios that rules speak of."""
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    words = F.filter(F.split(whole, SEPARATORS), lambda w: w != "")
-    lines = F.filter(F.split(whole, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
 
     def of_words(ws: Column) -> Column:
         return F.struct(
@@ -118,16 +116,20 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     def per(n: Column, of: Column) -> Column:
         return F.when(of > 0, n / of).otherwise(F.lit(0.0))
 
-    kept = without(docs, *COUNTS, *METRICS, "base_failed", "kept")
-    out = kept.select(
-        "*",
+    kept = [c for c in without(docs, *COUNTS, *METRICS, "base_failed", "kept").columns]
+    rows = docs.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in kept]).alias("_row"), whole.alias("_text"))
+    text_ = F.col("_text")
+    words = F.filter(F.split(text_, SEPARATORS), lambda w: w != "")
+    lines = F.filter(F.split(text_, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    out = rows.select(
+        "_row",
         let(words, of_words).alias("_w"),
         let(lines, of_lines).alias("_l"),
-        (F.length(whole) - F.length(F.translate(whole, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        F.regexp_count(whole, F.lit(r"\p{Lu}")).alias("_upper"),
+        (F.length(text_) - F.length(F.translate(text_, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+        F.regexp_count(text_, F.lit(r"\p{Lu}")).alias("_upper"),
     )
     return out.select(
-        *[F.col(f"`{c}`") for c in kept.columns],
+        *[F.col(f"_row.`{c}`").alias(c) for c in kept],
         F.col("_w.n_words").alias("n_words"),
         F.col("_w.word_chars").alias("word_chars"),
         "n_symbols",

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import table, unused, written
 from .tokens import slices
 
 #: Base patterns (fixed values): the letters of the first are matched in either case, ASCII only.
@@ -164,13 +164,14 @@ def redacted(docs: DataFrame, owner: Column | None = None, repository: Column |
     """
     base_owner = F.col("source") if owner is None else owner
     base_repository = F.concat_ws("/", F.col("source"), F.coalesce("lang", F.lit(""))) if repository is None else repository
+    mark = unused(docs, "_live")
     found = written(candidates(docs, base_owner, base_repository), "secret-spans")
     live = ownership(found).filter((F.col("owners") <= MOST_OWNERS) & (F.col("repositories") <= MOST_REPOSITORIES)).select("hash")
     more = found.select("doc_id", F.explode("spans").alias("s")).filter(~F.col("s.kind").isin(*BASE))
     # Stored, so that its true size decides how it meets the texts: few live values need no shuffle of them.
-    spans = written(more.join(live, F.col("s.hash") == F.col("hash"), "left_semi").groupBy("doc_id").agg(F.collect_set("s.hash").alias("_live")), "secret-live")
+    spans = written(more.join(live, F.col("s.hash") == F.col("hash"), "left_semi").groupBy("doc_id").agg(F.collect_set("s.hash").alias(mark)), "secret-live")
     names, kinds = docs.columns, docs.schema
-    marked = docs.join(spans, "doc_id", "left").select(*[F.col(f"`{c}`") for c in names], "_live")
+    marked = docs.join(spans, "doc_id", "left").select(*[F.col(f"`{c}`") for c in names], mark)
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -178,7 +179,7 @@ def redacted(docs: DataFrame, owner: Column | None = None, repository: Column |
         at = names.index("text")
         for batch in batches:
             for rows in slices(batch, "text"):
-                texts, held = [], rows["_live"].to_pylist()
+                texts, held = [], rows[mark].to_pylist()
                 for text, live in zip(rows["text"].to_pylist(), held, strict=True):
                     if text:
                         base = base_spans(text)

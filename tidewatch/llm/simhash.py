@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import partitions, table, written
+from .common import partitions, table, unused, written
 from .tokens import slices
 
 SHINGLE = 3
@@ -238,8 +238,9 @@ def classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> Da
 def deduplicated(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """The row with the least doc_id of each class; rows without a doc_id stay."""
     keep = classes(docs, radius, shingle).filter("doc_id = component_id").select("doc_id").distinct()
+    nth = unused(docs, "_nth")
     inside = docs.filter(F.col("doc_id").isNotNull()).join(keep, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
-    first = inside.withColumn("_nth", F.row_number().over(W.partitionBy("doc_id").orderBy("text"))).filter("_nth = 1").drop("_nth")
+    first = inside.withColumn(nth, F.row_number().over(W.partitionBy("doc_id").orderBy("text"))).filter(F.col(nth) == 1).drop(nth)
     return first.union(docs.filter(F.col("doc_id").isNull()))
 
 
