@@ -42,18 +42,34 @@ def shared_root(spark: SparkSession) -> str:
     (local tests) a temporary folder takes its place.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if not root:
-        context = spark.sparkContext
-        root = context.getCheckpointDir()
-        if not root:
+        if not context.getCheckpointDir():
             context.setCheckpointDir(tempfile.mkdtemp(prefix="tidewatch-"))
-            root = context.getCheckpointDir()
-    return root.rstrip("/")
+        root = context.getCheckpointDir()
+    # With its scheme, so that Python's file systems mean the same store as Spark does.
+    path = context._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(context._jsc.hadoopConfiguration())
+    return fs.makeQualified(path).toUri().toString().rstrip("/")
+
+
+_SCRATCH: list[str] = []
 
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Removes what operators of this process wrote to the shared folder; results read from there end with it."""
+    context, n = spark.sparkContext, 0
+    while _SCRATCH:
+        path = context._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True))
+    return n
 
 
 def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:

@@ -53,7 +53,9 @@ def default_tokenizer() -> str:
 
 def opened(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a Hadoop-style URI or a plain path."""
-    return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+    if "://" not in uri:  # Hadoop writes file:/path, with one slash
+        uri = "file://" + uri.removeprefix("file:")
+    return pafs.FileSystem.from_uri(uri)
 
 
 def place(fs: pafs.FileSystem, temporary: str, final: str) -> None:
