@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as C
 from ..functions import scores, text, values
+from .blocking import at_least, frequencies, jaccard_need, members, prefix, share
 
 
 def event_similarity(e: str, s: str) -> Column:
@@ -39,13 +40,17 @@ def situation_similarity(a: str, b: str) -> Column:
 def best_situation(events: DataFrame, situations: DataFrame, threshold: float = C.JOIN_THRESHOLD, shared_tokens: int = C.SHARED_TOKENS) -> DataFrame:
     """(event_id, situation_id, score): each event's best situation at or over the threshold, ties to the smaller id.
 
-    Candidates must share headline words with the event, so words are the join key; the
-    pairs that share enough of them are scored.  Events (id, lat, lon, category, at,
-    signature, tokens); situations the same.
+    Candidates must share ``shared_tokens`` headline words with the event, so all but its
+    ``shared_tokens - 1`` most common words are a lossless join key; the pairs are then
+    counted and scored.  Events (id, lat, lon, category, at, signature, tokens); situations
+    the same.
     """
-    words = lambda df, name: df.select(F.col("id").alias(name), F.explode(F.array_distinct("tokens")).alias("w"))
-    pairs = words(events, "event_id").join(words(situations, "situation_id"), "w").groupBy("event_id", "situation_id").count().filter(F.col("count") >= shared_tokens)
-    scored = pairs.join(events.alias("e"), F.col("event_id") == F.col("e.id")).join(situations.alias("s"), F.col("situation_id") == F.col("s.id")).withColumn("score", event_similarity("e", "s"))
+    there = members(situations.select(F.col("id").alias("situation_id"), "tokens"), "situation_id", "tokens")
+    here = members(events.select(F.col("id").alias("event_id"), "tokens"), "event_id", "tokens")
+    rare = prefix(here, "event_id", frequencies(there), at_least(shared_tokens))
+    pairs = rare.join(there, "w").select("event_id", "situation_id").distinct()
+    both = pairs.join(events.alias("e"), F.col("event_id") == F.col("e.id")).join(situations.alias("s"), F.col("situation_id") == F.col("s.id"))
+    scored = both.filter(text.shared(F.col("e.tokens"), F.col("s.tokens")) >= shared_tokens).withColumn("score", event_similarity("e", "s"))
     nth = F.row_number().over(W.partitionBy("event_id").orderBy(F.desc("score"), "situation_id"))
     return scored.filter(F.col("score") >= threshold).select("event_id", "situation_id", "score").withColumn("nth", nth).filter("nth = 1").drop("nth")
 
@@ -70,20 +75,18 @@ def merged(a: str, b: str) -> list[Column]:
     ]
 
 
-#: Two situations score at most the weights of geography, category and time without a shared mark.
-UNMARKED = C.SIM_GEO + C.SIM_CATEGORY + C.SIM_TIME
-
-
 def merge_candidates(situations: DataFrame, threshold: float = C.MERGE_THRESHOLD) -> DataFrame:
     """(a, b, score), a < b: situations alike enough to be one.
 
-    Without a common mark no pair reaches more than ``UNMARKED``, so above that the marks
-    are a lossless join key; pairs are made once and scored in full.
+    Geography, category and time give a part of the threshold at most; the rest asks for a
+    Jaccard of marks, so the rarest marks of either side are a lossless join key.
     """
-    if threshold <= UNMARKED:
-        raise ValueError(f"marks only prove pairs above {UNMARKED}")
-    mark = situations.select("id", F.explode(F.array_distinct("signature")).alias("w"))
-    pairs = mark.alias("x").join(mark.alias("y"), "w").filter("x.id < y.id").select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    least = jaccard_need(threshold, C.SIM_ENTITY, C.SIM_GEO + C.SIM_CATEGORY + C.SIM_TIME)
+    if least <= 0:
+        raise ValueError("a threshold that needs no common mark can't be joined on marks")
+    marks = members(situations, "id", "signature")
+    rare = prefix(marks, "id", frequencies(marks), share(least))
+    pairs = rare.alias("x").join(rare.alias("y"), "w").filter("x.id < y.id").select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     scored = pairs.join(situations.alias("s"), F.col("a") == F.col("s.id")).join(situations.alias("t"), F.col("b") == F.col("t.id")).withColumn("score", situation_similarity("s", "t"))
     return scored.filter(F.col("score") >= threshold).select("a", "b", "score")
 

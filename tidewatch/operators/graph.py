@@ -14,6 +14,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     Rounds are checkpointed, so lineage stays short and survives lost executors.
     """
     ready(edges.sparkSession)
+    edges = edges.select("a", "b").checkpoint()  # read again for the nodes
 
     def tidy(df: DataFrame) -> DataFrame:
         return df.filter("a != b").distinct()
@@ -23,7 +24,8 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
 
     # An edge to itself keeps lone nodes.
     nodes = edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct()
-    links = tidy(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).checkpoint()
+    links = tidy(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    links = links.checkpoint()
     before, now = None, mark(links)
     while now != before and now[0] and rounds:
         rounds -= 1
