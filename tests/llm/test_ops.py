@@ -145,8 +145,8 @@ def test_simhash(docs, empty):
     want = sorted(((i, f"{plain(t):016x}", dict(ids)[root[plain(t)]]) for i, t in TEXTS), key=key)
     found = simhash.classes(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("f"), "component_id")
     assert rows(found, "*") == want
-    kept = simhash.deduplicated(docs)
-    assert kept.columns == docs.columns
+    kept = simhash.deduplicated(docs, simhash.EXACT, 3)
+    assert kept.columns == docs.columns == simhash.deduplicated(docs).columns
     assert sorted(r["doc_id"] for r in kept.filter("doc_id is not null").collect()) == sorted({c for i, _, c in want if i is not None and c is not None})
     assert simhash.classes(empty).count() == simhash.deduplicated(empty).count() == 0
 
@@ -177,18 +177,31 @@ def test_simhash_dense(spark, monkeypatch, most):
     assert [least.get(i, i) for i in range(len(prints))] == label
 
 
-def test_pigeonhole():
-    """Any three flipped bits leave at least one key whole, at every level of refinement."""
+@pytest.mark.parametrize("blocks", [simhash.EXACT, simhash.NEAR])
+def test_pigeonhole(blocks):
+    """As many flipped bits as the blocks are sure of leave a key whole, at every level of refinement."""
     rng = random.Random(1)
-    for _ in range(2000):
-        diff = sum(1 << b for b in rng.sample(range(64), 3))
-        level = [m for m in simhash.masks() if not diff & m]
+    for _ in range(300):
+        diff = sum(1 << b for b in rng.sample(range(64), blocks.sure))
+        level = [m for m in simhash.masks(blocks) if not diff & m]
         assert level
-        while finer := [x for m in level for x in simhash.finer(m)]:
+        while finer := [x for m in level[:3] for x in simhash.finer(m, blocks.sure)]:
             level = [x for x in finer if not diff & x]
             assert level
 
 
+def test_near_copies(spark):
+    """A text with a word changed is a near copy, one with a shared passage is not."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("aeioubcdfgh") for _ in range(6))
+    base = [word() for _ in range(400)]
+    near = base[:200] + ["changed"] + base[201:]
+    other = base[:80] + [word() for _ in range(320)]
+    rows_ = [(5, " ".join(base)), (6, " ".join(near)), (7, " ".join(other)), (8, " ".join(base).upper())]
+    df = spark.createDataFrame(rows_, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.deduplicated(df).collect()) == [5, 7]
+
+
 def test_warc(spark, empty):
     big = "<p>" + "é" * 300_000
     pages = [(1, "http://a/1", "same"), (2, "http://a/2", "same"), (3, None, None), (4, "u", ""), (5, "u", big), (6, "u", big), (5, "u", big), (None, "n", "same"), (0, "http://z\r\nX: 1", "other")]

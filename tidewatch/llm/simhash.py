@@ -11,6 +11,12 @@ on one quarter at least), until at most 2**14 can remain.  So no pair is lost,
 no task holds more than a fixed number of rows, and copies, which share a
 fingerprint, never meet as pairs at all.
 
+``Blocks`` says how many blocks there are and how many make a key; pairs that
+differ in no more bits than blocks are left over are sure to meet.  ``NEAR``,
+for removing near copies, has 120 keys of three out of ten blocks over 5-word
+shingles: all pairs up to seven bits meet, and most of eight to ten.  Ten bits
+are the expected distance of sets with a similarity of 0.8.
+
 Under a key only a star over each class is kept (members to the least), and
 the stars are closed by alternating large and small stars, each round stored
 in the shared folder.  Only counts and checksums reach the driver.
@@ -27,6 +33,7 @@ Defined results
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -41,7 +48,6 @@ from .tokens import slices
 SHINGLE = 3
 SEED = 42
 RADIUS = 3
-BLOCKS = (11, 11, 11, 11, 10, 10)
 #: Fingerprints under one key that a task compares; more go to finer keys.
 MOST = 4096
 #: Free bits at which every fingerprint under a key fits a task.
@@ -49,6 +55,25 @@ SMALL = 14
 LINKS = "hot boolean, mask long, x long, y long"
 
 
+@dataclass(frozen=True)
+class Blocks:
+    """Widths of the blocks, how many of them make a key, and the bits in which linked fingerprints may differ."""
+
+    widths: tuple[int, ...]
+    agree: int
+    radius: int
+
+    @property
+    def sure(self) -> int:
+        """Pairs that differ in so many bits still agree on a whole key."""
+        return len(self.widths) - self.agree
+
+
+EXACT = Blocks((11, 11, 11, 11, 10, 10), 3, RADIUS)
+NEAR = Blocks((7, 7, 7, 7, 6, 6, 6, 6, 6, 6), 3, 10)
+NEAR_SHINGLE = 5
+
+
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
     """64 bits; a bit is set if it is set in over half of the shingles' XXH64."""
     import xxhash
@@ -86,19 +111,19 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def masks() -> list[int]:
-    """Bits of every choice of three of the six blocks."""
-    ends = np.cumsum(BLOCKS).tolist()
-    blocks = [((1 << n) - 1) << (end - n) for n, end in zip(BLOCKS, ends, strict=True)]
-    return [a | b | c for a, b, c in combinations(blocks, len(BLOCKS) - RADIUS)]
+def masks(blocks: Blocks = EXACT) -> list[int]:
+    """Bits of every choice of blocks that makes a key."""
+    ends = np.cumsum(blocks.widths).tolist()
+    bits = [((1 << n) - 1) << (end - n) for n, end in zip(blocks.widths, ends, strict=True)]
+    return [sum(choice) for choice in combinations(bits, blocks.agree)]
 
 
-def finer(mask: int) -> list[int]:
-    """``mask`` with each quarter of its free bits added in turn; [] if few are free."""
+def finer(mask: int, sure: int = RADIUS) -> list[int]:
+    """``mask`` with each of ``sure + 1`` parts of its free bits added in turn; [] if few are free."""
     free = [b for b in range(64) if not mask >> b & 1]
     if len(free) <= SMALL:
         return []
-    return [mask | sum(1 << b for b in part.tolist()) for part in np.array_split(free, RADIUS + 1)]
+    return [mask | sum(1 << b for b in part.tolist()) for part in np.array_split(free, sure + 1)]
 
 
 def _classes(fp: np.ndarray, radius: int) -> np.ndarray:
@@ -117,7 +142,7 @@ def _classes(fp: np.ndarray, radius: int) -> np.ndarray:
     return root
 
 
-def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], blocks: Blocks) -> Iterator[pa.RecordBatch]:
     """Rows ordered by (mask, key) to star links, or back as hot rows where a key has too many."""
 
     def links(hot: bool, mask, x, y) -> pa.RecordBatch:
@@ -129,7 +154,8 @@ def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Reco
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = np.stack([batch[c].to_numpy() for c in ("mask", "key", "fp", "node")])
+        mask, fp, node = (batch[c].to_numpy() for c in ("mask", "fp", "node"))
+        rows = np.stack([mask, fp & mask, fp, node])
         if held:
             rows = np.concatenate([*held, rows], axis=1)
         cut = np.flatnonzero((rows[0, 1:] != rows[0, :-1]) | (rows[1, 1:] != rows[1, :-1])) + 1
@@ -144,60 +170,64 @@ def _compare(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Reco
                 continue
         over = None
         if len(edges) > 2:
-            yield from _groups(rows, edges[:-1], radius, links)
+            yield from _groups(rows, edges[:-1], blocks, links)
         tail = rows[:, last:].copy()
         mask = int(tail[0, 0]) & (1 << 64) - 1
-        if tail.shape[1] > MOST and finer(mask):
+        if tail.shape[1] > MOST and finer(mask, blocks.sure):
             yield links(True, tail[0], tail[2], tail[3])
             over, held = (tail[0, 0], tail[1, 0]), []
         else:
             held = [tail]
     if held:
         rows = held[0]
-        yield from _groups(rows, np.array([0, rows.shape[1]]), radius, links)
+        yield from _groups(rows, np.array([0, rows.shape[1]]), blocks, links)
 
 
-def _groups(rows: np.ndarray, edges: np.ndarray, radius: int, links) -> Iterator[pa.RecordBatch]:
+def _groups(rows: np.ndarray, edges: np.ndarray, blocks: Blocks, links) -> Iterator[pa.RecordBatch]:
     mask, fp, node = rows[0], rows[2].view(np.uint64), rows[3]
     sizes = np.diff(edges)
-    at = edges[:-1][sizes == 2]
-    at = at[np.bitwise_count(fp[at] ^ fp[at + 1]) <= radius]
-    if len(at):
-        yield links(False, 0, np.maximum(node[at], node[at + 1]), np.minimum(node[at], node[at + 1]))
     xs, ys = [], []
-    for k in np.flatnonzero(sizes > 2).tolist():
+    # Under a key with few fingerprints, each is compared with the one to three after it, all keys at once.
+    few = np.repeat(np.where(sizes <= 4, sizes, 0), sizes)
+    place = np.arange(edges[0], edges[-1]) - np.repeat(edges[:-1], sizes)
+    for step in range(1, min(4, len(place))):
+        at = edges[0] + np.flatnonzero(place + step < few)
+        at = at[np.bitwise_count(fp[at] ^ fp[at + step]) <= blocks.radius]
+        xs.append(np.maximum(node[at], node[at + step]))
+        ys.append(np.minimum(node[at], node[at + step]))
+    for k in np.flatnonzero(sizes > 4).tolist():
         a, b = int(edges[k]), int(edges[k + 1])
-        if b - a > MOST and finer(int(mask[a]) & (1 << 64) - 1):
+        if b - a > MOST and finer(int(mask[a]) & (1 << 64) - 1, blocks.sure):
             yield links(True, mask[a:b], rows[2, a:b], node[a:b])
             continue
         order = np.argsort(node[a:b], kind="stable")  # so that the first of a class is its least node
-        own, root = node[a:b][order], _classes(fp[a:b][order], radius)
+        own, root = node[a:b][order], _classes(fp[a:b][order], blocks.radius)
         far = root != np.arange(len(root))
         xs.append(own[far])
         ys.append(own[root[far]])
-    if xs:
-        yield links(False, 0, np.concatenate(xs), np.concatenate(ys))
+    if xs and sum(map(len, xs)):
+        found = np.unique(np.stack([np.concatenate(xs), np.concatenate(ys)]), axis=1)
+        yield links(False, 0, found[0], found[1])
 
 
-def stars(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(x, y), y the lesser: links that join all pairs of ``nodes`` (fp, node) within ``radius`` bits."""
-    if radius > RADIUS:
-        raise ValueError(f"the blocks prove pairs of up to {RADIUS} differing bits")
+def stars(nodes: DataFrame, blocks: Blocks = EXACT) -> DataFrame:
+    """(x, y), y the lesser: links that join all pairs of ``nodes`` (fp, node) that meet and are near."""
     fp, spark = F.col("fp"), nodes.sparkSession
 
     def under(rows: DataFrame, choice) -> DataFrame:
-        keyed = rows.select("fp", "node", F.explode(choice).alias("mask")).withColumn("key", fp.bitwiseAND(F.col("mask")))
-        ranged = keyed.select("mask", "key", "fp", "node").repartition(partitions(spark), "mask", "key").sortWithinPartitions("mask", "key")
-        return written(ranged.mapInArrow(lambda batches: _compare(batches, radius), LINKS), "simhash-links")
-
-    found = under(nodes, F.array(*[F.lit(_signed(m)) for m in masks()]))
-    level, out = masks(), found.filter("not hot").select("x", "y")
-    while not found.filter("hot").isEmpty():
-        table_ = {m: finer(m) for m in level}
-        choice = F.create_map(*[e for m, ms in table_.items() if ms for e in (F.lit(_signed(m)), F.array(*[F.lit(_signed(x)) for x in ms]))])
-        hot = found.filter("hot").select(F.col("x").alias("fp"), F.col("y").alias("node"), choice[F.col("mask")].alias("finer"))
-        found = under(hot, F.col("finer"))
-        level = sorted({m for ms in table_.values() for m in ms})
+        keyed = rows.select("fp", "node", F.explode(choice).alias("mask"))
+        key = fp.bitwiseAND(F.col("mask"))
+        ranged = keyed.select("mask", "fp", "node").repartition(partitions(spark), F.col("mask"), key).sortWithinPartitions(F.col("mask"), key)
+        return written(ranged.mapInArrow(lambda batches: _compare(batches, blocks), LINKS), "simhash-links")
+
+    level = masks(blocks)
+    found = under(nodes, F.array(*[F.lit(_signed(m)) for m in level]))
+    out = found.filter("not hot").select("x", "y")
+    while not (hot := found.filter("hot")).isEmpty():
+        # Masks of hot keys only: a list bounded by the levels' fixed choices, whatever the rows.
+        level = [r["mask"] & (1 << 64) - 1 for r in hot.select("mask").distinct().collect()]
+        choice = F.create_map(*[e for m in level for e in (F.lit(_signed(m)), F.array(*[F.lit(_signed(x)) for x in finer(m, blocks.sure)]))])
+        found = under(hot.select(F.col("x").alias("fp"), F.col("y").alias("node"), choice[F.col("mask")].alias("finer")), F.col("finer"))
         out = out.union(found.filter("not hot").select("x", "y"))
     return out.distinct()
 
@@ -224,20 +254,20 @@ def components(links: DataFrame) -> DataFrame:
     return edges
 
 
-def classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+def classes(docs: DataFrame, blocks: Blocks = EXACT, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs``."""
     prints = written(fingerprints(docs, shingle), "simhash-prints")
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-nodes")
     known = nodes.filter("node is not null")
-    least = components(stars(known, radius))
+    least = components(stars(known, blocks))
     joined = nodes.join(least.select(F.col("x").alias("node"), F.col("y").alias("m")), "node", "left")
     named = joined.select("fp", F.coalesce("m", "node").alias("component_id"))
     return prints.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def deduplicated(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+def deduplicated(docs: DataFrame, blocks: Blocks = NEAR, shingle: int = NEAR_SHINGLE) -> DataFrame:
     """The row with the least doc_id of each class; rows without a doc_id stay."""
-    keep = classes(docs, radius, shingle).filter("doc_id = component_id").select("doc_id").distinct()
+    keep = classes(docs, blocks, shingle).filter("doc_id = component_id").select("doc_id").distinct()
     nth = unused(docs, "_nth")
     inside = docs.filter(F.col("doc_id").isNotNull()).join(keep, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
     first = inside.withColumn(nth, F.row_number().over(W.partitionBy("doc_id").orderBy("text"))).filter(F.col(nth) == 1).drop(nth)
