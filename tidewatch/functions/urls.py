@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .constants import TRACKING_PREFIXES
-from .values import fnv32, hex_digits, trimmed
+from .values import fnv32, hex_digits, let, trimmed
 
 #: scheme, authority, path, query, fragment of a web address.
 WEB = r"(?i)^(https?):[\\/]*([^/?#\\]+)([^?#]*)(\?[^#]*)?(#.*)?$"
@@ -22,14 +22,25 @@ def canonical_url(raw: Column) -> Column:
 
     Parameters of one key keep their order.  Text that is no web address comes back trimmed.
     """
-    text = trimmed(raw)
+    return let(trimmed(raw), lambda text: F.when(text.rlike(WEB), let(_parts(text), _rebuilt)).otherwise(text))
+
+
+def _parts(text: Column) -> Column:
     part = lambda n: F.regexp_extract(text, WEB, n)
-    scheme = F.lower(part(1))
-    host = F.regexp_replace(F.regexp_replace(F.lower(part(2)), r"^((?:[^@]*@)?)www\.(?=.)", "$1"), r":$", "")
-    port = F.when(scheme == "http", F.regexp_replace(host, ":80$", "")).otherwise(F.regexp_replace(host, ":443$", ""))
-    path = F.coalesce(F.nullif(F.regexp_replace(part(3), r"\\", "/"), F.lit("")), F.lit("/"))
-    path = F.when((F.length(path) > 1) & path.endswith("/"), F.substring(path, F.lit(1), F.length(path) - 1)).otherwise(path)
-    pairs = F.filter(F.split(F.regexp_replace(part(4), r"^\?", ""), "&"), lambda p: p != "")
+    return F.struct(F.lower(part(1)).alias("scheme"), F.lower(part(2)).alias("host"), part(3).alias("path"), part(4).alias("query"))
+
+
+def _rebuilt(p: Column) -> Column:
+    host = F.regexp_replace(F.regexp_replace(p["host"], r"^((?:[^@]*@)?)www\.(?=.)", "$1"), r":$", "")
+    port = F.when(p["scheme"] == "http", F.regexp_replace(host, ":80$", "")).otherwise(F.regexp_replace(host, ":443$", ""))
+    path = F.coalesce(F.nullif(F.regexp_replace(p["path"], r"\\", "/"), F.lit("")), F.lit("/"))
+    path = let(path, lambda x: F.when((F.length(x) > 1) & x.endswith("/"), F.substring(x, F.lit(1), F.length(x) - 1)).otherwise(x))
+    return F.concat(p["scheme"], F.lit("://"), port, path, let(_query(p["query"]), lambda q: F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit(""))))
+
+
+def _query(raw: Column) -> Column:
+    """Parameters without tracking ones, by key."""
+    pairs = F.filter(F.split(F.regexp_replace(raw, r"^\?", ""), "&"), lambda p: p != "")
 
     def field(pair: Column, i: Column) -> Column:
         at = F.locate("=", pair)
@@ -45,9 +56,7 @@ def canonical_url(raw: Column) -> Column:
         return out
 
     kept = F.array_sort(F.filter(F.transform(pairs, field), lambda f: ~tracking(f)))
-    query = F.array_join(F.transform(kept, lambda f: F.concat(F.url_encode(f["k"]), F.lit("="), F.url_encode(f["v"]))), "&")
-    whole = F.concat(scheme, F.lit("://"), port, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
-    return F.when(text.rlike(WEB), whole).otherwise(text)
+    return F.array_join(F.transform(kept, lambda f: F.concat(F.url_encode(f["k"]), F.lit("="), F.url_encode(f["v"]))), "&")
 
 
 def url_hash(raw: Column) -> Column:

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, evaluated once: the optimizer can't copy it to each mention."""
+    return F.transform(F.array(value), body)[0]
+
+
 def trimmed(text: Column) -> Column:
     """Without white space of any kind at both ends."""
     return F.regexp_replace(text, r"^\s+|\s+$", "")

@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from ..functions import constants as C
 from ..functions import scores, text, urls, values
 from ..operators import alerts, calibrate, cluster, dedupe, links, quotes, ranking
-from ..sources import feeds, store
+from ..operators.graph import ready
+from ..shipping import ship
+from ..sources import feeds, schemas, store
+from . import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,6 +47,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -53,7 +57,11 @@ def now():
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as news events: code, place, actors and counts derived from keys."""
-    e, col = table(spark, sf_dir, "events"), F.col
+    return _news_of(table(spark, sf_dir, "events"))
+
+
+def _news_of(e: DataFrame) -> DataFrame:
+    col = F.col
     i, u = col("event_id"), col("user_id")
     return e.select(
         i, col("ts").cast("timestamp").alias("ts"), u, col("event_type"), col("value"), F.lpad((i % 20 + 1).cast("string"), 2, "0").alias("root"), (i % 4 + 1).cast("int").alias("quad"),
@@ -694,12 +702,12 @@ def _event_lines(spark, sf_dir) -> DataFrame:
         59: F.date_format("ts", "yyyyMMddHHmmss"), 60: F.concat(F.lit("https://www.site.com/a/"), col("user_id"), F.lit("/?utm_source=x&b=1&a=2")),
     }
     full = F.concat_ws("\t", *[F.coalesce(cells[i].cast("string"), F.lit("")) if i in cells else F.lit("") for i in range(feeds.EVENT_FIELDS)])
-    return e.select(F.when(col("event_id") % 10 == 3, F.regexp_replace(full, r"\t[^\t]*$", "")).otherwise(full).alias("value"))
+    return e.select(col("event_id").alias("seq"), F.when(col("event_id") % 10 == 3, F.regexp_replace(full, r"\t[^\t]*$", "")).otherwise(full).alias("value"))
 
 
 @query("SELECT count(*) FILTER (event_id % 10 <> 3) AS rows, count(*) FILTER (event_id % 10 = 3) AS skipped FROM events")
 def feed_skipped_lines(spark, sf_dir):
-    return feeds.skipped_lines(_event_lines(spark, sf_dir))
+    return feeds.skipped_lines(_event_lines(spark, sf_dir).select("value"))
 
 
 @query(f"""
@@ -771,3 +779,107 @@ def quote_sources(spark, sf_dir):
     return e.select("event_id", quote.alias("q")).filter("q is not null").select("event_id", "q.*")
 
 
+
+
+def _arrivals(spark, sf_dir) -> DataFrame:
+    """Candidates of the ingest batch: event lines against one headline a story, each third of crisis."""
+    from ..operators.normalize import typed_events
+
+    typed = typed_events(feeds.raw_events(_event_lines(spark, sf_dir))).filter("relevant").drop("relevant")
+    u = table(spark, sf_dir, "events").select("user_id").distinct()
+    words = F.concat_ws(" ", F.lit("report"), F.concat(F.lit("place"), F.col("user_id") % 12), F.concat(F.lit("actor"), F.col("user_id") % 9), F.concat(F.lit("story"), "user_id"))
+    titles = u.select(F.concat(F.lit("https://site.com/a/"), "user_id", F.lit("?a=2&b=1")).alias("url_canonical"), words.alias("title"), F.lit("src").alias("source_name"), (F.col("user_id") % 3 == 0).alias("crisis"))
+    return ingest.candidates(typed, titles)
+
+
+@query(f"""
+WITH {_NEWS}, f AS (SELECT *, min(event_id) OVER (PARTITION BY user_id) AS url_seq, row_number() OVER (PARTITION BY user_id ORDER BY severity DESC, mentions DESC, event_id) AS k
+  FROM news WHERE event_id % 10 <> 3 AND event_id % 6 <> 0 AND severity >= {C.SEVERITY_FLOOR} AND user_id % 3 = 0 AND (event_id % 2 = 0 OR user_id % 3 <> event_id % 3))
+SELECT 'gdelt-' || event_id AS id, 'https://site.com/a/' || user_id || '?a=2&b=1' AS url_canonical, round(severity, 9) AS severity, url_seq FROM f WHERE k = 1""")
+def ingest_candidates(spark, sf_dir):
+    """From raw lines to one event an article: parse, filter, join headlines, reduce."""
+    return _arrivals(spark, sf_dir).select("id", "url_canonical", F.round("severity", 9).alias("severity"), "url_seq")
+
+
+@query()
+def cluster_fold(spark, sf_dir):
+    """The arrivals above, assigned one after the other to situations that start empty."""
+    ready(spark)
+    chosen = _arrivals(spark, sf_dir).checkpoint()
+    none = F.array().cast("array<string>")
+    fields = "id string, lat double, lon double, category string, at timestamp, event_count bigint, source_count bigint, headline string"
+    states = spark.createDataFrame([], fields).withColumns({"signature": none, "tokens": none, "urls": none})
+    return ingest.assigned(chosen, states).select("event_id", "situation_id", "created", F.round("score", 9).alias("score"))
+
+
+@query(f"WITH {_NEWS} SELECT user_id, round(sum({_IMPULSE} * {_DECAY}), 5) AS score, count(*) AS n FROM news GROUP BY user_id")
+def stream_ingest(spark, sf_dir):
+    """Scores kept by a stream: each batch's decayed impulses per story, stored once a batch, then summed."""
+    import uuid
+
+    ship(spark)
+    ready(spark)
+    # The folder that all executors share; a batch that is done again writes over its own part.
+    root = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+    schema = table(spark, sf_dir, "events").schema
+
+    def keep(batch: DataFrame, number: int) -> None:
+        e = with_scores(_news_of(batch)).withColumn("at", F.col("ts"))
+        part = F.col("impulse") * scores.decay_factor(F.col("category"), values.hours_between(F.col("ts"), now()))
+        e.groupBy("user_id").agg(F.sum(part).alias("score"), F.count("*").alias("n")).write.mode("overwrite").parquet(f"{root}/out/batch={number}")
+
+    # A glob names a file or a folder alike.
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
+    events.writeStream.foreachBatch(keep).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out").groupBy("user_id").agg(F.round(F.sum("score"), 5).alias("score"), F.sum("n").alias("n"))
+
+
+@query("""
+WITH p AS (SELECT user_id::VARCHAR AS asset_id, ts, value AS price, ['open', 'closed', 'odd'][(event_id % 3 + 1)::INT] AS s, event_id FROM events)
+SELECT 'session_state is not allowed' AS fault, count(*) AS n FROM p WHERE s = 'odd' UNION ALL SELECT 'price is null', count(*) FROM p WHERE event_id % 50 = 0
+UNION ALL SELECT 'asset_id has no row in assets', count(*) FROM p WHERE asset_id::INT > 100""")
+def schema_violations(spark, sf_dir):
+    """Quotes with unknown states, missing prices and unknown assets, counted by fault."""
+    state = F.element_at(F.array(*map(F.lit, ("open", "closed", "odd"))), (F.col("event_id") % 3 + 1).cast("int"))
+    ts = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) * 1000 + F.col("event_id") % 1000)  # no two equal keys
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("asset_id"), ts.alias("ts"), F.when(F.col("event_id") % 50 != 0, F.col("value")).alias("price"), F.lit(None).cast("double").alias("change_pct"), ts.alias("as_of"), state.alias("session_state"))
+    known = spark.range(101).select(F.col("id").cast("string").alias("id"))
+    return schemas.violations(rows, "asset_prices", {"assets": known}).groupBy("fault").agg(F.count("*").alias("n"))
+
+
+@query("""
+WITH r AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events),
+s AS (SELECT a.user_id AS id, a.value AS cur, b.value AS prev, (a.user_id % 5)::INT AS op FROM r a LEFT JOIN r b ON b.user_id = a.user_id AND b.rn = 2 WHERE a.rn = 1 AND a.user_id % 7 <> 0)
+SELECT id::VARCHAR AS id, cur AS current FROM s WHERE CASE op WHEN 0 THEN cur > 150 WHEN 1 THEN cur >= 150 WHEN 2 THEN cur < 150 WHEN 3 THEN cur <= 150 ELSE coalesce((prev < 150 AND cur >= 150) OR (prev > 150 AND cur <= 150), false) END""")
+def alerts_due(spark, sf_dir):
+    """An alert a story on its latest value, every operator, each seventh switched off: one plan for all."""
+    e = table(spark, sf_dir, "events")
+    prices = e.select(F.col("user_id").cast("string").alias("asset_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price"))
+    op = F.element_at(F.array(*map(F.lit, ("gt", "gte", "lt", "lte", "crosses"))), (F.col("user_id") % 5 + 1).cast("int"))
+    key = F.col("user_id").cast("string")
+    rules = e.select("user_id").distinct().select(key.alias("id"), F.lit("d").alias("device_id"), F.lit("asset").alias("subject_type"), key.alias("subject_id"), op.alias("operator"), F.lit(150.0).alias("threshold"), (F.col("user_id") % 7 != 0).alias("is_active"), F.lit(None).cast("timestamp").alias("last_fired_at"), F.lit(15).alias("cooldown_minutes"))
+    none = lambda name: spark.createDataFrame([], schemas.TABLES[name].schema)
+    device = spark.createDataFrame([("d", "t")], "id string, apns_token string")
+    subjects = alerts.current_values(prices, none("situations"), none("outlook_markets"))
+    return alerts.due_alerts(rules, device, subjects, none("alert_deliveries"), now()).select("id", "current")
+
+
+@query(f"""
+WITH t AS (SELECT DISTINCT time_bucket(INTERVAL 15 MINUTE, ts) AS t FROM events), a AS (SELECT min(t) AS t0 FROM t),
+b AS (SELECT t, t0, row_number() OVER (ORDER BY t) AS n FROM t, a WHERE t > t0 AND t <= t0 + INTERVAL {C.MAX_INTERVALS * C.INTERVAL_MINUTES} MINUTE)
+SELECT strftime(t, '%Y%m%d%H%M%S') AS ts FROM b WHERE t = t0 + n * INTERVAL 15 MINUTE""")
+def pending_intervals(spark, sf_dir):
+    """Complete intervals without a gap after the first that events fall into."""
+    t = table(spark, sf_dir, "events").select(values.interval_start(F.col("ts")).alias("ts")).distinct()
+    first = t.agg(F.min("ts")).first()[0]
+    return feeds.complete_intervals(t, t, first)
+
+
+@query(f"""
+WITH n AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, value) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM events),
+g AS (SELECT DISTINCT user_id, floor(j * ((n - 1) / {float(C.SERIES_POINTS - 1)}) + 0.5)::BIGINT AS i FROM n, range(0, {C.SERIES_POINTS}) t(j) WHERE i = 0 AND n > {C.SERIES_POINTS})
+SELECT n.user_id, count(*)::INT AS n, round(sum(n.value), 4) AS total FROM n LEFT JOIN g ON n.user_id = g.user_id AND n.i = g.i WHERE n.n <= {C.SERIES_POINTS} OR g.i IS NOT NULL GROUP BY 1""")
+def series_points(spark, sf_dir):
+    """Series as nested, thinned arrays."""
+    s = quotes.series(table(spark, sf_dir, "events"), "user_id", "ts", "value")
+    return s.select("user_id", F.size("points").alias("n"), F.round(F.aggregate("points", F.lit(0.0), lambda a, p: a + p["price"]), 4).alias("total"))

@@ -52,9 +52,11 @@ def raw_events(text: DataFrame) -> DataFrame:
     """The 23 projected text fields of lines that have exactly 61."""
     split = event_fields(text).filter(F.size("f") == EVENT_FIELDS)
     others = [c for c in split.columns if c != "f"]
-    # Bound as a lambda's variable, a line is split once and not again for each field.
+    # Bound as a lambda's variable, a line is split once and not again for each field.  Filters on
+    # fields stay above the row number, so that they read the parsed row instead of parsing anew.
     row = F.transform(F.array("f"), lambda f: F.struct(*[F.get(f, F.lit(i)).alias(name) for name, i in EVENT_COLUMNS.items()]))[0]
-    return split.select(*others, row.alias("_row")).select(*others, "_row.*")
+    parsed = split.select(*others, row.alias("_row"), F.monotonically_increasing_id().alias("_once")).filter("_once >= 0")
+    return parsed.select(*others, "_row.*")
 
 
 def skipped_lines(text: DataFrame) -> DataFrame:

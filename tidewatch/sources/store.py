@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .schemas import TABLES
 
 
@@ -77,6 +78,7 @@ class Store:
     """Tables below one folder of any Hadoop file system."""
 
     def __init__(self, spark: SparkSession, root: str):
+        ship(spark)
         self.spark, self.root = spark, root.rstrip("/")
 
     def _fs(self):
