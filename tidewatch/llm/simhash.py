@@ -243,13 +243,15 @@ def components(links: DataFrame) -> DataFrame:
 
     edges = written(distinct(links.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))), "simhash-edges")
     before, now = None, mark(edges)
+    # Links are few beside the rows: their rounds are stored in as many files as they fill.
+    files = min(partitions(links.sparkSession), 8 + now[0] // 250_000)
     while now != before and now[0]:
         both = edges.union(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
         least = both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("m"))
         large = distinct(both.filter("y > x").join(least, "x").select(F.col("y").alias("x"), F.col("m").alias("y")))
         down = large.groupBy("x").agg(F.min("y").alias("m"))
         small = large.join(down, "x").select(F.explode(F.array(F.struct(F.col("y").alias("x"), F.col("m").alias("y")), F.struct("x", F.col("m").alias("y")))).alias("e")).select("e.*")
-        edges = written(distinct(small), "simhash-edges")
+        edges = written(distinct(small).coalesce(files), "simhash-edges")
         before, now = now, mark(edges)
     return edges
 
