@@ -84,13 +84,19 @@ def watch_impacts(watches: DataFrame, devices: DataFrame, situations: DataFrame,
     At most ``most`` a device and run; the rest stay unsent and come with a later run.
     """
     shown = situations.filter("status = 'active' and map_rank is not null")
-    named = company_links(shown, C.COMPANY_LIMIT_WATCH).select("id", F.lit("company").alias("kind"), "symbol", "exchange", "name")
-    named = named.unionByName(asset_links(shown).select("id", F.lit("asset").alias("kind"), "symbol", F.lit("").alias("exchange"), "name"))
-    hits = named.join(shown.select("id", "title", "first_seen_at"), "id").withColumnRenamed("id", "situation_id")
-    rows = watches.join(devices.select(F.col("id").alias("device_id"), "apns_token"), "device_id").join(hits, ["kind", "symbol", "exchange"]).filter(F.col("first_seen_at") >= F.col("created_at"))
-    fresh = rows.join(delivered.select("device_id", "kind", "symbol", "exchange", "situation_id"), ["device_id", "kind", "symbol", "exchange", "situation_id"], "left_anti")
+    named = company_links(shown, C.COMPANY_LIMIT_WATCH).select("id", F.lit("company").alias("kind"), "symbol", "exchange")
+    named = named.unionByName(asset_links(shown).select("id", F.lit("asset").alias("kind"), "symbol", F.lit("").alias("exchange")))
+    hits = named.join(shown.select("id", "first_seen_at"), "id").withColumnRenamed("id", "situation_id")
+    key = ["device_id", "kind", "symbol", "exchange", "situation_id"]
+    # Keys alone meet and are ranked; texts join the few rows that stay.
+    known = devices.select(F.col("id").alias("device_id"), "apns_token")
+    rows = watches.join(known.select("device_id"), "device_id", "left_semi").join(hits, ["kind", "symbol", "exchange"]).filter(F.col("first_seen_at") >= F.col("created_at")).select(*key)
+    fresh = rows.join(delivered.select(*key), key, "left_anti")
     nth = F.row_number().over(W.partitionBy("device_id").orderBy("situation_id", "kind", "symbol", "exchange"))
-    return fresh.withColumn("nth", nth).filter(F.col("nth") <= most)
+    few = fresh.withColumn("nth", nth).filter(F.col("nth") <= most)
+    names = F.create_map(*[F.lit(x) for s, v in C.COMPANIES.items() for x in (f"company|{s}", v[0])], *[F.lit(x) for s, v in C.WATCHABLE_ASSETS.items() for x in (f"asset|{s}", v)])
+    titles = shown.select(F.col("id").alias("situation_id"), "title", "first_seen_at")
+    return few.join(known, "device_id").join(titles, "situation_id").withColumn("name", names[F.concat_ws("|", "kind", "symbol")])
 
 
 def known_targets(watches: DataFrame) -> Column:
