@@ -95,21 +95,19 @@ class MergeList:
         if len(sym) > 48:
             return self._queued(sym)
         get, size, none = self.pairs.get, self.size, 1 << 62
-        while len(sym) > 1:
-            found = [get(a * size + b, none) for a, b in zip(sym, sym[1:], strict=False)]
+        # found[i] is the merge of sym[i] and sym[i + 1]; a merge changes it at two places only.
+        found = [get(a * size + b, none) for a, b in zip(sym, sym[1:], strict=False)]
+        while found:
             best = min(found)
             if best == none:
                 break
-            out, i, n, new = [], 0, len(sym), best & 0xFFFFFFFF
-            found.append(none)
-            while i < n:
-                if found[i] == best:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(sym[i])
-                    i += 1
-            sym = out
+            i = found.index(best)
+            sym[i : i + 2] = [best & 0xFFFFFFFF]
+            del found[i]
+            if i < len(found):
+                found[i] = get(sym[i] * size + sym[i + 1], none)
+            if i:
+                found[i - 1] = get(sym[i - 1] * size + sym[i], none)
         return sym
 
     def _queued(self, sym: list[int]) -> list[int]:
@@ -180,18 +178,20 @@ class StreamEncoder(PieceEncoder):
         out.extend(machine.finish())
         return out.tobytes()
 
+    def _known(self, word: str) -> bytes:
+        """ids of a pretoken, from the bounded memory if it is there."""
+        ids = self.memory.get(word)
+        if ids is None:
+            ids = self._pretoken(word)
+            if len(word) <= 48:
+                if len(self.memory) >= 100_000:
+                    self.memory.clear()
+                self.memory[word] = ids
+        return ids
+
     def _plain(self, text: str) -> Iterator[bytes]:
-        memory = self.memory
         for m in self.words.finditer(text):
-            word = m.group()
-            ids = memory.get(word)
-            if ids is None:
-                ids = self._pretoken(word)
-                if len(word) <= 48:
-                    if len(memory) >= 100_000:
-                        memory.clear()
-                    memory[word] = ids
-            yield ids
+            yield self._known(m.group())
 
     def _one(self, text: str) -> bytes:
         if self.special is None or not self.special.search(text):
@@ -206,7 +206,16 @@ class StreamEncoder(PieceEncoder):
         return [self._one(t) for t in texts]
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        return [self._one(" " + p) for p in pieces]
+        out = []
+        for p in pieces:
+            # Most pieces are letters, perhaps with a stop or comma: one or two pretokens by the split's rules.
+            if p.isalpha():
+                out.append(self._known(" " + p))
+            elif p[-1] in ".," and p[:-1].isalpha():
+                out.append(self._known(" " + p[:-1]) + self._known(p[-1]))
+            else:
+                out.append(self._one(" " + p))
+        return out
 
 
 class StreamDecoder:
