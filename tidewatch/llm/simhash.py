@@ -72,6 +72,8 @@ class Blocks:
 EXACT = Blocks((11, 11, 11, 11, 10, 10), 3, RADIUS)
 NEAR = Blocks((7, 7, 7, 7, 6, 6, 6, 6, 6, 6), 3, 10)
 NEAR_SHINGLE = 5
+#: Near copies: a Jaccard similarity of four fifths or more.
+ALIKE = (4, 5)
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -267,9 +269,85 @@ def classes(docs: DataFrame, blocks: Blocks = EXACT, shingle: int = SHINGLE) ->
     return prints.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def shingles(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """XXH64 of each of the text's shingles, repeats kept; a short text is one shingle, a blank one has none."""
+    import xxhash
+
+    words = (text or "").encode().lower().split()
+    digest, join = xxhash.xxh64_intdigest, b" ".join
+    if len(words) < shingle:
+        return np.array([digest(join(words), seed)] if words else [], np.uint64)
+    return np.fromiter((digest(join(g), seed) for g in zip(*[words[k:] for k in range(shingle)], strict=False)), np.uint64, len(words) - shingle + 1)
+
+
+def _named(whole: np.ndarray) -> int:
+    """A signed 64-bit name of a set of shingles."""
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(whole.tobytes()) - (1 << 63)
+
+
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, values)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values).view(np.int64) if len(values) else np.zeros(0, np.int64)))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), text.alias("text")).filter("doc_id is not null")
+
+
+def sets(docs: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
+    """(doc_id, print, node, n, fp) of every row with a doc_id: node names its set of n shingles, print its text."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in slices(batch, "text"):
+                texts = rows["text"].to_pylist()
+                whole = [np.unique(shingles(t, shingle)) for t in texts]
+                found = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
+                columns = [rows["doc_id"], rows["print"], pa.array([_named(w) for w in whole], pa.int64()), pa.array([len(w) for w in whole], pa.int64()), pa.array(found.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "print", "node", "n", "fp"])
+
+    return _texts(docs).mapInArrow(of, "doc_id long, print long, node long, n long, fp long")
+
+
+def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
+    """Those of ``pairs`` (x, y) whose sets of shingles, taken of the whole texts, have a Jaccard similarity of ``ALIKE`` or more."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in slices(batch, "text"):
+                whole = [np.unique(shingles(t, shingle)) for t in rows["text"].to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array([_named(w) for w in whole], pa.int64()), _lists(whole)], names=["node", "whole"])
+
+    pairs = written(pairs.distinct(), "simhash-pairs")
+    ends = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
+    wanted = written(nodes.join(ends, "node", "left_semi").select("node", "doc_id", "print"), "simhash-wanted")
+    texts = _texts(docs).join(wanted.select("doc_id", "print").distinct(), ["doc_id", "print"], "left_semi").select("text")
+    whole = written(texts.mapInArrow(of, "node long, whole array<long>").groupBy("node").agg(F.first("whole").alias("whole")), "simhash-whole")
+    left, right = (whole.select(F.col("node").alias(c), F.col("whole").alias(f"whole_{c}")) for c in "xy")
+    shared = F.size(F.array_intersect("whole_x", "whole_y"))
+    # shared / (n_x + n_y - shared) >= over / under, in whole numbers
+    over, under = ALIKE
+    alike = shared * (over + under) >= (F.size("whole_x") + F.size("whole_y")) * over
+    return written(pairs.join(left, "x").join(right, "y").filter(alike).select("x", "y"), "simhash-alike")
+
+
+def near_classes(docs: DataFrame, blocks: Blocks = NEAR, shingle: int = NEAR_SHINGLE) -> DataFrame:
+    """(doc_id, print, class) of every row with a doc_id: classes joined by pairs of similarity ``ALIKE`` or more."""
+    rows = written(sets(docs, shingle), "simhash-sets")
+    nodes = written(rows.groupBy("node").agg(F.min(F.struct("doc_id", "print", "n", "fp")).alias("s")).select("node", "s.*"), "simhash-nodes")
+    prints = written(nodes.groupBy("fp").agg(F.min("node").alias("first")), "simhash-prints")
+    same = nodes.join(prints, "fp").filter("node != first").select(F.col("node").alias("x"), F.col("first").alias("y"))
+    links = verified(docs, nodes, stars(prints.select("fp", F.col("first").alias("node")), blocks).union(same), shingle)
+    return rows.join(components(links).select(F.col("x").alias("node"), "y"), "node", "left").select("doc_id", "print", F.coalesce("y", "node").alias("class"))
+
+
 def deduplicated(docs: DataFrame, blocks: Blocks = NEAR, shingle: int = NEAR_SHINGLE) -> DataFrame:
-    """The row with the least doc_id of each class; rows without a doc_id stay."""
-    keep = classes(docs, blocks, shingle).filter("doc_id = component_id").select("doc_id").distinct()
+    """The row with the least doc_id of each class of near copies; rows without a doc_id stay."""
+    found = near_classes(docs, blocks, shingle)
+    keep = found.groupBy("class").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     nth = unused(docs, "_nth")
     inside = docs.filter(F.col("doc_id").isNotNull()).join(keep, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
     first = inside.withColumn(nth, F.row_number().over(W.partitionBy("doc_id").orderBy("text"))).filter(F.col(nth) == 1).drop(nth)
