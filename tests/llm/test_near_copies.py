@@ -17,3 +17,26 @@ def test_equal_prints_are_no_proof(spark):
     assert len({simhash.fingerprint(t, 5) for t in texts}) == 1
     df = spark.createDataFrame([*enumerate(texts), (3, texts[1])], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in simhash.deduplicated(df).collect()) == [0, 1, 2]
+
+
+def test_all_alike_pairs_are_found(spark, monkeypatch):
+    """Pairs of similarity 0.8 or more whose fingerprints lie beyond ten bits are copies; a little less alike, they are not."""
+    rng = random.Random(4)
+    texts, far = [], 0
+    while far < 12:
+        base = [word(rng) for _ in range(200)]
+        copy = list(base)
+        for at in rng.sample(range(3, 197, 6), 4):
+            copy[at] = word(rng)
+        a, b = " ".join(base), " ".join(copy)
+        if (simhash.fingerprint(a, 5) ^ simhash.fingerprint(b, 5)).bit_count() > 10:
+            far += 1
+            texts += [a, b]
+    copy = list(base)
+    for at in range(3, 197, 24):
+        copy[at] = word(rng)
+    texts.append(" ".join(copy))
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    for common in (simhash.COMMON, 3):
+        monkeypatch.setattr(simhash, "COMMON", common)
+        assert sorted(r["doc_id"] for r in simhash.deduplicated(df).collect()) == [*range(0, 24, 2), 24]

@@ -12,10 +12,15 @@ no task holds more than a fixed number of rows, and copies, which share a
 fingerprint, never meet as pairs at all.
 
 ``Blocks`` says how many blocks there are and how many make a key; pairs that
-differ in no more bits than blocks are left over are sure to meet.  ``NEAR``,
-for removing near copies, has 120 keys of three out of ten blocks over 5-word
-shingles: all pairs up to seven bits meet, and most of eight to ten.  Ten bits
-are the expected distance of sets with a similarity of 0.8.
+differ in no more bits than blocks are left over are sure to meet.
+
+Near copies are texts whose sets of 5-word shingles have a Jaccard similarity
+of 0.8 or more, and what such pairs join.  Fingerprints only propose: ``NEAR``
+has 120 keys of three out of ten blocks and takes pairs up to ten bits, all of
+them up to seven; each proposed link is verified on whole texts.  Pairs that
+lie in different classes by then are found by an exact prefix filter over their
+rarest shingles and verified likewise, so the classes are those of all pairs,
+whatever the distance of their fingerprints and the size of the input.
 
 Under a key only a star over each class is kept (members to the least), and
 the stars are closed by alternating large and small stars, each round stored
@@ -74,21 +79,26 @@ NEAR = Blocks((7, 7, 7, 7, 6, 6, 6, 6, 6, 6), 3, 10)
 NEAR_SHINGLE = 5
 #: Near copies: a Jaccard similarity of four fifths or more.
 ALIKE = (4, 5)
+#: Documents of which the common shingles are learned, and how many of these are known.
+SAMPLE, COMMON = 8192, 1 << 16
+#: Keys that a pair must share, where its sets have so many: a set has one more key for each beyond the first.
+DEPTH = 12
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """64 bits; a bit is set if it is set in over half of the shingles' XXH64."""
+def shingles(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """XXH64 of each of the text's shingles, repeats kept; a short text is one shingle, a blank one has none."""
     import xxhash
 
     words = (text or "").encode().lower().split()
-    if not words:
-        return 0
     digest, join = xxhash.xxh64_intdigest, b" ".join
     if len(words) < shingle:
-        return digest(join(words), seed)
-    n = len(words) - shingle + 1
-    grams = zip(*[words[k:] for k in range(shingle)], strict=False)
-    hashes = np.fromiter((digest(join(g), seed) for g in grams), np.uint64, n)
+        return np.array([digest(join(words), seed)] if words else [], np.uint64)
+    return np.fromiter((digest(join(g), seed) for g in zip(*[words[k:] for k in range(shingle)], strict=False)), np.uint64, len(words) - shingle + 1)
+
+
+def voted(hashes: np.ndarray) -> int:
+    """64 bits; a bit is set if it is set in over half of the hashes."""
+    n = len(hashes)
     votes = np.zeros(64, np.int64)
     for start in range(0, n, 16384):
         some = hashes[start : start + 16384]
@@ -96,6 +106,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int(np.packbits(2 * votes > n, bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """The vote of the shingles' XXH64."""
+    return voted(shingles(text, shingle, seed))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """(doc_id, fp) of every row; fp is the fingerprint as a signed 64-bit number."""
 
@@ -269,17 +284,6 @@ def classes(docs: DataFrame, blocks: Blocks = EXACT, shingle: int = SHINGLE) ->
     return prints.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def shingles(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
-    """XXH64 of each of the text's shingles, repeats kept; a short text is one shingle, a blank one has none."""
-    import xxhash
-
-    words = (text or "").encode().lower().split()
-    digest, join = xxhash.xxh64_intdigest, b" ".join
-    if len(words) < shingle:
-        return np.array([digest(join(words), seed)] if words else [], np.uint64)
-    return np.fromiter((digest(join(g), seed) for g in zip(*[words[k:] for k in range(shingle)], strict=False)), np.uint64, len(words) - shingle + 1)
-
-
 def _named(whole: np.ndarray) -> int:
     """A signed 64-bit name of a set of shingles."""
     import xxhash
@@ -297,19 +301,55 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), text.alias("text")).filter("doc_id is not null")
 
 
+def frequent(docs: DataFrame, shingle: int = NEAR_SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many documents of a sample hold, ascending, and in how many: at most ``COMMON``, whatever the rows.
+
+    It only says which shingles are looked up last; the pairs that are found do not depend on it.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in slices(batch, "text"):
+                whole = [np.unique(shingles(t, shingle)) for t in rows["text"].to_pylist()]
+                found, n = np.unique(np.concatenate(whole), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["shingle", "n"])
+
+    texts = _texts(docs)
+    share = max(1, texts.count() // SAMPLE)
+    some = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
+    summed = some.mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= 8)
+    rows = sorted((r["shingle"] & (1 << 64) - 1, r["n"]) for r in summed.orderBy(F.desc("n"), "shingle").limit(COMMON).collect())
+    return np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.int64)
+
+
+def _keys(whole: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, rarest first: sets that are alike share k of their first n - need + k."""
+    n = len(whole)
+    if not n:
+        return whole
+    often = np.zeros(n, np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, whole), len(common) - 1)
+        often = np.where(common[at] == whole, counts[at], 0)
+    over, under = ALIKE
+    need = -(-over * n // under)
+    return whole[np.lexsort((whole, often))][: n - need + min(DEPTH, need)]
+
+
 def sets(docs: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
-    """(doc_id, print, node, n, fp) of every row with a doc_id: node names its set of n shingles, print its text."""
+    """(doc_id, print, node, n, fp, keys) of every row with a doc_id: node names its set of n shingles, print its text."""
+    common, counts = frequent(docs, shingle)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "text"):
-                texts = rows["text"].to_pylist()
-                whole = [np.unique(shingles(t, shingle)) for t in texts]
-                found = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
-                columns = [rows["doc_id"], rows["print"], pa.array([_named(w) for w in whole], pa.int64()), pa.array([len(w) for w in whole], pa.int64()), pa.array(found.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "print", "node", "n", "fp"])
+                hashes = [shingles(t, shingle) for t in rows["text"].to_pylist()]
+                whole = [np.unique(h) for h in hashes]
+                found = np.fromiter(map(voted, hashes), np.uint64, len(hashes))
+                columns = [rows["doc_id"], rows["print"], pa.array([_named(w) for w in whole], pa.int64()), pa.array([len(w) for w in whole], pa.int64()), pa.array(found.view(np.int64)), _lists([_keys(w, common, counts) for w in whole])]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "print", "node", "n", "fp", "keys"])
 
-    return _texts(docs).mapInArrow(of, "doc_id long, print long, node long, n long, fp long")
+    return _texts(docs).mapInArrow(of, "doc_id long, print long, node long, n long, fp long, keys array<long>")
 
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
@@ -334,13 +374,34 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int =
     return written(pairs.join(left, "x").join(right, "y").filter(alike).select("x", "y"), "simhash-alike")
 
 
+def sharing(nodes: DataFrame, known: DataFrame) -> DataFrame:
+    """(x, y): every pair of ``nodes`` that may be alike, less those that ``known`` (x, y) puts in one class.
+
+    A prefix filter: sets that are alike share ``DEPTH`` keys (or all that the smaller set needs), and at each
+    of the first so many both have places enough left for the rest (positional filter).
+    """
+    classed = nodes.join(known.select(F.col("x").alias("node"), F.col("y").alias("class")), "node", "left")
+    rows = classed.select("node", "n", F.coalesce("class", "node").alias("class"), F.posexplode("keys").alias("at", "key"))
+    a, b = (rows.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "class", "at")]) for s in "xy")
+    over, under = ALIKE
+    left = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))
+    may = (F.col("node_x") > F.col("node_y")) & (F.col("class_x") != F.col("class_y")) & ((left + DEPTH - 1) * (over + under) >= (F.col("n_x") + F.col("n_y")) * over)
+    met = a.join(b, "key").filter(may).groupBy(F.col("node_x").alias("x"), F.col("node_y").alias("y")).agg(F.count("*").alias("keys"), F.min(F.least("n_x", "n_y")).alias("n"))
+    return met.filter(F.col("keys") >= F.least(F.lit(DEPTH), F.ceil(F.col("n") * over / under))).select("x", "y")
+
+
 def near_classes(docs: DataFrame, blocks: Blocks = NEAR, shingle: int = NEAR_SHINGLE) -> DataFrame:
-    """(doc_id, print, class) of every row with a doc_id: classes joined by pairs of similarity ``ALIKE`` or more."""
+    """(doc_id, print, class) of every row with a doc_id: classes joined by all pairs of similarity ``ALIKE`` or more.
+
+    Pairs of near fingerprints come first, since they join most copies by stars; all other pairs
+    that may be alike and lie in different classes by then are found by their rarest shingles.
+    """
     rows = written(sets(docs, shingle), "simhash-sets")
-    nodes = written(rows.groupBy("node").agg(F.min(F.struct("doc_id", "print", "n", "fp")).alias("s")).select("node", "s.*"), "simhash-nodes")
+    nodes = written(rows.groupBy("node").agg(F.min(F.struct("doc_id", "print")).alias("s"), *[F.first(c).alias(c) for c in ("n", "fp", "keys")]).select("node", "s.*", "n", "fp", "keys"), "simhash-nodes")
     prints = written(nodes.groupBy("fp").agg(F.min("node").alias("first")), "simhash-prints")
     same = nodes.join(prints, "fp").filter("node != first").select(F.col("node").alias("x"), F.col("first").alias("y"))
     links = verified(docs, nodes, stars(prints.select("fp", F.col("first").alias("node")), blocks).union(same), shingle)
+    links = links.union(verified(docs, nodes, sharing(nodes, components(links)), shingle))
     return rows.join(components(links).select(F.col("x").alias("node"), "y"), "node", "left").select("doc_id", "print", F.coalesce("y", "node").alias("class"))
 
 
