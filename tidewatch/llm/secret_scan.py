@@ -20,7 +20,7 @@ Defined results
   * null and empty texts: no spans, the digest of an empty list;
   * spans count code points, the end is exclusive; order is by start, then by
     kind as listed; spans of different kinds may overlap, but a further kind
-    gives way to an overlapping base span;
+    gives way to an overlapping base span, but for whole private keys;
   * a null owner or repository counts as one of its own;
   * repeated rows and null doc_ids: each row gets its own result row; an empty
     table gives no rows; other columns are not used.
@@ -52,7 +52,12 @@ LEAST_VALUE = 6
 #: Further kinds: prefixes of issued keys are public knowledge (fixed values).
 ISSUED = re.compile(r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|glpat-[A-Za-z0-9_-]{20,})")
 JWT = re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+#: A private key runs to its END line, or over its base64 lines where that line is missing.
 PRIVATE = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----")
+PRIVATE_END = re.compile(r"-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----")
+BREAK = r"(?:\s|\\[nrt])"
+CUT_OFF = re.compile(rf"(?:{BREAK}*(?:Proc-Type|DEK-Info):[^\n\\]*)*(?:{BREAK}*[A-Za-z0-9+/]{{16,}}={{0,2}})*(?:{BREAK}+[A-Za-z0-9+/]{{1,15}}={{1,2}})?")
+BREAKS = re.compile(rf"{BREAK}+")
 MIXED = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,40}[0-9])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9+/_-])")
 FURTHER = (("issued", ISSUED, 0.0), ("jwt", JWT, 0.0), ("private", PRIVATE, 0.0), ("mixed", MIXED, 3.5))
 KINDS = (*BASE, *(k for k, _, _ in FURTHER))
@@ -76,11 +81,31 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
+def private_spans(text: str) -> list[tuple[str, int, int]]:
+    """Whole private keys, from the header on."""
+    out = []
+    for m in PRIVATE.finditer(text) if "PRIVATE KEY-----" in text else ():
+        at = text.find("-----", m.end())
+        end = PRIVATE_END.match(text, at) if at >= 0 else None
+        out.append(("private", m.start(), (end or CUT_OFF.match(text, m.end())).end()))
+    return out
+
+
+def hashed(kind: str, value: str) -> int:
+    """Hash of a span's value; a private key's is that of its body without line breaks, since its header is everybody's."""
+    import xxhash
+
+    if kind == "private":
+        value = BREAKS.sub("", PRIVATE_END.sub("", PRIVATE.sub("", value, count=1))) or value
+    return xxhash.xxh3_64_intdigest(value.encode()) - (1 << 63)
+
+
 def further_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Candidates of the further kinds that overlap no base span and no earlier candidate."""
-    taken, out = [(s, e) for _, s, e in base], []
+    """Private keys, and candidates of the other further kinds that overlap no base span, no private key and no earlier candidate."""
+    out = private_spans(text)
+    taken = [(s, e) for _, s, e in base + out]
     for kind, pattern, least in FURTHER:
-        for m in pattern.finditer(text):
+        for m in pattern.finditer(text) if kind != "private" else ():
             s, e = m.span()
             if (not least or entropy(m.group()) >= least) and all(e <= a or b <= s for a, b in taken):
                 taken.append((s, e))
@@ -96,8 +121,6 @@ def candidates(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
     """One row a document: its spans, each with the hash of its value."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         part, n = TaskContext.get().partitionId(), 0
         for batch in batches:
             for rows in slices(batch, "text"):
@@ -106,7 +129,7 @@ def candidates(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
                     text = text or ""
                     base = base_spans(text)
                     spans = ordered(base + further_spans(text, base))
-                    found.append([{"kind": k, "start": s, "end": e, "hash": xxhash.xxh3_64_intdigest(text[s:e].encode()) - (1 << 63)} for k, s, e in spans])
+                    found.append([{"kind": k, "start": s, "end": e, "hash": hashed(k, text[s:e])} for k, s, e in spans])
                 names = [f"{part}:{n + i}" for i in range(rows.num_rows)]
                 n += rows.num_rows
                 yield pa.RecordBatch.from_arrays([pa.array(names), rows["doc_id"], rows["owner"], rows["repository"], pa.array(found, pa.list_(SPAN))], names=["row", "doc_id", "owner", "repository", "spans"])
@@ -174,8 +197,6 @@ def redacted(docs: DataFrame, owner: Column | None = None, repository: Column |
     marked = docs.join(spans, "doc_id", "left").select(*[F.col(f"`{c}`") for c in names], mark)
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         at = names.index("text")
         for batch in batches:
             for rows in slices(batch, "text"):
@@ -186,7 +207,7 @@ def redacted(docs: DataFrame, owner: Column | None = None, repository: Column |
                         cut = list(base)
                         if live:
                             known = set(live)
-                            cut += [x for x in further_spans(text, base) if xxhash.xxh3_64_intdigest(text[x[1] : x[2]].encode()) - (1 << 63) in known]
+                            cut += [x for x in further_spans(text, base) if hashed(x[0], text[x[1] : x[2]]) in known]
                         text = _masked(text, cut)
                     texts.append(text)
                 columns = [rows[c] for c in names]
