@@ -27,3 +27,10 @@ def test_private_keys_are_counted_by_body(spark):
     assert all("private" not in spans[i] for i in range(9, 15))
     clean = {r["doc_id"]: r["text"] for r in secret_scan.redacted(df).collect()}
     assert all(clean[i] == f"mine {secret_scan.MASK} end" for i in range(8)) and clean[8] == f"{secret_scan.MASK} end"
+
+
+def test_mixed_strings_with_a_late_digit():
+    """The digit of a mixed string may stand anywhere in it; without one it is no candidate."""
+    letters = (string.ascii_letters * 2)[:49]
+    assert secret_scan.further_spans(f"x {letters}7ab y", []) == [("mixed", 2, 54)]
+    assert secret_scan.further_spans(f"x {letters}qab y", []) == []

@@ -58,7 +58,9 @@ PRIVATE_END = re.compile(r"-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----")
 BREAK = r"(?:\s|\\[nrt])"
 CUT_OFF = re.compile(rf"(?:{BREAK}*(?:Proc-Type|DEK-Info):[^\n\\]*)*(?:{BREAK}*[A-Za-z0-9+/]{{16,}}={{0,2}})*(?:{BREAK}+[A-Za-z0-9+/]{{1,15}}={{1,2}})?")
 BREAKS = re.compile(rf"{BREAK}+")
-MIXED = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,40}[0-9])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9+/_-])")
+MIXED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9+/_-])")
+#: A mixed string holds a digit somewhere; asked of the whole match, so that no window cuts the search.
+DIGIT = re.compile(r"[0-9]")
 FURTHER = (("issued", ISSUED, 0.0), ("jwt", JWT, 0.0), ("private", PRIVATE, 0.0), ("mixed", MIXED, 3.5))
 KINDS = (*BASE, *(k for k, _, _ in FURTHER))
 MOST_OWNERS = 2
@@ -107,7 +109,7 @@ def further_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str
     for kind, pattern, least in FURTHER:
         for m in pattern.finditer(text) if kind != "private" else ():
             s, e = m.span()
-            if (not least or entropy(m.group()) >= least) and all(e <= a or b <= s for a, b in taken):
+            if (kind != "mixed" or DIGIT.search(m.group())) and (not least or entropy(m.group()) >= least) and all(e <= a or b <= s for a, b in taken):
                 taken.append((s, e))
                 out.append((kind, s, e))
     return out
