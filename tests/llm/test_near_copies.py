@@ -40,3 +40,11 @@ def test_all_alike_pairs_are_found(spark, monkeypatch):
     for common in (simhash.COMMON, 3):
         monkeypatch.setattr(simhash, "COMMON", common)
         assert sorted(r["doc_id"] for r in simhash.deduplicated(df).collect()) == [*range(0, 24, 2), 24]
+
+
+def test_repeated_ids_with_different_texts_stay(spark):
+    """A class keeps one row; another text of the same doc_id is no copy, and goes nowhere with one."""
+    rng = random.Random(5)
+    a, b, c = (" ".join(word(rng) for _ in range(60)) for _ in range(3))
+    df = spark.createDataFrame([(1, a), (2, b), (2, a), (2, c), (2, c), (3, b)], "doc_id long, text string")
+    assert sorted(map(tuple, simhash.deduplicated(df).collect())) == sorted([(1, a), (2, b), (2, c)])

@@ -406,12 +406,16 @@ def near_classes(docs: DataFrame, blocks: Blocks = NEAR, shingle: int = NEAR_SHI
 
 
 def deduplicated(docs: DataFrame, blocks: Blocks = NEAR, shingle: int = NEAR_SHINGLE) -> DataFrame:
-    """The row with the least doc_id of each class of near copies; rows without a doc_id stay."""
+    """One row of each class of near copies, that of the least doc_id, then of the least text; rows without a doc_id stay."""
     found = near_classes(docs, blocks, shingle)
-    keep = found.groupBy("class").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    nth = unused(docs, "_nth")
-    inside = docs.filter(F.col("doc_id").isNotNull()).join(keep, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
-    first = inside.withColumn(nth, F.row_number().over(W.partitionBy("doc_id").orderBy("text"))).filter(F.col(nth) == 1).drop(nth)
+    print_, group, nth = unused(docs, "_print"), unused(docs, "_class"), unused(docs, "_nth")
+    least = found.groupBy("class").agg(F.min("doc_id").alias("doc_id"))
+    # Rows that repeat a doc_id may hold different texts: a row is known by both.
+    keep = found.join(least, ["class", "doc_id"]).select("doc_id", F.col("print").alias(print_), F.col("class").alias(group)).distinct()
+    known = docs.filter(F.col("doc_id").isNotNull()).withColumn(print_, F.xxhash64(F.col("text").cast("string")))
+    inside = known.join(keep, ["doc_id", print_])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    first = inside.withColumn(nth, F.row_number().over(W.partitionBy("doc_id", group).orderBy("text"))).filter(F.col(nth) == 1).select(*columns)
     return first.union(docs.filter(F.col("doc_id").isNull()))
 
 
