@@ -34,3 +34,10 @@ def test_mixed_strings_with_a_late_digit():
     letters = (string.ascii_letters * 2)[:49]
     assert secret_scan.further_spans(f"x {letters}7ab y", []) == [("mixed", 2, 54)]
     assert secret_scan.further_spans(f"x {letters}qab y", []) == []
+
+
+def test_rows_without_an_id_are_masked(spark):
+    """A live value is masked in rows whose doc_id is null or repeated as well."""
+    own = "ghp_" + "Zz9Yy8Xx" * 5
+    df = spark.createDataFrame([(None, f"key {own} here", "en", "s1"), (1, "plain", "en", "s1"), (1, f"other {own}", "en", "s1"), (2, None, "en", "s1")], "doc_id long, text string, lang string, source string")
+    assert sorted(r["text"] or "" for r in secret_scan.redacted(df).collect()) == sorted(["", "plain", f"key {secret_scan.MASK} here", f"other {secret_scan.MASK}"])

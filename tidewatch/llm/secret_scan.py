@@ -119,8 +119,8 @@ def ordered(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
-def candidates(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
-    """One row a document: its spans, each with the hash of its value."""
+def candidates(docs: DataFrame, owner: Column, repository: Column, key: Column | None = None) -> DataFrame:
+    """One row a document: its spans, each with the hash of its value; doc_id is ``key`` where that is given."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n = TaskContext.get().partitionId(), 0
@@ -136,7 +136,8 @@ def candidates(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
                 n += rows.num_rows
                 yield pa.RecordBatch.from_arrays([pa.array(names), rows["doc_id"], rows["owner"], rows["repository"], pa.array(found, pa.list_(SPAN))], names=["row", "doc_id", "owner", "repository", "spans"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), owner.cast("string").alias("owner"), repository.cast("string").alias("repository"), F.col("text").cast("string").alias("text"))
+    key = F.col("doc_id").cast("long") if key is None else key
+    rows = docs.select(key.alias("doc_id"), owner.cast("string").alias("owner"), repository.cast("string").alias("repository"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(scan, SCANNED)
 
 
@@ -184,19 +185,20 @@ MASK = "[secret]"
 def redacted(docs: DataFrame, owner: Column | None = None, repository: Column | None = None) -> DataFrame:
     """``docs`` with every found span of ``text`` replaced by a mark; n_chars, where there is one, follows.
 
-    A document is matched with its spans by doc_id; base spans need no corpus counts and are
-    found again on the row itself, so rows without a doc_id lose those at least.
+    A row is matched with its live values by a hash of its text, so a null or repeated doc_id does
+    not matter; texts that share a hash could only lend each other values that are live anyhow.
     """
     base_owner = F.col("source") if owner is None else owner
     base_repository = F.concat_ws("/", F.col("source"), F.coalesce("lang", F.lit(""))) if repository is None else repository
-    mark = unused(docs, "_live")
-    found = written(candidates(docs, base_owner, base_repository), "secret-spans")
+    mark, print_ = unused(docs, "_live"), unused(docs, "_print")
+    of_text = F.xxhash64(F.col("text").cast("string"))
+    found = written(candidates(docs, base_owner, base_repository, of_text), "secret-spans")
     live = ownership(found).filter((F.col("owners") <= MOST_OWNERS) & (F.col("repositories") <= MOST_REPOSITORIES)).select("hash")
-    more = found.select("doc_id", F.explode("spans").alias("s")).filter(~F.col("s.kind").isin(*BASE))
+    more = found.select(F.col("doc_id").alias(print_), F.explode("spans").alias("s")).filter(~F.col("s.kind").isin(*BASE))
     # Stored, so that its true size decides how it meets the texts: few live values need no shuffle of them.
-    spans = written(more.join(live, F.col("s.hash") == F.col("hash"), "left_semi").groupBy("doc_id").agg(F.collect_set("s.hash").alias(mark)), "secret-live")
+    spans = written(more.join(live, F.col("s.hash") == F.col("hash"), "left_semi").groupBy(print_).agg(F.collect_set("s.hash").alias(mark)), "secret-live")
     names, kinds = docs.columns, docs.schema
-    marked = docs.join(spans, "doc_id", "left").select(*[F.col(f"`{c}`") for c in names], mark)
+    marked = docs.withColumn(print_, of_text).join(spans, print_, "left").select(*[F.col(f"`{c}`") for c in names], mark)
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index("text")
