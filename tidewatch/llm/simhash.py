@@ -364,7 +364,8 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int =
     pairs = written(pairs.distinct(), "simhash-pairs")
     ends = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
     wanted = written(nodes.join(ends, "node", "left_semi").select("node", "doc_id", "print"), "simhash-wanted")
-    texts = _texts(docs).join(wanted.select("doc_id", "print").distinct(), ["doc_id", "print"], "left_semi").select("text")
+    # Stored, so that its true size decides how it meets the texts: few rows need no shuffle of them.
+    texts = _texts(docs).join(wanted.select("doc_id", "print"), ["doc_id", "print"], "left_semi").select("text")
     whole = written(texts.mapInArrow(of, "node long, whole array<long>").groupBy("node").agg(F.first("whole").alias("whole")), "simhash-whole")
     left, right = (whole.select(F.col("node").alias(c), F.col("whole").alias(f"whole_{c}")) for c in "xy")
     shared = F.size(F.array_intersect("whole_x", "whole_y"))
@@ -411,7 +412,7 @@ def deduplicated(docs: DataFrame, blocks: Blocks = NEAR, shingle: int = NEAR_SHI
     print_, group, nth = unused(docs, "_print"), unused(docs, "_class"), unused(docs, "_nth")
     least = found.groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     # Rows that repeat a doc_id may hold different texts: a row is known by both.
-    keep = found.join(least, ["class", "doc_id"]).select("doc_id", F.col("print").alias(print_), F.col("class").alias(group)).distinct()
+    keep = written(found.join(least, ["class", "doc_id"]).select("doc_id", F.col("print").alias(print_), F.col("class").alias(group)).distinct(), "simhash-keep")
     known = docs.filter(F.col("doc_id").isNotNull()).withColumn(print_, F.xxhash64(F.col("text").cast("string")))
     inside = known.join(keep, ["doc_id", print_])
     columns = [F.col(f"`{c}`") for c in docs.columns]
