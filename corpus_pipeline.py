@@ -51,7 +51,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: No SQL: the classifier, the fingerprints and the tokenizer are beyond it; tests use brute force.
+#: No SQL: the classifier, the fingerprints and the tokenizer are beyond it; tests compare the near-copy stage with all pairs, and run() with its stages.
 ORACLE_SQL = None
 
 

@@ -1,6 +1,7 @@
 """The near-copy stage against the true similarity of whole texts."""
 
 import random
+from collections import Counter, defaultdict
 
 from tidewatch.llm import simhash
 
@@ -48,3 +49,33 @@ def test_repeated_ids_with_different_texts_stay(spark):
     a, b, c = (" ".join(word(rng) for _ in range(60)) for _ in range(3))
     df = spark.createDataFrame([(1, a), (2, b), (2, a), (2, c), (2, c), (3, b)], "doc_id long, text string")
     assert sorted(map(tuple, simhash.deduplicated(df).collect())) == sorted([(1, a), (2, b), (2, c)])
+
+
+def test_stage_against_all_pairs(spark):
+    """On some thousand documents the stage keeps what a comparison of all pairs that share anything keeps."""
+    df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id < 3000")
+    ids, whole, holders = [], [], defaultdict(list)
+    root = {}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for r in sorted(df.collect(), key=lambda r: r["doc_id"]):
+        ws = (r["text"] or "").encode().lower().split()
+        own = {tuple(ws[k : k + 5]) for k in range(max(1, len(ws) - 4))} if ws else {()}
+        n, shared = len(ids), Counter()
+        root[n] = n
+        for s in own:
+            shared.update(holders[s])
+            holders[s].append(n)
+        for m, c in shared.items():
+            if c >= 0.8 * (len(own) + len(whole[m]) - c):
+                a, b = sorted((top(m), top(n)))
+                root[b] = a
+        ids.append(r["doc_id"])
+        whole.append(own)
+    want = {ids[i] for i in root if top(i) == i}
+    got = {r["doc_id"] for r in simhash.deduplicated(df).select("doc_id").collect()}
+    assert len(want) < len(ids) and got == want
