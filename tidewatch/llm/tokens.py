@@ -133,11 +133,12 @@ class PieceEncoder:
         """Pieces for a vocabulary that composes marks, drops white space and case.
 
         Small letters and parted signs make fewer pieces differ.  They are used where they
-        can't change ids: not with a capital sigma, whose small letter depends on its place
-        in Python, nor where composing marks would change the text.
+        can't change ids: not where a special token may stand, since the library looks for
+        these before it folds, not with a capital sigma, whose small letter depends on its
+        place in Python, nor where composing marks would change the text.
         """
         small = text.lower()
-        if "\u03a3" not in text and (text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", small)):
+        if "<|" not in text and "\u03a3" not in text and (text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", small)):
             text = small
             if not SIGNS.search(text):  # every sign stands alone, so it is a token of its own wherever it is
                 text = text.replace(".", " . ").replace(",", " , ")
