@@ -228,40 +228,85 @@ def test_warc(spark, empty):
     assert warc.read(spark, folder + "e").count() == 0
 
 
-def test_bpe(docs, empty):
+def coded_rows(df):
+    """Parts of ``bpe.coded`` put together: (doc_id, ids, text) of every row."""
+    out, ids, text = [], b"", ""
+    for r in df.collect():
+        assert (r["part"] == 0) == (not ids and not text) or r["part"] > 0
+        ids, text = ids + bytes(r["ids"]), text + r["decoded"]
+        if r["last"]:
+            out.append((r["doc_id"], ids, text))
+            ids, text = b"", ""
+    return out
+
+
+def test_bpe(docs, empty, monkeypatch):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(packing.default_tokenizer())
-    found = {(r["doc_id"], r["decoded"]): r for r in bpe.coded(docs).collect()}
+    want = []
     for i, t in TEXTS:
         ids = library.encode(t or "", add_special_tokens=False).ids
-        r = found[i, library.decode(ids, skip_special_tokens=False)]
-        assert bytes(r["ids"]) == np.array(ids, "<u4").tobytes() and r["n_tokens"] == len(ids)
-    assert bpe.coded(empty).count() == 0
+        want.append((i, np.array(ids, "<u4").tobytes(), library.decode(ids, skip_special_tokens=False)))
+    assert sorted(coded_rows(bpe.coded(docs)), key=key) == sorted(want, key=key)
+    digests = [(i, len(b) // 4, hashlib.sha256(b).hexdigest(), hashlib.sha256(t.encode()).hexdigest()) for i, b, t in want]
+    assert rows(bpe.digested(docs), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(digests, key=key)
+    assert bpe.coded(empty).count() == 0 and bpe.digested(empty).count() == 0
 
 
-def test_bpe_transducer():
+def test_bpe_transducer(monkeypatch):
+    """Whatever the chunks: the library's ids, every one from the merge machine or its memory, and few characters held."""
+    from array import array
+
     from tokenizers import Tokenizer
 
-    encoder, decoder = bpe.coders_for(packing.default_tokenizer())
+    pieces, decoder = bpe.coders_for(packing.default_tokenizer())
     library = Tokenizer.from_file(packing.default_tokenizer())
     rng = random.Random(3)
-    assert encoder.list.lookahead < 1000
-    for letters in ("ab", "abcdefghijklmnopqrstuvwxyz", "=-", "é漢", "0123456789"):
-        text = "".join(rng.choice(letters) for _ in range(3000))
-        machine, out = bpe.Transducer(encoder.list), []
-        for word in encoder.words.findall(text):
-            data = word.encode()
-            for at in range(0, len(data), 61):
-                out += machine.feed(data[at : at + 61])
-                assert len(machine.held) < machine.window + 61
-            out += machine.finish()
-        assert out == library.encode(text, add_special_tokens=False).ids
+    assert pieces.list.lookahead < 1000
+    letters = [" \n\t ab'sC1.,é́<|!_-'l're", "a", "ab", "   \n", "<|endoftext|>", "=-", "é漢", "'llve ", "0123", "\x1c\x85\u3000a"]
+    long = ["<|endoftext|>", "a" * 90, " " * 80, "!?" * 50, "\n" * 40]
+    for _ in range(1500):
+        text = "".join("".join(rng.choice(rng.choice(letters)) for _ in range(rng.randint(0, 12))) if rng.random() < 0.8 else rng.choice(long) for _ in range(rng.randint(0, 12)))
+        want = array("I", library.encode(text, add_special_tokens=False).ids).tobytes()
+        for step, forced in ((7, 40), (1, 60), (1000, 4096)):
+            monkeypatch.setattr(bpe, "FORCED", forced)
+            machine, out = bpe.Transducer(pieces), []
+            for at in range(0, len(text), step):
+                out += machine.feed(text[at : at + step])
+            assert b"".join([*out, *machine.finish()]) == want
+    for alphabet in ("ab", " ", "x\n", "!?", "é", "0123456789", "abcdefgh "):
+        machine, out, text = bpe.Transducer(pieces), [], "".join(rng.choice(alphabet) for _ in range(60_000))
+        for at in range(0, len(text), 997):
+            out += machine.feed(text[at : at + 997])
+            assert len(machine.held) < bpe.FORCED + 997 and (machine.open is None or len(machine.open[0].held) < machine.open[0].window + 4 * 5100)
+        assert b"".join([*out, *machine.finish()]) == array("I", library.encode(text, add_special_tokens=False).ids).tobytes()
     for _ in range(300):
         ids = [rng.randrange(50257) for _ in range(20)]
         assert "".join([*(decoder.feed([i]) for i in ids), decoder.finish()]) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_memory_is_constant():
+    """Twenty-six million characters pass through while a few megabytes are held."""
+    import tracemalloc
+
+    from array import array
+
+    pieces, decoder = bpe.coders_for(packing.default_tokenizer())
+    chunk = ("the quick brown fox, " * 4000)[: 1 << 16]
+    machine, n = bpe.Transducer(pieces), 0
+    list(machine.feed(chunk))
+    tracemalloc.start()
+    for _ in range(400):
+        for ids in machine.feed(chunk):
+            n += len(ids) // 4
+            decoder.feed(array("I", ids))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    decoder.finish()
+    assert n > 5_000_000 and peak < 32 << 20
+
+
 def test_piece_encoder_random():
     from array import array
 

@@ -9,7 +9,11 @@ bounded by the longest chain of merges of rising rank in which each left part
 begins the right part of the next.  ``MergeList.lookahead`` is that bound, a
 constant of the merge list.  Tokens that end at least so far before the end of
 what was read are final: the transducer emits them, drops their bytes and goes
-on, so its memory doesn't depend on the text.
+on.  The split into pretokens, which no merge crosses, needs a lookahead of its
+own: a blank after other than white space, else the length of a special token.
+Both together form ``Transducer``: texts are read in chunks, every id comes out
+of it, and what it holds doesn't grow with the text.  A bounded memory of the
+ids of frequent pieces stands behind it.
 
 Decoding is the reverse machine: ids to bytes to text, holding at most the
 bytes of one unfinished character; ill-formed bytes become U+FFFD.
@@ -18,8 +22,8 @@ Defined results
   * null and empty texts: no ids, empty text;
   * the vocabulary's special tokens in a text get their own id, as in the
     ``tokenizers`` library's default;
-  * very long words, runs of blanks or texts without any blank go through the
-    transducer in windows;
+  * very long texts are read and given out in parts; very long words, runs of
+    white space or texts without any blank pass through in windows as well;
   * repeated rows and null doc_ids: each row is coded alone; an empty table
     gives no rows; other columns are not used.
 """
@@ -27,6 +31,7 @@ Defined results
 from __future__ import annotations
 
 import codecs
+import hashlib
 import heapq
 import json
 from array import array
@@ -39,11 +44,16 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .packing import default_tokenizer
-from .tokens import WORDS, PieceEncoder, byte_letters, slices
+from .tokens import WORDS, byte_letters, slices
 
-#: Pretokens of at most so many bytes are merged at once and may be remembered.
-SHORT = 256
-CODED = "doc_id long, n_tokens long, ids binary, decoded string"
+#: What goes on with an endless pretoken: white space, letters, numbers, signs (fixed values of the split's rules).
+KINDS = (r"\s+", r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+")
+#: Characters read at once, characters without a blank after which pretokens are ended without one, and bytes of a result batch.
+CHUNK, FORCED, BATCH = 1 << 16, 4096, 4 << 20
+#: Pieces and pretokens that a worker remembers, each of at most so many characters.
+REMEMBERED, LONGEST_REMEMBERED = 200_000, 48
+CODED = "doc_id long, part int, last boolean, n_tokens long, ids binary, decoded string"
+CODED_NAMES = ["doc_id", "part", "last", "n_tokens", "ids", "decoded"]
 
 
 class MergeList:
@@ -131,7 +141,7 @@ class MergeList:
         return [s for s, live in zip(sym, alive, strict=True) if live]
 
 
-class Transducer:
+class MergeMachine:
     """Bytes of one pretoken in, final ids out; holds less than ``window`` bytes."""
 
     def __init__(self, merges: MergeList, window: int | None = None):
@@ -155,67 +165,158 @@ class Transducer:
         self.held = b""
 
 
-class StreamEncoder(PieceEncoder):
-    """Cuts texts as its parent does, but finds the ids of pieces by the transducer."""
+class Pieces:
+    """ids of text that begins and ends between pretokens: the merge machine's, behind a bounded memory of frequent pieces."""
 
     def __init__(self, path: str):
         import regex
 
         self.list = MergeList(path)
         self.words = regex.compile(WORDS)
+        self.kinds = [regex.compile(k) for k in KINDS]
         self.special = regex.compile("|".join(regex.escape(t) for t in sorted(self.list.special, key=len, reverse=True))) if self.list.special else None
-        self.spaced, self.code = True, "I"
-        self.new, self.old = {}, {}
-        self.memory: dict[str, bytes] = {}
-
-    def _pretoken(self, word: str) -> bytes:
-        data = word.encode()
-        if len(data) <= SHORT:
-            return array("I", self.list.merged(data)).tobytes()
-        machine, out = Transducer(self.list, 8 * SHORT), array("I")
-        for start in range(0, len(data), 1 << 16):
-            out.extend(machine.feed(data[start : start + (1 << 16)]))
-        out.extend(machine.finish())
-        return out.tobytes()
-
-    def _known(self, word: str) -> bytes:
-        """ids of a pretoken, from the bounded memory if it is there."""
-        ids = self.memory.get(word)
+        #: What stands so far before the end of what was read is in a pretoken for good: a contraction or a special token may still come.
+        self.margin = 1 + max([3, *map(len, self.list.special)])
+        self.machine = MergeMachine(self.list, 2048)
+        self.new: dict[str, bytes] = {}  # ids of a blank and the piece
+        self.old: dict[str, bytes] = {}
+        self.pretokens: dict[str, bytes] = {}
+
+    def pretoken(self, word: str) -> bytes:
+        """ids of one pretoken."""
+        ids = self.pretokens.get(word)
         if ids is None:
-            ids = self._pretoken(word)
-            if len(word) <= 48:
-                if len(self.memory) >= 100_000:
-                    self.memory.clear()
-                self.memory[word] = ids
+            data, out = word.encode(), array("I")
+            for start in range(0, len(data), 1 << 16):
+                out.extend(self.machine.feed(data[start : start + (1 << 16)]))
+            out.extend(self.machine.finish())
+            ids = out.tobytes()
+            if len(word) <= LONGEST_REMEMBERED:
+                if len(self.pretokens) >= REMEMBERED:
+                    self.pretokens.clear()
+                self.pretokens[word] = ids
         return ids
 
-    def _plain(self, text: str) -> Iterator[bytes]:
-        for m in self.words.finditer(text):
-            yield self._known(m.group())
-
-    def _one(self, text: str) -> bytes:
-        if self.special is None or not self.special.search(text):
-            return b"".join(self._plain(text))
-        out, at = [], 0
-        for m in self.special.finditer(text):
-            out += [*self._plain(text[at : m.start()]), array("I", [self.list.special[m.group()]]).tobytes()]
+    def parts(self, text: str) -> Iterator[tuple[int, int, str | None]]:
+        """(start, end, special token or None) of what special tokens part."""
+        at = 0
+        for m in self.special.finditer(text) if self.special is not None else ():
+            yield at, m.start(), None
+            yield m.start(), m.end(), m.group()
             at = m.end()
-        return b"".join([*out, *self._plain(text[at:])])
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [self._one(t) for t in texts]
+        yield at, len(text), None
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
+    def whole(self, text: str) -> bytes:
         out = []
-        for p in pieces:
+        for a, b, special in self.parts(text):
+            out += [array("I", [self.list.special[special]]).tobytes()] if special else [self.pretoken(m.group()) for m in self.words.finditer(text[a:b])]
+        return b"".join(out)
+
+    def _learned(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
             # Most pieces are letters, perhaps with a stop or comma: one or two pretokens by the split's rules.
-            if p.isalpha():
-                out.append(self._known(" " + p))
-            elif p[-1] in ".," and p[:-1].isalpha():
-                out.append(self._known(" " + p[:-1]) + self._known(p[-1]))
+            if piece.isalpha():
+                ids = self.pretoken(" " + piece)
+            elif piece[-1] in ".," and piece[:-1].isalpha():
+                ids = self.pretoken(" " + piece[:-1]) + self.pretoken(piece[-1])
             else:
-                out.append(self._one(" " + p))
-        return out
+                ids = self.whole(" " + piece)
+        if len(piece) <= LONGEST_REMEMBERED:
+            if len(self.new) >= REMEMBERED:
+                self.old, self.new = self.new, {}
+            self.new[piece] = ids
+        return ids
+
+    def stable(self, text: str) -> bytes:
+        """ids of whole pretokens, looked up between blanks."""
+        pieces = text.split(" ")
+        ids = [*map(self.new.get, pieces)]
+        ids[0] = self.whole(pieces[0])
+        if None in ids:
+            for k, known in enumerate(ids):
+                if known is None:
+                    if not pieces[k] or pieces[k][0].isspace():  # a run of white space goes across the blank
+                        return self.whole(text)
+                    ids[k] = self._learned(pieces[k])
+        return b"".join(ids)
+
+
+class Transducer:
+    """A text in chunks of any size in, final ids (32-bit, little-endian) out.
+
+    A blank after other than white space parts pretokens whatever follows, so all before
+    the last such blank is final.  Where none comes for ``FORCED`` characters, pretokens
+    end where the split's rules say so, short of ``Pieces.margin``; a pretoken that goes on
+    and on is fed to a merge machine of its own, which emits what its lookahead allows.
+    """
+
+    def __init__(self, pieces: Pieces):
+        self.pieces, self.held = pieces, ""
+        self.open: tuple[MergeMachine, object] | None = None  # of an endless pretoken, and the pattern of what goes on with it
+
+    def feed(self, chunk: str) -> Iterator[bytes]:
+        yield from self._run(self.held + chunk, False)
+
+    def finish(self) -> Iterator[bytes]:
+        yield from self._run(self.held, True)
+        self.held, self.open = "", None
+
+    def _run(self, text: str, last: bool) -> Iterator[bytes]:
+        if self.open is not None:
+            text = yield from self._on(text, last)
+        if self.open is None:
+            cut = len(text) if last else self._blank(text)
+            if cut:
+                yield self.pieces.stable(text[:cut])
+                text = text[cut:]
+            if not last and len(text) >= FORCED:
+                text = yield from self._forced(text)
+        self.held = text
+
+    @staticmethod
+    def _blank(text: str) -> int:
+        at = text.rfind(" ")
+        while at > 0 and text[at - 1].isspace():
+            at = text.rfind(" ", 0, at)
+        return max(at, 0)
+
+    def _forced(self, text: str) -> Iterator[bytes]:
+        """Emits all pretokens that are final without a blank, opens one that is very long, and returns what is left."""
+        safe = len(text) - self.pieces.margin
+        for a, b, special in self.pieces.parts(text):
+            if special:
+                yield array("I", [self.pieces.list.special[special]]).tobytes()
+                continue
+            for m in self.pieces.words.finditer(text, a, b):
+                if m.end() <= safe or b < len(text):
+                    yield self.pieces.pretoken(m.group())
+                elif safe - m.start() < FORCED // 2:
+                    return text[m.start() :]
+                else:
+                    machine = MergeMachine(self.pieces.list, 2048)
+                    self.open = machine, next(k for k in self.pieces.kinds if k.match(text, safe - 1))
+                    yield array("I", machine.feed(text[m.start() : safe].encode())).tobytes()
+                    return text[safe:]
+        return ""
+
+    def _on(self, text: str, last: bool) -> Iterator[bytes]:
+        """Goes on with the open pretoken, and returns what is left."""
+        machine, kind = self.open
+        special = self.pieces.special.search(text) if self.pieces.special is not None else None
+        end = special.start() if special else len(text)
+        run = kind.match(text, 0, end)
+        to = run.end() if run else 0
+        safe = len(text) - (0 if last else self.pieces.margin)
+        if to > safe or to == len(text) and not last:
+            to = max(safe, 0)
+            yield array("I", machine.feed(text[:to].encode())).tobytes()
+            return text[to:]
+        if to < end and kind is self.pieces.kinds[0]:
+            to = max(to - 1, 0)  # the last of white space belongs to what follows
+        yield array("I", [*machine.feed(text[:to].encode()), *machine.finish()]).tobytes()
+        self.open = None
+        return text[to:]
 
 
 class StreamDecoder:
@@ -233,34 +334,82 @@ class StreamDecoder:
         self.machine.reset()
         return text
 
-    def whole(self, ids: array) -> str:
-        parts = [self.feed(ids[at : at + 65536]) for at in range(0, len(ids), 65536)]
-        return "".join([*parts, self.finish()])
-
 
 @lru_cache(maxsize=1)
-def coders_for(path: str) -> tuple[StreamEncoder, StreamDecoder]:
-    """This process's machines, kept while a Python worker is reused."""
-    encoder = StreamEncoder(path)
-    return encoder, StreamDecoder(encoder.list)
+def coders_for(path: str) -> tuple[Pieces, StreamDecoder]:
+    """This process's tables, kept while a Python worker is reused."""
+    pieces = Pieces(path)
+    return pieces, StreamDecoder(pieces.list)
+
+
+def _coded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    pieces, decoder = coders_for(path)
+    rows: list[list] = [[] for _ in CODED_NAMES]
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.string())
+        out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=CODED_NAMES)
+        for c in rows:
+            c.clear()
+        return out
 
+    for whole in batches:
+        for some in slices(whole, "text"):
+            for doc_id, scalar in zip(some["doc_id"].to_pylist(), some["text"], strict=True):
+                text = scalar.as_py() or ""
+                machine, part = Transducer(pieces), 0
+                for start in range(0, max(1, len(text)), CHUNK):
+                    last = start + CHUNK >= len(text)
+                    ids = b"".join(machine.feed(text[start : start + CHUNK]))
+                    if last:
+                        ids += b"".join(machine.finish())
+                    plain = decoder.feed(array("I", ids)) + (decoder.finish() if last else "")
+                    for c, value in zip(rows, (doc_id, part, last, len(ids) // 4, ids, plain), strict=True):
+                        c.append(value)
+                    part, size = part + 1, size + len(ids) + len(plain)
+                    if size > BATCH or len(rows[0]) >= 1024:
+                        yield batch()
+                        size = 0
+    if rows[0]:
+        yield batch()
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-def coded(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """ids (32-bit little-endian) of every text, and the text that they decode to."""
-    path = tokenizer or default_tokenizer()
 
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = coders_for(path)
-        for batch in batches:
-            for rows in slices(batch, "text"):
-                ids = list(encoder(rows["text"].to_pylist()))
-                texts = [decoder.whole(array("I", i)) for i in ids]
-                yield pa.RecordBatch.from_arrays([rows["doc_id"], pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(texts, pa.string())], names=["doc_id", "n_tokens", "ids", "decoded"])
+def coded(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """ids (32-bit little-endian) of every text and the text that they decode to, one row for each ``CHUNK`` characters read.
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(code, CODED)
+    The parts of a text follow each other in one partition, from 0 on; ``last`` marks its end.
+    """
+    path = tokenizer or default_tokenizer()
+    return _rows(docs).mapInArrow(lambda batches: _coded(batches, path), CODED)
+
+
+def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts in their order to one row a text; sums and hashes run along, so no text is put together."""
+    n, ids, plain = 0, hashlib.sha256(), hashlib.sha256()
+    for batch in batches:
+        out: list[list] = [[] for _ in range(4)]
+        for doc_id, last, n_tokens, own, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "last", "n_tokens", "ids", "decoded")), strict=True):
+            n += n_tokens
+            ids.update(own)
+            plain.update(text.encode())
+            if last:
+                for c, value in zip(out, (doc_id, n, ids.hexdigest(), plain.hexdigest()), strict=True):
+                    c.append(value)
+                n, ids, plain = 0, hashlib.sha256(), hashlib.sha256()
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), pa.array(out[3], pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def digested(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row: ``coded`` with the hashes taken in the same worker."""
+    path = tokenizer or default_tokenizer()
+    return _rows(docs).mapInArrow(lambda batches: digests(_coded(batches, path)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    found = coded(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return digested(table(spark, sf_dir, "documents"))
