@@ -109,7 +109,7 @@ def test_packing(docs, empty):
     assert packing.packed(empty).count() == 0
 
 
-def test_token_files(spark, docs, empty):
+def test_token_files(spark, docs, empty, monkeypatch):
     ids = reference_ids(token_files.default_tokenizer())
     folder = scratch(spark, "t")
     manifest = token_files.write(docs, folder, shards=4)
@@ -121,6 +121,12 @@ def test_token_files(spark, docs, empty):
         assert (r["doc_id"], r["start"], r["n_tokens"], bytes(r["ids"])) == (i, at, len(whole), whole.tobytes())
         at += len(whole)
     assert manifest["tokens"] == at
+    rolled = token_files.write(docs, folder + "r", shards=4, roll=60)
+    assert len(rolled["shards"]) > len(manifest["shards"]) and rolled["tokens"] == at
+    again = token_files.read(spark, folder + "r")
+    assert sorted(map(tuple, again.collect()), key=lambda r: r[1]) == sorted(map(tuple, found), key=lambda r: r[1])
+    monkeypatch.setattr(token_files.pafs, "LocalFileSystem", type(None))  # as on a store that can't be mapped
+    assert token_files.read(spark, folder).count() == len(found)
     token_files.write(empty, folder + "e")
     assert token_files.read(spark, folder + "e").count() == 0
 

@@ -12,13 +12,21 @@ were asked for lie within R, because then every nearer one has passed the
 threshold with high probability; there is no cap on candidates, and windows
 that hold everything make the search exact.
 
-Vectors lie in blocks of about ``BLOCK`` rows by a hash of their id, and
-queries in blocks of about ``QUERIES``; each pair of blocks is one bounded
-task, and only each query's best few per block go on.
+Vectors lie in blocks of at most about ``BLOCK`` rows by a hash of their id,
+and queries in blocks of about ``QUERIES``; each pair of blocks is one task of
+bounded memory that builds the arrays of its vectors once for all its queries,
+and only each query's best few per block go on.  With few queries to a block
+of vectors, what is shuffled stays near the rows themselves: a vector goes once
+to each block of queries, so twice up to some 1.3 million rows.
 
 Defined results
   * a vector that is null, empty, zero, or holds a null or non-finite number,
-    one of another length than most vectors, and one without an id take no part;
+    and one without an id take no part;
+  * vectors of different lengths have no inner product: each is compared with
+    those of its own length;
+  * very small and very large numbers: lengths are taken after scaling by the
+    largest component; where products may leave the range of a double, all
+    vectors of the block are verified, so rounding to zero is a tie as any other;
   * ties in score go to the smaller vec_id;
   * repeated vec_ids: each row is a candidate; the query is the least vector;
   * fewer candidates than asked for: all of them; an empty table: no rows;
@@ -35,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import let, table, written
 
 NEIGHBOURS = 20
 PROJECTIONS = 32
@@ -47,7 +55,11 @@ FIRST, STEP = 0.2, 0.2
 #: More than twice the rounding error of a 32-bit inner product of unit vectors.
 ROUGH = 1e-4
 BLOCK = 65536
-QUERIES = 512
+QUERIES = 32768
+#: Blocks of vectors and of queries at least, so that small tables keep some cores busy.
+LEAST = (4, 2)
+#: Products of lengths within these bounds lose nothing that counts.
+PLAIN = (1e-280, 1e280)
 SEED = 20240501
 FOUND = "query_id long, vec_id long, score double"
 
@@ -80,12 +92,16 @@ class Block:
     def search(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """ids and inner products of the ``k`` nearest found, nearest first."""
         n, m = len(self.ids), self.m
-        norm = math.sqrt((query * query).sum())
-        centre = (query / norm) @ self.lines + self.gap * np.arange(m)
+        most = np.abs(query).max()
+        unit = query / most
+        length = math.sqrt((unit * unit).sum())
+        unit /= length
+        plain = PLAIN[0] < most * length * self.greatest < PLAIN[1]
+        centre = unit @ self.lines + self.gap * np.arange(m)
         low = high = None
         count, verified = np.zeros(n, np.int64), np.zeros(n, bool)
-        rows, rough, radius = np.empty(0, np.int64), np.empty(0, np.float32), FIRST
-        unit = (query / norm).astype(np.float32)
+        rows, rough, radius = np.empty(0, np.int64), np.empty(0, np.float32), FIRST if plain else math.inf
+        unit = unit.astype(np.float32)
         while True:
             # Distances between unit vectors are at most 2; wider windows take in all.
             everything = radius > 2.0
@@ -111,7 +127,7 @@ class Block:
                 if 2.0 - 2.0 * kth <= radius * radius:
                     break
             radius += min(radius, STEP)
-        if len(rows) > k:
+        if len(rows) > k and plain:
             rows = rows[rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - ROUGH]
         scores = self._exact(rows, query)
         best = np.lexsort((self.ids[rows], -scores))[:k]
@@ -134,24 +150,25 @@ def valid(vectors: DataFrame) -> DataFrame:
 def neighbours(vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, block: int = BLOCK, queries: int = QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each row whose id ``every`` divides."""
     rows = valid(vectors)
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    sizes = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.max(norm).alias("norm"), F.count_if(F.col("vec_id") % every == 0).alias("q")).collect()
-    most = max(sizes, key=lambda r: (r["n"], r["d"]), default=None)
-    d, n, greatest, q = (most["d"], most["n"], most["norm"], most["q"]) if most else (0, 0, 1.0, 0)
-    rows = rows.filter(F.size("v") == d)
-    blocks, parts = max(1, -(-n // block)), max(1, -(-q // queries))
-    place = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block")
-    asked = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    largest = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    norm = let(largest, lambda m: m * F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / m) * (x / m))))
+    # One row for each length of vectors.
+    sizes = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.max(norm).alias("greatest"), F.count_if(F.col("vec_id") % every == 0).alias("q"))
+    blocks, parts = (F.greatest(F.lit(least), F.ceil(F.col(n) / per)).alias(name) for least, n, per, name in zip(LEAST, ("n", "q"), (block, queries), ("blocks", "parts"), strict=True))
+    sizes = written(sizes.select("d", "greatest", blocks, parts), "ann-sizes")
     # Numbers that came as floats are shuffled as floats; widening them again is exact.
     v = F.col("v").cast(vectors.schema["embedding"].dataType).alias("v")
-    each = lambda name, number: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(number - 1).cast("long"))).alias(name)
-    left = rows.select("vec_id", v, place, each("part", parts))
-    right = asked.select("vec_id", v, F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(parts)).alias("part"), each("block", blocks))
+    place = lambda number, salt=0: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.col(number))
+    each = lambda number: F.explode(F.sequence(F.lit(0).cast("long"), F.col(number) - 1))
+    asked = rows.filter(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
+    left, right = (x.withColumn("d", F.size("v")).join(sizes, "d") for x in (rows, asked.withColumnRenamed("query_id", "vec_id")))
+    left = left.select("d", "vec_id", v, "greatest", place("blocks").alias("block"), each("parts").alias("part"))
+    right = right.select("d", "vec_id", v, place("parts", 1).alias("part"), each("blocks").alias("block"))
 
     def search(own: pa.Table, wanted: pa.Table) -> pa.Table:
         names, ids, scores = [], [], []
         if own.num_rows and wanted.num_rows:
-            index = Block(own["vec_id"].to_numpy(), _matrix(own["v"]), greatest)
+            index = Block(own["vec_id"].to_numpy(), _matrix(own["v"]), own["greatest"][0].as_py())
             for name, query in zip(wanted["vec_id"].to_pylist(), _matrix(wanted["v"]), strict=True):
                 found, score = index.search(name, query, k)
                 names.append(np.full(len(found), name))
@@ -160,7 +177,7 @@ def neighbours(vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, block:
         join = lambda xs, kind: pa.array(np.concatenate(xs) if xs else np.empty(0), kind)
         return pa.table({"query_id": join(names, pa.int64()), "vec_id": join(ids, pa.int64()), "score": join(scores, pa.float64())})
 
-    best = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(search, FOUND)
+    best = left.groupBy("d", "block", "part").cogroup(right.groupBy("d", "block", "part")).applyInArrow(search, FOUND)
     nth = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", nth).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
