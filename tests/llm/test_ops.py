@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -365,6 +366,28 @@ def test_licenses(docs, empty):
     assert licenses.scanned(empty).count() == 0
 
 
+def test_license_siblings_and_long_texts():
+    match = licenses.Matcher({})
+    for label, text in (("cc-by", "Licensed under CC BY 4.0"), ("cc-by-sa", "Licensed under CC BY-SA 4.0"), ("lgpl", licenses.TEMPLATES[9][1]), ("gpl", licenses.TEMPLATES[8][1])):
+        assert match.labels(match.matches(licenses.words_of("word " * 40 + text))) == {label}
+    places = licenses.phrase_places(licenses.words_of("mit license " * 60_000))
+    assert len(places) == 60_000 and places[-1] == (119_998, "mit")
+
+
+def test_license_query_against_plain_words(spark):
+    """The contract's columns of every document, by words one after the other."""
+    found = {r["doc_id"]: r for r in licenses.query(spark, "/root/testdata/sf0.01").collect()}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    assert len(found) == len(docs)
+    for i, text in docs:
+        words = re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").encode().lower())
+        places = [(k, label) for k in range(len(words)) for phrase, label in licenses.PHRASES if words[k : k + len(phrase.split())] == phrase.encode().split()]
+        r, base = found[i], sorted({label for _, label in places})
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == (len(words), len(places), min(places)[0] if places else None, max(places)[0] if places else None, ",".join(base))
+        labels = [x for x in r["labels"].split(",") if x]
+        assert set(base) <= set(labels) and labels == sorted(set(labels)) and 0 <= r["score"] <= 1 and (r["score"] == 0) == (not labels)
+
+
 def test_license_join_is_exact():
     import math
 

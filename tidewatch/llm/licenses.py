@@ -17,13 +17,18 @@ The corpus counts take one pass that sums only the templates' words, some
 hundreds at most, whatever the corpus holds.  Templates are a small fixed
 table, so they travel with the task and no block is shuffled.
 
+Notices of one family differ by a word or two ("Lesser", "ShareAlike"), so a
+block of one contains enough of its siblings too.  All are listed as blocks; the
+labels name, of overlapping blocks of sibling templates, those that hold most.
+
 Phrases are a plainer rule beside the join: places where a phrase's words
 stand one after the other.  Their labels always stay.
 
 Defined results
   * null and empty texts: no words, no labels, score 0, null places;
   * a text shorter than a block is one block; the last block may be short;
-  * ties: labels are distinct and sorted; score is the best containment found;
+  * ties: labels are distinct and sorted, siblings that hold equally much all stay;
+  * score is the best containment found, of a template or, wholly, of a phrase;
   * repeated rows and null doc_ids: each row is scanned alone; an empty table
     gives no rows; other columns are not used.
 """
@@ -50,14 +55,27 @@ PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general publi
 TEMPLATES = (
     ("mit", "released under the MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("apache", "Licensed under the Apache License, Version 2.0"),
     ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("apache", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS"),
     ("gpl", "This work is licensed under the GNU General Public License, version 3"),
     ("gpl", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
+    ("lgpl", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("agpl", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
+    ("cc-by", "Licensed under CC BY 4.0"),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
+    ("cc-by-nd", "Licensed under CC BY-ND 4.0"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("zlib", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software"),
     ("proprietary", "All rights reserved"),
 )
 FOUND = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, blocks array<struct<start:long,words:long,label:string,containment:double>>"
@@ -105,8 +123,14 @@ class Matcher:
             for word in first:
                 self.prefix.setdefault(word, []).append(k)
         self.words = frozenset(self.prefix)
-
-    def __call__(self, words: list[bytes]) -> list[tuple[int, int, str, float]]:
+        #: Templates of another label that share so much that a block of one is likely one of the other.
+        self.siblings = [
+            {j for j, (other, theirs, *_) in enumerate(self.templates) if other != label and len(own & theirs) >= threshold * min(len(own), len(theirs))}
+            for label, own, *_ in self.templates
+        ]
+
+    def matches(self, words: list[bytes]) -> list[tuple[int, int, int, int]]:
+        """(first word, words, template, template words held) of every block that contains enough of a template."""
         present = self.words.intersection(words)
         if not present:
             return []
@@ -125,20 +149,40 @@ class Matcher:
                 continue
             own = set(words[b * step : (b + 2) * step])
             if len(own) >= need and (shared := len(own & template)) >= need:
-                found.append((b * step, min(len(words), (b + 2) * step) - b * step, label, shared / len(template)))
+                found.append((b * step, min(len(words), (b + 2) * step) - b * step, k, shared))
         return found
 
+    def __call__(self, words: list[bytes]) -> list[tuple[int, int, str, float]]:
+        """(first word, words, label, containment) of every block that contains enough of a template."""
+        return self.named(self.matches(words))
+
+    def named(self, matches: list[tuple[int, int, int, int]]) -> list[tuple[int, int, str, float]]:
+        return [(at, n, self.templates[k][0], shared / len(self.templates[k][1])) for at, n, k, shared in matches]
+
+    def labels(self, matches: list[tuple[int, int, int, int]]) -> set[str]:
+        """Labels of blocks, but of those that overlap a block of a sibling template which says more, or as much in fewer words."""
+        own, held, beaten = sorted(matches), [], set()
+        for i, (start, _, k, shared) in enumerate(own):
+            held = [h for h in held if own[h][0] + own[h][1] > start]  # at most two of each template
+            for h in held:
+                other, theirs = own[h][2], own[h][3]
+                if other in self.siblings[k]:
+                    ours, them = ((n, n / len(self.templates[t][1])) for n, t in ((shared, k), (theirs, other)))
+                    if ours != them:
+                        beaten.add(i if ours < them else h)
+            held.append(i)
+        return {self.templates[m[2]][0] for i, m in enumerate(own) if i not in beaten}
+
 
 def phrase_places(words: list[bytes], phrases=PHRASES) -> list[tuple[int, str]]:
-    """(first word, label) of each place where a phrase stands."""
-    line = b" %b " % b" ".join(words)
-    out = []
+    """(first word, label) of each place where a phrase stands, in one pass over the words."""
+    first: dict[bytes, list[tuple[list[bytes], str]]] = {}
     for phrase, label in phrases:
-        want, at = b" %b " % phrase.encode(), line.find(b" %b " % phrase.encode())
-        while at >= 0:
-            out.append((line.count(b" ", 0, at), label))
-            at = line.find(want, at + 1)
-    return out
+        want = phrase.encode().split()
+        first.setdefault(want[0], []).append((want, label))
+    if first.keys().isdisjoint(words):
+        return []
+    return [(at, label) for at, word in enumerate(words) if word in first for want, label in first[word] if words[at : at + len(want)] == want]
 
 
 def scanned(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD) -> DataFrame:
@@ -156,12 +200,13 @@ def scanned(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: fl
                 columns: list[list] = [[] for _ in range(8)]
                 for text in rows["text"].to_pylist():
                     words = words_of(text)
-                    places, blocks = phrase_places(words, phrases), match(words)
+                    places, matches = phrase_places(words, phrases), match.matches(words)
+                    blocks = match.named(matches)
                     base = {label for _, label in places}
                     starts = [at for at, _ in places]
                     values = (
-                        len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(base | {b[2] for b in blocks})),
-                        max((b[3] for b in blocks), default=0.0), [dict(zip(("start", "words", "label", "containment"), b, strict=True)) for b in blocks],
+                        len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(base | match.labels(matches))),
+                        max((b[3] for b in blocks), default=0.0) if not places else 1.0, [dict(zip(("start", "words", "label", "containment"), b, strict=True)) for b in blocks],
                     )
                     for column, value in zip(columns, values, strict=True):
                         column.append(value)
