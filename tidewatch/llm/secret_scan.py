@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -51,7 +52,8 @@ LEAST_VALUE = 6
 
 #: Further kinds: prefixes of issued keys are public knowledge (fixed values).
 ISSUED = re.compile(r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|glpat-[A-Za-z0-9_-]{20,})")
-JWT = re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+#: A token's parts begin after other than their own characters, so each part is read three times at most.
+JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+")
 #: A private key runs to its END line, or over its base64 lines where that line is missing.
 PRIVATE = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----")
 PRIVATE_END = re.compile(r"-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----")
@@ -102,16 +104,33 @@ def hashed(kind: str, value: str) -> int:
     return xxhash.xxh3_64_intdigest(value.encode()) - (1 << 63)
 
 
+class _Taken:
+    """Spans that hold each other's places; asks whether a span overlaps any by bisection."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.starts, self.ends = [], []
+        for s, e in sorted(spans):  # overlapping ones as one
+            if self.ends and s < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def free(self, s: int, e: int) -> bool:
+        at = bisect_left(self.starts, e)  # the first that starts at e or later
+        return not at or self.ends[at - 1] <= s
+
+
 def further_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Private keys, and candidates of the other further kinds that overlap no base span, no private key and no earlier candidate."""
+    """Private keys, and candidates of the other further kinds that overlap no base span, no private key and no candidate of an earlier kind."""
     out = private_spans(text)
-    taken = [(s, e) for _, s, e in base + out]
     for kind, pattern, least in FURTHER:
-        for m in pattern.finditer(text) if kind != "private" else ():
-            s, e = m.span()
-            if (kind != "mixed" or DIGIT.search(m.group())) and (not least or entropy(m.group()) >= least) and all(e <= a or b <= s for a, b in taken):
-                taken.append((s, e))
-                out.append((kind, s, e))
+        if kind == "private":
+            continue
+        taken = _Taken([(s, e) for _, s, e in base + out])
+        for m in pattern.finditer(text):
+            if (kind != "mixed" or DIGIT.search(m.group())) and (not least or entropy(m.group()) >= least) and taken.free(*m.span()):
+                out.append((kind, *m.span()))
     return out
 
 
