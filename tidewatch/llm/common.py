@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -21,13 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_root(spark: SparkSession) -> str:
     """Folder that the driver and every executor can reach.
 
-    It is the session's ``spark.checkpoint.dir``.  Only where that is unset
-    (local tests) a temporary folder takes its place.
+    It is the session's ``spark.checkpoint.dir``.  Only where that is unset and
+    the driver is the only executor (tests) a temporary folder takes its place.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not root:
         if not context.getCheckpointDir():
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="tidewatch-"))
         root = context.getCheckpointDir()
     # With its scheme, so that Python's file systems mean the same store as Spark does.
@@ -75,6 +78,26 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+#: A key is hot if it holds more than one of so many rows; hence fewer than so many keys are hot, however many rows there are.
+HOT_SHARE = 10_000
+
+
+def met(rows: DataFrame, facts: DataFrame, key: list[str], weight: str) -> DataFrame:
+    """``rows`` with the columns of ``facts``, one fact a key at most; rows without a fact get nulls.
+
+    ``weight`` tells how many rows hold a key.  Facts of hot keys are broadcast, at most
+    ``HOT_SHARE`` of them, so no task gets a hot key's rows; the others meet by a shuffle.
+    Both should be stored, since each is read twice.
+    """
+    total = facts.agg(F.sum(weight).alias("n")).first()["n"] or 0
+    heavy, mark = F.col(weight) * HOT_SHARE > F.lit(total), unused(rows, "_hot")
+    hot = facts.filter(heavy).drop(weight).withColumn(mark, F.lit(True))
+    wide = rows.join(F.broadcast(hot), key, "left")
+    kept = [F.col(f"`{c}`") for c in rows.columns]
+    rest = wide.filter(F.col(mark).isNull()).select(*kept).join(facts.filter(~heavy).drop(weight), key, "left")
+    return wide.filter(F.col(mark).isNotNull()).drop(mark).unionByName(rest)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -1,17 +1,20 @@
 """Secret scans: candidate spans judged by who else in the corpus holds them.
 
-Three base kinds are found by fixed patterns and always stay.  Further kinds
-name shapes that are often secrets and as often harmless examples: keys of
-known issuers, web tokens, private-key blocks, and long mixed strings.  Their
-values are hashed, and for each hash the corpus tells how many repositories
+Three base kinds are found by fixed patterns.  Further kinds name shapes that
+are often secrets and as often harmless examples: keys of known issuers, web
+tokens, private-key blocks, and long mixed strings.  The value of every span of
+either sort is hashed, and for each hash the corpus tells how many repositories
 and how many owners hold it.  A value that more than ``MOST_OWNERS`` owners or
 ``MOST_REPOSITORIES`` repositories hold is a copied example (or a template's
-placeholder) and is left out; a value that stays with its owner looks live.
+placeholder); a value that stays with its owner looks live.  Each span carries
+this verdict.  Copied spans of further kinds are left out of ``spans``, base
+spans always stay there.
 
 One pass over the texts; after it only hashes and places move.  Owners are
-counted after a distinct over (hash, owner, repository), which is combined
-before the shuffle, so a value that a third of all rows hold is a few rows per
-task by then.  Values themselves never leave the scan.
+counted after a sum over (hash, owner, repository), which is combined before
+the shuffle, so a value that a third of all rows hold is a few rows per task by
+then; the verdicts of such values come back by a broadcast of bounded size
+(``common.met``).  Values themselves never leave the scan.
 
 ``documents`` has one column of origin: ``source`` is taken as the owner, and
 a (source, lang) pair as a repository of that owner.
@@ -39,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, unused, written
+from .common import met, table, unused, written
 from .tokens import slices
 
 #: Base patterns (fixed values): the letters of the first are matched in either case, ASCII only.
@@ -96,9 +99,11 @@ def private_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def hashed(kind: str, value: str) -> int:
-    """Hash of a span's value; a private key's is that of its body without line breaks, since its header is everybody's."""
+    """Hash of a span's value: what is assigned, or a private key's body without line breaks, since its header is everybody's."""
     import xxhash
 
+    if kind == "assign":
+        value = ASSIGN.match(value).group(2)
     if kind == "private":
         value = BREAKS.sub("", PRIVATE_END.sub("", PRIVATE.sub("", value, count=1))) or value
     return xxhash.xxh3_64_intdigest(value.encode()) - (1 << 63)
@@ -161,30 +166,40 @@ def candidates(docs: DataFrame, owner: Column, repository: Column, key: Column |
 
 
 def ownership(spans: DataFrame) -> DataFrame:
-    """(hash, owners, repositories) of every candidate of the further kinds."""
-    each = spans.select("owner", "repository", F.explode("spans").alias("s")).filter(~F.col("s.kind").isin(*BASE))
-    distinct = each.select(F.col("s.hash").alias("hash"), "owner", "repository").distinct()
-    by_owner = distinct.groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
-    return by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
+    """(hash, owners, repositories, n) of every candidate value; n spans hold it."""
+    each = spans.select("owner", "repository", F.explode("spans").alias("s")).select(F.col("s.hash").alias("hash"), "owner", "repository")
+    held = each.groupBy("hash", "owner", "repository").agg(F.count("*").alias("n"))
+    by_owner = held.groupBy("hash", "owner").agg(F.count("*").alias("repositories"), F.sum("n").alias("n"))
+    return by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.sum("n").alias("n"))
+
+
+def verdicts(spans: DataFrame) -> DataFrame:
+    """(hash, live, n) of every candidate value, stored."""
+    live = (F.col("owners") <= MOST_OWNERS) & (F.col("repositories") <= MOST_REPOSITORIES)
+    return written(ownership(spans).select("hash", live.alias("live"), "n"), "secret-verdicts")
 
 
 def scanned(docs: DataFrame, owner: Column | None = None, repository: Column | None = None) -> DataFrame:
-    """(doc_id, base, spans): arrays of (start, order, kind, end), ``spans`` with the live-looking further kinds."""
+    """(doc_id, base, spans, live, copied): arrays of (start, order, kind, end); ``spans`` has all base and the live further ones, ``live`` and ``copied`` have all by verdict."""
     owner = F.col("source") if owner is None else owner
     repository = F.concat_ws("/", F.col("source"), F.coalesce("lang", F.lit(""))) if repository is None else repository
     found = written(candidates(docs, owner, repository), "secret-spans")
-    counts = ownership(found).filter((F.col("owners") <= MOST_OWNERS) & (F.col("repositories") <= MOST_REPOSITORIES)).select("hash")
-    more = found.select("row", F.explode("spans").alias("s")).filter(~F.col("s.kind").isin(*BASE))
-    live = more.join(counts, F.col("s.hash") == F.col("hash"), "left_semi").groupBy("row").agg(F.collect_list("s").alias("live"))
-    base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+    each = written(found.select("row", F.explode("spans").alias("s")).select("row", F.col("s.hash").alias("hash"), "s"), "secret-each")
     order = F.create_map(*[x for n, k in enumerate(KINDS) for x in (F.lit(k), F.lit(n))])
+    s = F.col("s")
+    place = F.struct(s["start"].alias("start"), order[s["kind"]].alias("nth"), s["kind"].alias("kind"), s["end"].alias("end"))
+    judged = met(each, verdicts(found), ["hash"], "n").select("row", place.alias("place"), F.coalesce("live", F.lit(False)).alias("live"))
+    held = judged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("place", "live"))).alias("all"))
+    empty = F.array().cast("array<struct<place:struct<start:int,nth:int,kind:string,end:int>,live:boolean>>")
+    joined = found.select("row", "doc_id").join(held, "row", "left").withColumn("all", F.coalesce("all", empty))
 
-    def placed(spans: Column) -> Column:
-        return F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("nth"), s["kind"].alias("kind"), s["end"].alias("end"))))
+    def those(test) -> Column:
+        return F.transform(F.filter("all", test), lambda x: x["place"])
 
-    joined = found.select("row", "doc_id", base.alias("base")).join(live, "row", "left")
-    both = F.concat("base", F.coalesce("live", F.array().cast("array<struct<kind:string,start:int,end:int,hash:bigint>>")))
-    return joined.select("doc_id", placed(F.col("base")).alias("base"), placed(both).alias("spans"))
+    base = lambda x: x["place"]["nth"] < len(BASE)
+    return joined.select(
+        "doc_id", those(base).alias("base"), those(lambda x: base(x) | x["live"]).alias("spans"), those(lambda x: x["live"]).alias("live"), those(lambda x: ~x["live"]).alias("copied")
+    )
 
 
 def listed(spans: Column) -> Column:
@@ -194,7 +209,7 @@ def listed(spans: Column) -> Column:
 def query(spark, sf_dir: str) -> DataFrame:
     found = scanned(table(spark, sf_dir, "documents"))
     number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return found.select("doc_id", *[number(k) for k in BASE], F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *[number(k) for k in BASE], F.sha2(listed(F.col("base")), 256).alias("base_sha256"), *[listed(F.col(c)).alias(c) for c in ("spans", "live", "copied")])
 
 
 #: What stands in the place of a secret.
@@ -212,10 +227,9 @@ def redacted(docs: DataFrame, owner: Column | None = None, repository: Column |
     mark, print_ = unused(docs, "_live"), unused(docs, "_print")
     of_text = F.xxhash64(F.col("text").cast("string"))
     found = written(candidates(docs, base_owner, base_repository, of_text), "secret-spans")
-    live = ownership(found).filter((F.col("owners") <= MOST_OWNERS) & (F.col("repositories") <= MOST_REPOSITORIES)).select("hash")
-    more = found.select(F.col("doc_id").alias(print_), F.explode("spans").alias("s")).filter(~F.col("s.kind").isin(*BASE))
+    more = written(found.select(F.col("doc_id").alias(print_), F.explode("spans").alias("s")).filter(~F.col("s.kind").isin(*BASE)).select(print_, F.col("s.hash").alias("hash")), "secret-each")
     # Stored, so that its true size decides how it meets the texts: few live values need no shuffle of them.
-    spans = written(more.join(live, F.col("s.hash") == F.col("hash"), "left_semi").groupBy(print_).agg(F.collect_set("s.hash").alias(mark)), "secret-live")
+    spans = written(met(more, verdicts(found), ["hash"], "n").filter("live").groupBy(print_).agg(F.collect_set("hash").alias(mark)), "secret-live")
     names, kinds = docs.columns, docs.schema
     marked = docs.withColumn(print_, of_text).join(spans, print_, "left").select(*[F.col(f"`{c}`") for c in names], mark)
 

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, scratch, table, written
+from .common import met, partitions, scratch, table, written
 from .token_files import opened, place
 from .tokens import slices
 
@@ -112,8 +112,9 @@ class _Roller:
 def _verdicts(rows: DataFrame, least: int) -> DataFrame:
     """(page_id, sha, refers_to) of rows whose payload a lesser page_id has."""
     narrow = written(rows.select("page_id", "sha", F.octet_length("html").alias("n")), "warc-digests")
-    first = narrow.filter(F.col("n") >= least).groupBy("sha", "n").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
-    later = narrow.join(first, ["sha", "n"]).filter("page_id is null or page_id > refers_to")
+    first = narrow.filter(F.col("n") >= least).groupBy("sha", "n").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("rows")).filter("rows > 1")
+    # A payload that very many pages have, such as the empty one, is a hot key.
+    later = met(narrow, written(first, "warc-first"), ["sha", "n"], "rows").filter("refers_to is not null and (page_id is null or page_id > refers_to)")
     return written(later.select("page_id", "sha", "refers_to").distinct(), "warc-verdicts")
 
 
