@@ -439,6 +439,27 @@ def test_secret_ownership(spark):
     assert [r["text"] for r in secret_scan.redacted(df).filter("doc_id = 9").collect()] == [f"key {secret_scan.MASK} here"]
 
 
+def test_classifier_on_held_out_labels(spark):
+    """The query's columns, and how it does on labels that it never saw."""
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    found = mil.query(spark, "/root/testdata/sf0.01").collect()
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in found)
+    out = [(r["score"], r["predicted"], labels[r["doc_id"]]) for r in found if r["held_out"] and labels.get(r["doc_id"]) is not None]
+    good, poor = ([s for s, _, y in out if y == want] for want in (1, 0))
+    assert len(good) > 20 and len(poor) > 3
+    assert sum(a > b for a in good for b in poor) >= 0.95 * len(good) * len(poor) and sum(p == y for _, p, y in out) >= 0.95 * len(out)
+
+
+def test_classifier_learns_from_all_passages(spark):
+    """A text is learned from whole, however long; the sample ends with the document that fills it."""
+    docs = spark.createDataFrame([(i, "word " * (100 if i % 2 else 30_000)) for i in range(1, 40)] + [(3, "other")], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("quality")).distinct()
+    rows = mil.sample(docs, labels)
+    assert {n for y, n, _ in rows if y == 0} == {-(-150_000 // mil.PASSAGE)} and all(len(x) == n * mil.WIDTH * 4 for _, n, x in rows)
+    few = [n for y, n, _ in mil.sample(docs, labels, limit=500) if y == 0]
+    assert few == [293, 293]
+
+
 def test_classifier(spark, docs, empty):
     rng = random.Random(8)
     make = lambda good: "".join(rng.choice("etaoin shrdlu ,.") for _ in range(rng.randint(50, 1500))) if good else "!! ".join(rng.choice(["BUY", "NOW", "###"]) for _ in range(rng.randint(20, 400)))

@@ -8,9 +8,11 @@ among those of its document, and the weighted mean of encodings is scored.  So
 one spoilt paragraph in a long text can decide, and its weight shows which.
 
 The model is small, is fitted by the driver with Adam on a bounded sample of
-labelled documents (``SAMPLE`` a class, the first by a hash of doc_id, at most
-``TRAIN_PASSAGES`` passages of each, evenly spaced), and travels with the
-tasks.  Scoring reads whole texts, any number of passages, without a shuffle.
+labelled documents and travels with the tasks.  The sample takes documents of
+each class by a hash of doc_id, whole ones with all their passages, until it has
+``SAMPLE`` of them or ``TRAIN_PASSAGES`` passages.  A round of learning goes over
+``BAGS`` documents at once, so long texts need no more memory than their own.
+Scoring reads whole texts, any number of passages, without a shuffle.
 
 Defined results
   * null and empty texts: one empty passage, hence a score as any other;
@@ -18,6 +20,7 @@ Defined results
   * labels that are null or disagree for one doc_id are not learned from; if
     one class has no label, the score is the share of the other everywhere,
     and 0.5 without any label;
+  * a doc_id with several texts: the one with the least hash is learned from;
   * repeated rows: equal scores; an empty table gives no rows; columns other
     than doc_id and text are not used.
 """
@@ -31,14 +34,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, written
 from .tokens import slices
 
 PASSAGE = 512
 SAMPLE = 3000
-TRAIN_PASSAGES = 32
+#: Passages of a class beyond which no further document is taken.
+TRAIN_PASSAGES = 20_000
 ENCODED, ATTENTION = 24, 12
-ROUNDS, RATE, DECAY = 300, 0.02, 1e-4
+BAGS = 1024
+STEPS, RATE, DECAY = 600, 0.015, 1e-4
 SEED = 7
 FOLDS = 5
 KEEP = 0.3
@@ -124,14 +129,21 @@ class Model:
             return self
         self.mean, self.scale = x.mean(0), x.std(0) + 1e-3
         x = (x - self.mean) / self.scale
-        share = np.where(label == 1, 0.5 / label.mean(), 0.5 / (1.0 - label.mean())) / len(label)
+        weight = np.where(label == 1, 0.5 / label.mean(), 0.5 / (1.0 - label.mean()))
+        starts, rng, order = np.cumsum(counts) - counts, np.random.default_rng(SEED), np.empty(0, np.int64)
         m, v = ({k: np.zeros_like(a) for k, a in self.p.items()} for _ in range(2))
-        for step in range(1, ROUNDS + 1):
-            for k, grad in self._gradient(x, counts, label, share).items():
+        for step in range(1, STEPS + 1):
+            if not len(order):
+                order = rng.permutation(len(label))
+            bags, order = order[:BAGS], order[BAGS:]
+            own = counts[bags]
+            rows = np.repeat(starts[bags] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+            rate = RATE * min(1.0, 2.0 * (1.0 - (step - 1) / STEPS))
+            for k, grad in self._gradient(x[rows], own, label[bags], weight[bags] / len(bags)).items():
                 grad = grad + DECAY * self.p[k]
                 m[k] = 0.9 * m[k] + 0.1 * grad
                 v[k] = 0.999 * v[k] + 0.001 * grad * grad
-                self.p[k] = self.p[k] - RATE * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
+                self.p[k] = self.p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
         return self
 
     def _gradient(self, x: np.ndarray, counts: np.ndarray, label: np.ndarray, share: np.ndarray) -> dict[str, np.ndarray]:
@@ -152,28 +164,37 @@ def held_out(doc_id: Column, folds: int = FOLDS) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str = "quality", n: int = SAMPLE, limit: int = TRAIN_PASSAGES) -> list[tuple[int, int, bytes]]:
-    """(label, passages, descriptions) of at most ``n`` learned documents of each class."""
+    """(label, passages, descriptions) of learned documents: of each class at most ``n``, and none once ``limit`` passages are taken."""
     agreed = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)")
     agreed = agreed.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("z")).filter("y = z").select("doc_id", "y")
     chosen = [agreed.filter(F.col("y") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for c in (0, 1)]
+    # At most 2n rows of two numbers: a size fixed by the parameter, whatever the corpus.
+    wanted = F.broadcast(written(chosen[0].union(chosen[1]), "mil-labels"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    print_, size = F.coalesce(F.xxhash64("text"), F.lit(0)), F.greatest(F.lit(1), F.ceil(F.coalesce(F.octet_length("text"), F.lit(0)) / PASSAGE)).cast("long")
+    found = rows.join(wanted, "doc_id").groupBy("doc_id", "y").agg(F.min(F.struct(print_.alias("print"), size.alias("n"))).alias("s"))
+    taken, left = [], [limit, limit]
+    mixed = F.xxhash64("doc_id")
+    for r in found.select("doc_id", "y", "s.*", mixed.alias("nth")).orderBy("nth", "doc_id").collect():  # 2n at most
+        if left[r["y"]] > 0:
+            left[r["y"]] -= r["n"]
+            taken.append((r["doc_id"], r["y"], r["print"], r["n"]))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "text"):
-                x, counts = passages(rows["text"].to_pylist())
-                out, sizes, at = [], [], 0
-                for c in counts.tolist():
-                    own = x[at : at + c] if c <= limit else x[at + np.linspace(0, c - 1, limit).astype(np.int64)]
-                    out.append(own.tobytes())
-                    sizes.append(len(own))
-                    at += c
-                yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["y"], pa.array(sizes, pa.int32()), pa.array(out, pa.binary())], names=["doc_id", "y", "n", "x"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # At most 2n rows of two numbers: a size fixed by the parameter, whatever the corpus.
-    labelled = rows.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select("doc_id", "y", "text")
-    found = labelled.mapInArrow(describe, "doc_id long, y int, n int, x binary").collect()
-    return [(r["y"], r["n"], bytes(r["x"])) for r in sorted(found, key=lambda r: (r["doc_id"], bytes(r["x"])))]
+            for part in slices(batch, "text"):
+                x, counts = passages(part["text"].to_pylist())
+                ends = (np.cumsum(counts) * WIDTH * 4).tolist()
+                raw = x.tobytes()
+                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array([raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], pa.binary())], names=["doc_id", "x"])
+
+    if not taken:
+        return []
+    names = docs.sparkSession.createDataFrame([(i, p) for i, _, p, _ in taken], "doc_id long, print long")
+    texts = rows.join(F.broadcast(names), "doc_id").filter(print_ == F.col("print")).select("doc_id", "text")
+    described = texts.mapInArrow(describe, "doc_id long, x binary").groupBy("doc_id").agg(F.first("x").alias("x"))
+    by = {r["doc_id"]: bytes(r["x"]) for r in described.collect()}
+    return [(y, n, by[i]) for i, y, _, n in sorted(taken)]
 
 
 def trained(docs: DataFrame, labels: DataFrame, label: str = "quality", n: int = SAMPLE) -> Model:
