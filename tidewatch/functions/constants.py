@@ -19,16 +19,25 @@ COMPAT_SAME, COMPAT_PILLAR, COMPAT_CROSS = 1.0, 0.5, 0.1
 
 # Half-life of a category's score, in hours.
 HALF_LIFE = {
-    c: hours
-    for hours, cs in (
-        (6.0, ("earthquakeTsunami", "hurricaneExtremeWeather", "majorFireIndustrialAccident")),
-        (12.0, ("majorCorporateEvent", "oilEnergyDisruption", "shippingMaritimeDisruption", "aviationDisruption")),
-        (24.0, ("centralBankDecision", "macroDataRelease", "fiscalPolicy", "bankingFinancialSystem")),
-        (48.0, ("protestCivilUnrest", "electionPoliticalTransition")),
-        (120.0, ("militaryMovement", "terrorismSecurityIncident", "sanctionsTradeRestriction", "diplomaticNegotiation")),
-        (240.0, ("warArmedConflict", "internationalDispute")),
-    )
-    for c in cs
+    "warArmedConflict": 240.0,
+    "militaryMovement": 120.0,
+    "terrorismSecurityIncident": 120.0,
+    "electionPoliticalTransition": 48.0,
+    "protestCivilUnrest": 48.0,
+    "diplomaticNegotiation": 120.0,
+    "sanctionsTradeRestriction": 120.0,
+    "internationalDispute": 240.0,
+    "centralBankDecision": 24.0,
+    "macroDataRelease": 24.0,
+    "fiscalPolicy": 24.0,
+    "bankingFinancialSystem": 24.0,
+    "majorCorporateEvent": 12.0,
+    "oilEnergyDisruption": 12.0,
+    "shippingMaritimeDisruption": 12.0,
+    "aviationDisruption": 12.0,
+    "earthquakeTsunami": 6.0,
+    "hurricaneExtremeWeather": 6.0,
+    "majorFireIndustrialAccident": 6.0,
 }
 
 # Two-digit event root code: category and severity coefficient.
@@ -44,15 +53,18 @@ ROOTS = {
 QUAD = {4: 1.0, 3: 0.6, 2: 0.4, 1: 0.3}
 QUAD_OTHER = 0.3
 
-# FIPS country code: ISO alpha-2 code; "same" lists codes that are equal in both.
-FIPS_SAME = "US GB CA MX BR AR CL CO PE VE DJ FR IT NL BE PL NO FI GR IR SY JO SA QA EG LY ET ER SO KE UG TZ GH CD TW IN PK AF NP TH MY ID NZ".split()
-FIPS_OTHER = {
-    "UK": "GB", "HO": "HN", "GM": "DE", "SP": "ES", "PO": "PT", "SZ": "CH", "AU": "AT", "AS": "AU", "UP": "UA", "RS": "RU",
-    "BO": "BY", "EI": "IE", "SW": "SE", "DA": "DK", "TU": "TR", "IZ": "IQ", "LE": "LB", "IS": "IL", "KU": "KW", "UAE": "AE",
-    "YM": "YE", "BA": "BH", "MU": "OM", "TS": "TN", "AG": "DZ", "MO": "MA", "SU": "SD", "NI": "NG", "SF": "ZA", "CH": "CN",
-    "JA": "JP", "KS": "KR", "KN": "KP", "BG": "BD", "CE": "LK", "BM": "MM", "VM": "VN", "CB": "KH", "RP": "PH", "SN": "SG",
+# FIPS country code: ISO alpha-2 code.
+FIPS = {
+    "AF": "AF", "AG": "DZ", "AR": "AR", "AS": "AU", "AU": "AT", "BA": "BH", "BE": "BE", "BG": "BD", "BM": "MM", "BO": "BY",
+    "BR": "BR", "CA": "CA", "CB": "KH", "CD": "CD", "CE": "LK", "CH": "CN", "CL": "CL", "CO": "CO", "DA": "DK", "DJ": "DJ",
+    "EG": "EG", "EI": "IE", "ER": "ER", "ET": "ET", "FI": "FI", "FR": "FR", "GB": "GB", "GH": "GH", "GM": "DE", "GR": "GR",
+    "HO": "HN", "ID": "ID", "IN": "IN", "IR": "IR", "IS": "IL", "IT": "IT", "IZ": "IQ", "JA": "JP", "JO": "JO", "KE": "KE",
+    "KN": "KP", "KS": "KR", "KU": "KW", "LE": "LB", "LY": "LY", "MO": "MA", "MU": "OM", "MX": "MX", "MY": "MY", "NI": "NG",
+    "NL": "NL", "NO": "NO", "NP": "NP", "NZ": "NZ", "PE": "PE", "PK": "PK", "PL": "PL", "PO": "PT", "QA": "QA", "RP": "PH",
+    "RS": "RU", "SA": "SA", "SF": "ZA", "SN": "SG", "SO": "SO", "SP": "ES", "SU": "SD", "SW": "SE", "SY": "SY", "SZ": "CH",
+    "TH": "TH", "TS": "TN", "TU": "TR", "TW": "TW", "TZ": "TZ", "UAE": "AE", "UG": "UG", "UK": "GB", "UP": "UA", "US": "US",
+    "VE": "VE", "VM": "VN", "YM": "YE",
 }
-FIPS = {c: c for c in FIPS_SAME} | FIPS_OTHER
 
 # Actor types that make an event geopolitical.
 ACTOR_TYPES = ("GOV", "MIL", "REB", "INS", "SEP", "UAF", "SPY", "IGO", "IMG")
