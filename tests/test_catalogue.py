@@ -6,7 +6,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from tidewatch.plans import catalogue
+from tidewatch.plans import catalogue, stored
+
+assert stored.FIXTURE  # its queries join the catalogue
 
 SF = "/root/testdata/sf0.001"
 
