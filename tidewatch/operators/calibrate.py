@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -49,13 +52,40 @@ def simplex(spark: SparkSession, resolution: float = 0.05) -> DataFrame:
 def grid_search(examples: DataFrame, k: int = 10, resolution: float = 0.05) -> DataFrame:
     """(five weights, ndcg): the vector whose ranking of ``examples`` (seq, components, relevance) is best, the first on ties.
 
-    Each vector ranks all examples, so rows are vectors times examples by nature; labelled
-    examples are few, and only each vector's first k rows and one number go on.
+    Each vector ranks all examples.  Examples stay where they lie: each partition scores its
+    own for all vectors, block by block, and passes on every vector's best k only; these
+    are merged, k a vector and partition.  The ideal ranking is the same for every vector,
+    so the greatest k relevances of all examples give it.  The vectors are a fixed table.
     """
-    weights = simplex(examples.sparkSession, resolution)
-    rated = examples.select(F.col("seq").alias("example"), *[F.col(c).alias(f"x_{c}") for c in COMPONENTS], "relevance")
-    listed = rated.agg(F.collect_list(F.struct(*rated.columns)).alias("all"))
-    rows = weights.join(F.broadcast(listed)).select("seq", *COMPONENTS, F.explode("all").alias("e")).select("seq", *COMPONENTS, "e.*")
-    score = reduce(lambda a, c: a + F.col(c) * F.col(f"x_{c}"), COMPONENTS[1:], F.col(COMPONENTS[0]) * F.col(f"x_{COMPONENTS[0]}"))
-    found = ndcg(rows.withColumn("score", score), ["seq", *COMPONENTS], [F.desc("score"), F.col("example")], "relevance", k)
-    return found.orderBy(F.desc("ndcg"), "seq").limit(1)
+    weights = simplex(examples.sparkSession, resolution).select("seq", *COMPONENTS)
+    listed = weights.toPandas().sort_values("seq")  # C(n + 4, 4) rows, whatever the examples
+    numbers, vectors = listed["seq"].to_numpy(), listed[list(COMPONENTS)].to_numpy()
+    rated = examples.select(F.col("seq").cast("long").alias("example"), *[F.col(c).cast("double").alias(c) for c in COMPONENTS], F.col("relevance").cast("double").alias("relevance"))
+
+    def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None  # for each vector its best so far: score, example, relevance
+        for frame in frames:
+            for start in range(0, len(frame), 1024):
+                some = frame.iloc[start : start + 1024]
+                parts = some[list(COMPONENTS)].to_numpy()
+                score = np.zeros((len(vectors), len(some)))
+                for n in range(len(COMPONENTS)):  # in the order of the components, as the sum is written
+                    score = score + vectors[:, n : n + 1] * parts[None, :, n]
+                shape = score.shape
+                example, relevance = (np.broadcast_to(some[c].to_numpy(), shape) for c in ("example", "relevance"))
+                if held is not None:
+                    score, example, relevance = (np.concatenate([a, b], axis=1) for a, b in zip(held, (score, example, relevance), strict=True))
+                order = np.lexsort((example, -score), axis=1)[:, :k]
+                held = tuple(np.take_along_axis(a, order, 1) for a in (score, example, relevance))
+        if held is not None:
+            n = held[0].shape[1]
+            yield pd.DataFrame({"seq": np.repeat(numbers, n), **{c: a.ravel() for c, a in zip(("score", "example", "relevance"), held, strict=True)}})
+
+    few = rated.mapInPandas(best, "seq long, score double, example long, relevance double")
+    nth = F.row_number().over(W.partitionBy("seq").orderBy(F.desc("score"), "example"))
+    dcg = few.withColumn("_p", nth).filter(F.col("_p") <= k).groupBy("seq").agg(F.sum(gain(F.col("relevance"), F.col("_p"))).alias("dcg"))
+    top = rated.select("relevance").orderBy(F.desc("relevance")).limit(k)
+    ideal = top.withColumn("_i", F.row_number().over(W.orderBy(F.desc("relevance")))).agg(F.sum(gain(F.col("relevance"), F.col("_i"))).alias("ideal"))  # k rows
+    found = dcg.join(F.broadcast(ideal)).withColumn("ndcg", F.when(F.col("ideal") > 0, F.col("dcg") / F.col("ideal")).otherwise(0.0))
+    # Equal rankings may differ in the last bits by the order of their sums.
+    return weights.join(found.select("seq", F.round("ndcg", 12).alias("ndcg")), "seq").orderBy(F.desc("ndcg"), "seq").limit(1).select("seq", *COMPONENTS, "ndcg")

@@ -57,10 +57,13 @@ def best_situation(events: DataFrame, situations: DataFrame, threshold: float =
 
 def initial_situations(events: DataFrame, key: str = "situation_id") -> DataFrame:
     """State of situations from all their events at once: mean place, all marks, newest time, counts."""
-    return events.groupBy(F.col(key).alias("id")).agg(
+    # Marks are made distinct one by one, before and after the shuffle; an outer explode keeps events without any.
+    marks = events.select(F.col(key).alias("id"), F.explode_outer("signature").alias("m")).groupBy("id").agg(F.array_sort(F.collect_set("m")).alias("signature"))
+    numbers = events.groupBy(F.col(key).alias("id")).agg(
         F.min_by("category", "seq").alias("category"), F.avg(F.coalesce("lat", F.lit(0.0))).alias("lat"), F.avg(F.coalesce("lon", F.lit(0.0))).alias("lon"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("signature")))).alias("signature"), F.max("at").alias("at"), F.count("*").alias("event_count"), F.max("num_sources").alias("source_count"),
+        F.max("at").alias("at"), F.count("*").alias("event_count"), F.max("num_sources").alias("source_count"),
     )
+    return numbers.join(marks, "id").select("id", "category", "lat", "lon", "signature", "at", "event_count", "source_count")
 
 
 def merged(a: str, b: str) -> list[Column]:

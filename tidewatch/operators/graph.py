@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(id, root) of every node of ``edges`` (a, b): root is the component's least node.
 
     Each round links every node to the least it knows, first upward (to all
-    larger neighbours), then downward; diameter shrinks by a power each time.
+    larger neighbours), then downward; diameter shrinks by a power each time,
+    and rounds go on until one changes nothing.
     Rounds are checkpointed, so lineage stays short and survives lost executors.
     """
     ready(edges.sparkSession)
@@ -27,8 +28,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     links = tidy(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     links = links.checkpoint()
     before, now = None, mark(links)
-    while now != before and now[0] and rounds:
-        rounds -= 1
+    while now != before and now[0]:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = tidy(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
@@ -40,9 +40,13 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
 
 
 def ready(spark) -> None:
-    """Makes sure there is a checkpoint folder: the session's own, or a temporary one in tests."""
+    """Makes sure there is a checkpoint folder: the session's own, or a temporary one where the driver is the only executor (tests)."""
+    import re
     import tempfile
 
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidewatch-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tidewatch-"))

@@ -50,7 +50,7 @@ def ranked(situations: DataFrame, now: Column) -> DataFrame:
 
 
 def decayed_sum(impulses: DataFrame, key: str, category: str, at: str, magnitude: str, now: Column) -> DataFrame:
-    """(key, score): each key's impulses, each decayed from its time to now.
+    """(key, score, n): each key's impulses, each decayed from its time to now, and how many.
 
     Equal to folding them in time order, but associative, so partial sums are made before
     the shuffle.  Arrivals after ``now`` count in full.
@@ -58,4 +58,4 @@ def decayed_sum(impulses: DataFrame, key: str, category: str, at: str, magnitude
     from ..functions.values import hours_between
 
     part = F.greatest(F.col(magnitude), F.lit(0.0)) * scores.decay_factor(F.col(category), hours_between(F.col(at), now))
-    return impulses.groupBy(key).agg(F.sum(part).alias("score"))
+    return impulses.groupBy(key).agg(F.sum(part).alias("score"), F.count("*").alias("n"))

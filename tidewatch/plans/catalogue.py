@@ -121,8 +121,7 @@ def trending_rank(spark, sf_dir):
 @query(f"WITH {_NEWS} SELECT category, round(sum({_IMPULSE} * {_DECAY}), 5) AS score, count(*) AS n FROM news GROUP BY category")
 def decay_score_by_category(spark, sf_dir):
     rows = with_scores(news(spark, sf_dir)).withColumn("at", F.col("ts"))
-    total = ranking.decayed_sum(rows.withColumn("cat", F.col("category")), "category", "cat", "at", "impulse", now())
-    return total.join(rows.groupBy("category").agg(F.count("*").alias("n")), "category").select("category", F.round("score", 5).alias("score"), "n")
+    return ranking.decayed_sum(rows, "category", "category", "at", "impulse", now()).select("category", F.round("score", 5).alias("score"), "n")
 
 
 @query(f"WITH {_NEWS} SELECT event_id, category, round(severity, 9) AS severity FROM news")
@@ -234,12 +233,6 @@ def alert_cooldown(spark, sf_dir):
     return alerts.fired_series(rows, 1440).groupBy(F.col("key").alias("user_id")).agg(F.count("*").alias("triggered"), F.count_if("fired").alias("fired"))
 
 
-@query("SELECT event_id, sha256(concat_ws('|', event_id::VARCHAR, strftime(ts, '%Y-%m-%dT%H:%M:%SZ'), printf('%.2f', value))) AS key FROM events")
-def delivery_keys(spark, sf_dir):
-    digits = F.format_string("%.2f", F.col("value"))
-    return table(spark, sf_dir, "events").select("event_id", F.sha2(F.concat_ws("|", F.col("event_id").cast("string"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"), digits).cast("binary"), 256).alias("key"))
-
-
 @query("SELECT strftime(time_bucket(INTERVAL 15 MINUTE, ts), '%Y%m%d%H%M%S') AS interval, count(*) AS n, count(*) FILTER (extract(minute FROM ts) % 15 < 5) AS on_tick FROM events GROUP BY 1")
 def interval_floor(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy(values.interval_start(F.col("ts")).alias("interval")).agg(F.count("*").alias("n"), F.count_if(values.is_ingest_tick(F.col("ts"))).alias("on_tick"))
@@ -248,53 +241,6 @@ def interval_floor(spark, sf_dir):
 # Joins, reductions, sets.
 
 
-@query("""
-SELECT l_suppkey, l_orderkey, l_linenumber, l_extendedprice FROM (
-  SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_quantity DESC, l_orderkey, l_linenumber) AS n FROM lineitem) WHERE n = 1""")
-def argmax_per_key(spark, sf_dir):
-    """The most severe of each article's events, ties to the most mentioned, then to the first."""
-    pick = F.struct((-F.col("l_extendedprice")).alias("a"), (-F.col("l_quantity")).alias("b"), "l_orderkey", "l_linenumber")
-    best = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.min(pick).alias("m"))
-    return best.select("l_suppkey", "m.l_orderkey", "m.l_linenumber", (-F.col("m.a")).alias("l_extendedprice"))
-
-
-@query("SELECT l_partkey, count(DISTINCT l_suppkey) AS publishers, count(DISTINCT l_orderkey) AS articles FROM lineitem GROUP BY l_partkey")
-def distinct_publishers(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.countDistinct("l_suppkey").alias("publishers"), F.countDistinct("l_orderkey").alias("articles"))
-
-
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")
-def semi_known(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(table(spark, sf_dir, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi").select("o_orderkey", "o_custkey")
-
-
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
-def anti_fresh(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select("c_custkey", "c_name").join(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
-
-
-@query("""
-SELECT c_custkey, o_orderkey, l_linenumber, o_orderdate, round(l_extendedprice * (1 - l_discount), 4) AS net
-FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey WHERE c_mktsegment = 'BUILDING'""")
-def join3_timeline(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'").select("c_custkey")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_orderdate")
-    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4).alias("net"))
-    return c.join(o, "c_custkey").join(li, "o_orderkey").select("c_custkey", "o_orderkey", "l_linenumber", "o_orderdate", "net")
-
-
-@query("""
-SELECT c_nationkey AS situation_id, s_suppkey AS article_id, s_name AS headline, max(o_orderdate) AS published_at
-FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1, 2, 3""")
-def join4_news(spark, sf_dir):
-    """Distinct articles of each situation through three link tables, the dated ones newest."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("situation_id"))
-    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_orderdate")
-    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("article_id"))
-    seen = c.join(o, "c_custkey").join(li, "o_orderkey").groupBy("situation_id", "article_id").agg(F.max("o_orderdate").alias("published_at"))
-    return seen.join(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("article_id"), F.col("s_name").alias("headline")), "article_id").select("situation_id", "article_id", "headline", "published_at")
-
-
 @query("""
 WITH q AS (SELECT o_custkey, o_totalprice, o_orderdate, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
 SELECT c_custkey, c_name, o_totalprice AS price, o_orderdate AS as_of FROM customer LEFT JOIN q ON o_custkey = c_custkey AND rn = 1""")
@@ -327,17 +273,6 @@ def insert_ignore(spark, sf_dir):
     return store.insert_absent(old, new, ("c_custkey",), ("c_name",))
 
 
-@query("SELECT p_partkey, p_name FROM part WHERE p_name ILIKE '%e_n%' OR p_type ILIKE '%brass%' ORDER BY p_retailprice DESC, p_partkey LIMIT 20")
-def search_ilike(spark, sf_dir):
-    p = table(spark, sf_dir, "part").filter(F.col("p_name").ilike("%e_n%") | F.col("p_type").ilike("%brass%"))
-    return p.orderBy(F.desc("p_retailprice"), "p_partkey").limit(C.SEARCH_LIMIT).select("p_partkey", "p_name")
-
-
-@query("SELECT event_id, (props->>'$.k')::BIGINT AS k FROM events")
-def json_props(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
-
-
 # Links.
 
 _RULE = "(c IN ({cats}) {op} ({words}))"

@@ -1,8 +1,10 @@
 """Versioned Parquet tables and keyed changes to them.
 
-Parquet has no MERGE: a change makes a new version beside the old one, and a
-small pointer file, moved into place last, says which version is current.
-Readers see whole versions only, and a failed write leaves the old one.
+A table is the folders that a small pointer file names; it is moved into place
+last, so readers see whole versions only, and a failed write leaves the old one.
+New rows are appended as a folder of their own, so a batch writes in proportion
+to itself.  Parquet has no MERGE: a change of rows makes one new folder in the
+place of all, as does an append once ``PARTS`` folders have gathered.
 """
 
 from __future__ import annotations
@@ -23,11 +25,16 @@ def insert_absent(old: DataFrame, new: DataFrame, *keys: tuple[str, ...]) -> Dat
 
     Rows of ``new`` that clash with each other: the least by all columns stays.
     """
+    return old.unionByName(absent(old, new, *keys))
+
+
+def absent(old: DataFrame, new: DataFrame, *keys: tuple[str, ...]) -> DataFrame:
+    """Those rows of ``new`` that ``insert_absent`` would add."""
     fresh = new.select(*old.columns)
     for key in keys:
         fresh = fresh.groupBy(*key).agg(F.min(F.struct(*[c for c in old.columns])).alias("_r")).select("_r.*")
         fresh = fresh.join(old.select(*key), list(key), "left_anti").select(*old.columns)
-    return old.unionByName(fresh)
+    return fresh
 
 
 def upsert(old: DataFrame, new: DataFrame, key: tuple[str, ...], changes: dict[str, Column] | None = None, keep: Column | None = None) -> DataFrame:
@@ -74,6 +81,10 @@ def upsert_links(old: DataFrame, new: DataFrame) -> DataFrame:
     return upsert(old, new, ("situation_id", "market_id"), kept, keep=F.col("o.matched_by") == "manual")
 
 
+#: Folders of a table beyond which an append puts them together.
+PARTS = 64
+
+
 class Store:
     """Tables below one folder of any Hadoop file system."""
 
@@ -89,35 +100,47 @@ class Store:
     def _pointer(self, name: str) -> str:
         return f"{self.root}/{name}/_current.json"
 
-    def version(self, name: str) -> str | None:
+    def version(self, name: str) -> list[str]:
+        """The folders of the current version."""
         jvm, fs = self._fs()
         path = jvm.org.apache.hadoop.fs.Path(self._pointer(name))
         if not fs.exists(path):
-            return None
+            return []
         stream = fs.open(path)
         try:
-            return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["version"]
+            return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["parts"]
         finally:
             stream.close()
 
     def read(self, name: str) -> DataFrame:
         """The current version, or an empty table of the right schema."""
-        version = self.version(name)
-        if version is None:
+        parts = self.version(name)
+        if not parts:
             return self.spark.createDataFrame([], TABLES[name].schema)
-        return self.spark.read.schema(TABLES[name].schema).parquet(f"{self.root}/{name}/{version}")
+        return self.spark.read.schema(TABLES[name].schema).parquet(*[f"{self.root}/{name}/{p}" for p in parts])
 
     def write(self, name: str, rows: DataFrame) -> None:
         """Makes ``rows`` the current version, with the table's columns and types; may read the current one."""
-        schema = TABLES[name].schema
-        version = f"v-{uuid.uuid4().hex}"
-        before = self.version(name)
-        rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]).write.parquet(f"{self.root}/{name}/{version}")
+        self._point(name, [self._part(name, rows)])
+
+    def append(self, name: str, rows: DataFrame) -> None:
+        """Adds ``rows`` to the current version; what is there is not written again until it lies in ``PARTS`` folders."""
+        parts = [*self.version(name), self._part(name, rows)]
+        self._point(name, parts)
+        if len(parts) > PARTS:
+            self.write(name, self.read(name))
+
+    def _part(self, name: str, rows: DataFrame) -> str:
+        part = f"v-{uuid.uuid4().hex}"
+        rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].schema]).write.parquet(f"{self.root}/{name}/{part}")
+        return part
+
+    def _point(self, name: str, parts: list[str]) -> None:
         jvm, fs = self._fs()
         make = jvm.org.apache.hadoop.fs.Path
-        temporary = make(f"{self.root}/{name}/_next-{version}.json")
+        temporary = make(f"{self.root}/{name}/_next-{uuid.uuid4().hex}.json")
         out = fs.create(temporary, True)
-        out.write(json.dumps({"version": version, "before": before}).encode())
+        out.write(json.dumps({"parts": parts}).encode())
         out.close()
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(temporary.toUri() if temporary.isAbsolute() and temporary.toUri().getScheme() else fs.getUri(), self.spark._jsc.hadoopConfiguration())
         options = self.spark._sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
@@ -125,11 +148,11 @@ class Store:
         context.rename(temporary, make(self._pointer(name)), options)
 
     def vacuum(self, name: str, keep: int = 2) -> int:
-        """Removes all but the current and the ``keep - 1`` newest other versions; returns how many went."""
+        """Removes all folders but those of the current version and the ``keep - 1`` newest others; returns how many went."""
         jvm, fs = self._fs()
         current = self.version(name)
         found = [s for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")) if s.isDirectory() and s.getPath().getName().startswith("v-")]
-        others = sorted((s for s in found if s.getPath().getName() != current), key=lambda s: -s.getModificationTime())
+        others = sorted((s for s in found if s.getPath().getName() not in current), key=lambda s: -s.getModificationTime())
         for s in others[keep - 1 :]:
             fs.delete(s.getPath(), True)
         return max(0, len(others) - keep + 1)
