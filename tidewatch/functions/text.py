@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .constants import CAPITAL_STOP_WORDS, TITLE_STOP_WORDS
+from .values import units
 
 #: A publisher after a bar or dash with blanks on both sides; a hyphen inside a word is none.
 SUFFIX = r"\s+[|–—-]\s+[A-Za-z0-9 .]+$"
@@ -35,7 +36,7 @@ def hash64(text: Column) -> Column:
 
     The prime is 2**40 + 435, so low' = low * 435 and high' = high * 435 + low * 2**8 + carry.
     """
-    codes = F.filter(F.transform(F.split(text, ""), lambda c: F.ascii(c).cast("bigint")), lambda c: c > 0)
+    codes = units(text)
 
     def step(acc: Column, c: Column) -> Column:
         low = acc["lo"].bitwiseXOR(c)

@@ -83,11 +83,18 @@ def clamped_days(text: Column) -> Column:
     return F.least(F.lit(30.0), F.greatest(F.lit(1.0), F.coalesce(F.when(n != 0, n), F.lit(7.0))))
 
 
-def fnv32(text: Column) -> Column:
-    """32-bit FNV-1a over the characters of ``text``, as a number."""
-    codes = F.transform(F.split(F.coalesce(text, F.lit("")), ""), lambda c: F.ascii(c).cast("bigint"))
+def units(text: Column) -> Column:
+    """UTF-16 code units: characters beyond the first plane count as two, as in the published hashes."""
     # Splitting on nothing leaves the characters; an empty text leaves one empty string.
-    return F.aggregate(F.filter(codes, lambda c: c > 0), F.lit(2166136261).cast("bigint"), lambda h, c: (h.bitwiseXOR(c) * F.lit(16777619).cast("bigint")).bitwiseAND(F.lit(4294967295)))
+    codes = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ""), lambda c: F.ascii(c).cast("bigint")), lambda c: c > 0)
+    high = lambda c: F.shiftright(c - 0x10000, 10) + 0xD800
+    low = lambda c: (c - 0x10000).bitwiseAND(F.lit(0x3FF).cast("bigint")) + 0xDC00
+    return F.flatten(F.transform(codes, lambda c: F.when(c >= 0x10000, F.array(high(c), low(c))).otherwise(F.array(c))))
+
+
+def fnv32(text: Column) -> Column:
+    """32-bit FNV-1a over the UTF-16 units of ``text``, as a number."""
+    return F.aggregate(units(text), F.lit(2166136261).cast("bigint"), lambda h, c: (h.bitwiseXOR(c) * F.lit(16777619).cast("bigint")).bitwiseAND(F.lit(4294967295)))
 
 
 def hex_digits(n: Column, width: int | None = None) -> Column:

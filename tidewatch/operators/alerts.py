@@ -88,17 +88,13 @@ def watch_impacts(watches: DataFrame, devices: DataFrame, situations: DataFrame,
     named = named.unionByName(asset_links(shown).select("id", F.lit("asset").alias("kind"), "symbol", F.lit("").alias("exchange")))
     hits = named.join(shown.select("id", "first_seen_at"), "id")
     target, own = ["kind", "symbol", "exchange"], ["device_id", "kind", "symbol", "exchange"]
-    # Ranked situations are few, so those of a target fit one ordered array; a watch meets it once
-    # and drops within the row what is older than itself or was sent.
-    found = hits.groupBy(*target).agg(F.array_sort(F.collect_list(F.struct("id", "first_seen_at"))).alias("hits"))
-    sent = delivered.groupBy(*own).agg(F.collect_set("situation_id").alias("sent"))
     known = devices.select(F.col("id").alias("device_id"), "apns_token")
-    rows = watches.join(known.select("device_id"), "device_id", "left_semi").join(found, target).join(sent, own, "left")
-    young = F.transform(F.filter("hits", lambda h: h["first_seen_at"] >= F.col("created_at")), lambda h: h["id"])
-    fresh = F.when(F.col("sent").isNull(), young).otherwise(F.array_except(young, F.col("sent")))
-    each = rows.select(*own, F.explode(F.slice(fresh, 1, most)).alias("situation_id"))
+    # Watches meet the hits of their target; what is older or was sent goes before the window,
+    # whose group limit keeps ``most`` rows a device in every task ahead of its shuffle.
+    rows = watches.join(known.select("device_id"), "device_id", "left_semi").join(hits, target).filter(F.col("first_seen_at") >= F.col("created_at"))
+    fresh = rows.select(*own, F.col("id").alias("situation_id")).join(delivered.select(*own, "situation_id"), [*own, "situation_id"], "left_anti")
     nth = F.row_number().over(W.partitionBy("device_id").orderBy("situation_id", "kind", "symbol", "exchange"))
-    few = each.withColumn("nth", nth).filter(F.col("nth") <= most)
+    few = fresh.withColumn("nth", nth).filter(F.col("nth") <= most)
     names = F.create_map(*[F.lit(x) for s, v in C.COMPANIES.items() for x in (f"company|{s}", v[0])], *[F.lit(x) for s, v in C.WATCHABLE_ASSETS.items() for x in (f"asset|{s}", v)])
     titles = shown.select(F.col("id").alias("situation_id"), "title", "first_seen_at")
     return few.join(known, "device_id").join(titles, "situation_id").withColumn("name", names[F.concat_ws("|", "kind", "symbol")])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,14 +12,20 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as C
 from ..functions import scores, text, values
-from .blocking import at_least, frequencies, jaccard_need, members, prefix, share
+from .blocking import around, at_least, cell, frequencies, kept, members, prefix, rarest_first, share
+from .graph import ready
 
 
 def event_similarity(e: str, s: str) -> Column:
     """Of an event (alias ``e``) to a situation (alias ``s``)."""
+    return pair_score(text.jaccard(F.col(f"{e}.signature"), F.col(f"{s}.signature")), e, s)
+
+
+def pair_score(marks: Column, e: str, s: str) -> Column:
+    """The same with the Jaccard of marks given."""
     col = lambda a, n: F.col(f"{a}.{n}")
     return scores.similarity(
-        text.jaccard(col(e, "signature"), col(s, "signature")),
+        marks,
         scores.geo_proximity(col(e, "lat"), col(e, "lon"), col(s, "lat"), col(s, "lon")),
         scores.category_compat(col(e, "category"), col(s, "category")),
         scores.time_proximity(col(e, "at"), col(s, "at"), col(s, "category")),
@@ -41,16 +48,24 @@ def best_situation(events: DataFrame, situations: DataFrame, threshold: float =
     """(event_id, situation_id, score): each event's best situation at or over the threshold, ties to the smaller id.
 
     Candidates must share ``shared_tokens`` headline words with the event, so all but its
-    ``shared_tokens - 1`` most common words are a lossless join key; the pairs are then
-    counted and scored.  Events (id, lat, lon, category, at, signature, tokens); situations
-    the same.
+    ``shared_tokens - 1`` most common words are a lossless join key.  Place, category and
+    time ride along as a few numbers: a pair that couldn't reach the threshold even with all
+    marks in common is dropped in the join itself, and one that shares too few words before
+    marks are fetched.  Events (id, lat, lon, category, at, signature, tokens); situations the same.
     """
+    ready(events.sparkSession)
+    events, situations = events.checkpoint(), situations.checkpoint()  # each is read four times
     there = members(situations.select(F.col("id").alias("situation_id"), "tokens"), "situation_id", "tokens")
     here = members(events.select(F.col("id").alias("event_id"), "tokens"), "event_id", "tokens")
     rare = prefix(here, "event_id", frequencies(there), at_least(shared_tokens))
-    pairs = rare.join(there, "w").select("event_id", "situation_id").distinct()
-    both = pairs.join(events.alias("e"), F.col("event_id") == F.col("e.id")).join(situations.alias("s"), F.col("situation_id") == F.col("s.id"))
-    scored = both.filter(text.shared(F.col("e.tokens"), F.col("s.tokens")) >= shared_tokens).withColumn("score", event_similarity("e", "s"))
+    compact = lambda rows, key: rows.select(F.col("id").alias(key), "lat", "lon", "category", "at")
+    e, s = rare.join(compact(events, "event_id"), "event_id").alias("e"), there.join(compact(situations, "situation_id"), "situation_id").alias("s")
+    met = e.join(s, F.col("e.w") == F.col("s.w")).filter(pair_score(F.lit(1.0), "e", "s") >= threshold - 1e-9)
+    pairs = met.select("event_id", "situation_id").distinct()
+    words = lambda rows, key, name: rows.select(F.col("id").alias(key), F.col("tokens").alias(name))
+    some = pairs.join(words(events, "event_id", "_x"), "event_id").join(words(situations, "situation_id", "_y"), "situation_id").filter(text.shared(F.col("_x"), F.col("_y")) >= shared_tokens).select("event_id", "situation_id")
+    both = some.join(events.alias("e"), F.col("event_id") == F.col("e.id")).join(situations.alias("s"), F.col("situation_id") == F.col("s.id"))
+    scored = both.withColumn("score", event_similarity("e", "s"))
     nth = F.row_number().over(W.partitionBy("event_id").orderBy(F.desc("score"), "situation_id"))
     return scored.filter(F.col("score") >= threshold).select("event_id", "situation_id", "score").withColumn("nth", nth).filter("nth = 1").drop("nth")
 
@@ -78,19 +93,55 @@ def merged(a: str, b: str) -> list[Column]:
     ]
 
 
+def merge_levels(threshold: float = C.MERGE_THRESHOLD) -> list[tuple[str | None, float, float | None]]:
+    """(column that both share, least Jaccard, greatest distance or None) of every way to reach ``threshold``.
+
+    The category gives what it gives; with time at its best, the rest bounds what place and
+    marks must give.  Where no place is needed, near pairs need few common marks and far ones many.
+    """
+    out = []
+    for column, compat in (("category", C.COMPAT_SAME), ("pillar", C.COMPAT_PILLAR), (None, C.COMPAT_CROSS)):
+        rest = threshold - C.SIM_CATEGORY * compat - C.SIM_TIME
+        near, place = (rest - C.SIM_GEO) / C.SIM_ENTITY, (rest - C.SIM_ENTITY) / C.SIM_GEO
+        if near > 1 or place > 1:
+            continue  # out of reach
+        if place > 1e-9:
+            out.append((column, near, -math.log(place) * C.GEO_DECAY_KM + 1e-6))
+        else:
+            out += [(column, near, C.GEO_DECAY_KM), (column, (rest - C.SIM_GEO * math.exp(-1)) / C.SIM_ENTITY, None)]
+    if any(least <= 0 for _, least, _ in out):
+        raise ValueError("a threshold that needs no common mark can't be joined on marks")
+    return out
+
+
 def merge_candidates(situations: DataFrame, threshold: float = C.MERGE_THRESHOLD) -> DataFrame:
     """(a, b, score), a < b: situations alike enough to be one.
 
-    Geography, category and time give a part of the threshold at most; the rest asks for a
-    Jaccard of marks, so the rarest marks of either side are a lossless join key.
+    Each of ``merge_levels`` is an equi-join on what it shares: the category or its pillar,
+    a cube of the level's distance, and the rarest marks of either side that the level's
+    Jaccard makes sure to meet.  No pair is lost, and pairs that only share a place, a
+    category or a common mark never meet.
     """
-    least = jaccard_need(threshold, C.SIM_ENTITY, C.SIM_GEO + C.SIM_CATEGORY + C.SIM_TIME)
-    if least <= 0:
-        raise ValueError("a threshold that needs no common mark can't be joined on marks")
+    ready(situations.sparkSession)
+    situations = situations.checkpoint()  # read four times
     marks = members(situations, "id", "signature")
-    rare = prefix(marks, "id", frequencies(marks), share(least))
-    pairs = rare.alias("x").join(rare.alias("y"), "w").filter("x.id < y.id").select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    scored = pairs.join(situations.alias("s"), F.col("a") == F.col("s.id")).join(situations.alias("t"), F.col("b") == F.col("t.id")).withColumn("score", situation_similarity("s", "t"))
+    sets = rarest_first(marks, "id", frequencies(marks))
+    pillar = F.create_map(*[F.lit(x) for pair in C.PILLAR.items() for x in pair])
+    rows = situations.select("id", "lat", "lon", "category", pillar[F.col("category")].alias("pillar")).join(sets, "id")
+    levels = merge_levels(threshold)
+
+    def keyed(n: int, column: str | None, least: float, km: float | None) -> Column:
+        home = F.struct(*[F.lit(0).alias(c) for c in "xyz"]) if km is None else cell(F.col("lat"), F.col("lon"), km, C.EARTH_KM)
+        some = F.slice("o", F.lit(1), F.greatest(F.lit(0), kept(F.size("o"), share(least))))
+        return F.struct(F.lit(n).alias("level"), (F.lit("") if column is None else F.col(column)).alias("g"), F.lit(km is None).alias("far"), home.alias("c"), some.alias("some"))
+
+    # One row for each level and word; then the other side also stands in the cubes around.
+    per_level = rows.select("id", F.explode(F.array(*[keyed(n, *level) for n, level in enumerate(levels)])).alias("k")).select("id", "k.level", "k.g", "k.far", "k.c", F.explode("k.some").alias("w"))
+    wide = per_level.select("id", "level", "g", F.explode(F.when(F.col("far"), F.array("c")).otherwise(around(F.col("c")))).alias("c"), "w")
+    # One number stands for the key: keys that share it by chance only add a pair to test.
+    number = F.xxhash64("level", "g", "c.x", "c.y", "c.z", "w").alias("key")
+    met = per_level.select(F.col("id").alias("a"), number).join(wide.select(F.col("id").alias("b"), number), "key").filter("a < b").select("a", "b").distinct()
+    scored = met.join(situations.alias("s"), F.col("a") == F.col("s.id")).join(situations.alias("t"), F.col("b") == F.col("t.id")).withColumn("score", situation_similarity("s", "t"))
     return scored.filter(F.col("score") >= threshold).select("a", "b", "score")
 
 
@@ -119,8 +170,6 @@ def folded(arrivals: DataFrame, situations: DataFrame, threshold: float = C.JOIN
 
 
 def _fold(new: pd.DataFrame, known: pd.DataFrame, threshold: float) -> Iterator[tuple]:
-    import math
-
     states: dict[str, dict] = {}
     by_url: dict[str, str] = {}
     by_headline: dict[str, str] = {}

@@ -349,12 +349,12 @@ WITH hits AS (SELECT id, 'company' AS kind, symbol FROM ({_rules_sql(C.COMPANY_R
 keys AS (SELECT * FROM (VALUES {", ".join(f"({n}, '{k[0]}', '{k[1]}', '{k[2]}')" for n, k in enumerate(_WATCH_KEYS))}) v(n, kind, symbol, exchange)),
 w AS (SELECT c_custkey AS device_id, kind, symbol, exchange, c_custkey % 1000 AS since FROM customer JOIN keys ON c_custkey % {len(_WATCH_KEYS)} = n),
 r AS (SELECT device_id, h.id AS situation_id, w.kind, w.symbol, row_number() OVER (PARTITION BY device_id ORDER BY lpad(h.id::VARCHAR, 9, '0'), w.kind, w.symbol, exchange) AS nth
-      FROM w JOIN hits h ON w.kind = h.kind AND w.symbol = h.symbol WHERE h.id >= since AND (device_id + h.id) % 5 <> 0)
+      FROM w JOIN hits h ON w.kind = h.kind AND w.symbol = h.symbol WHERE h.id % 25 = 7 AND h.id >= since AND (device_id + h.id) % 5 <> 0)
 SELECT device_id, situation_id, kind, symbol, nth::INT AS nth FROM r WHERE nth <= {C.MAX_PUSHES}"""
 )
 def watch_impact_cap(spark, sf_dir):
     """Watches against linked stories, not older than the watch, not yet sent, three a device."""
-    stories = _stories(spark, sf_dir).select(F.lpad(F.col("id").cast("string"), 9, "0").alias("id"), "title", "category", "geo_name", F.lit("active").alias("status"), F.lit(1).alias("map_rank"), F.col("id").alias("first_seen_at"))
+    stories = _stories(spark, sf_dir).select(F.lpad(F.col("id").cast("string"), 9, "0").alias("id"), "title", "category", "geo_name", F.lit("active").alias("status"), F.when(F.col("id") % 25 == 7, 1).alias("map_rank"), F.col("id").alias("first_seen_at"))
     keys = spark.createDataFrame([(n, *k) for n, k in enumerate(_WATCH_KEYS)], "n bigint, kind string, symbol string, exchange string")
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("device_id"))
     watches = c.withColumn("n", F.col("device_id") % len(_WATCH_KEYS)).join(F.broadcast(keys), "n").withColumn("created_at", F.col("device_id") % 1000)
@@ -365,6 +365,7 @@ def watch_impact_cap(spark, sf_dir):
 
 def _delivered(watches: DataFrame, stories: DataFrame) -> DataFrame:
     """Every fifth pair of device and story counts as sent."""
+    stories = stories.filter("map_rank is not null")
     hit = links.company_links(stories, C.COMPANY_LIMIT_WATCH).select("id", F.lit("company").alias("kind"), "symbol").union(links.asset_links(stories).select("id", F.lit("asset").alias("kind"), "symbol"))
     return watches.join(hit, ["kind", "symbol"]).filter((F.col("device_id") + F.col("id").cast("bigint")) % 5 == 0).select("device_id", "kind", "symbol", "exchange", F.col("id").alias("situation_id"))
 
@@ -439,9 +440,19 @@ def hamming_pairs(spark, sf_dir):
     return f.join(after, "page_id").select("page_id", text.hamming(F.col("f"), F.col("g")).alias("distance"))
 
 
-@query()
+def _names_sql(rows: str, key: str) -> str:
+    """CTEs that end in ``names`` (key, names): runs of capitalised words of ``rows`` (key, t)."""
+    stops = ", ".join(f"'{w}'" for w in C.CAPITAL_STOP_WORDS)
+    return f"""src AS ({rows}), toks AS (SELECT {key}, list_filter(regexp_split_to_array(t, '\\s+'), lambda x: x <> '') AS ts FROM src),
+words AS (SELECT {key}, i, regexp_replace(ts[i + 1], '[^\\p{{L}}\\p{{N}}]', '', 'g') AS w FROM (SELECT {key}, ts, unnest(range(0, len(ts))) AS i FROM toks)),
+caps AS (SELECT *, i - row_number() OVER (PARTITION BY {key} ORDER BY i) AS g FROM words WHERE regexp_matches(w, '^[A-Z]') AND w NOT IN ({stops})),
+runs AS (SELECT {key}, lower(string_agg(w, ' ' ORDER BY i)) AS p, min(i) AS a, count(*) AS n FROM caps GROUP BY {key}, g),
+names AS (SELECT s.{key}, list_sort(coalesce(list(DISTINCT p) FILTER (p IS NOT NULL AND NOT (a = 0 AND n = 1)), [])) AS names FROM src s LEFT JOIN runs r ON r.{key} = s.{key} GROUP BY s.{key})"""
+
+
+@query(f"WITH {_names_sql('SELECT doc_id, text AS t FROM documents', 'doc_id')} SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE array_to_string(names, '|') END AS entities FROM documents d JOIN names USING (doc_id)")
 def capital_entities(spark, sf_dir):
-    """Names in every document's text; a fold over words that SQL doesn't say."""
+    """Names in every document's text."""
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.capital_entities(F.col("text")), "|").alias("entities"))
 
 
@@ -464,7 +475,14 @@ def _candidates(spark, sf_dir) -> DataFrame:
     return _titles(spark, sf_dir).select(F.col("page_id").alias("id"), F.col("url").alias("url_canonical"), "title", at.alias("published_at"))
 
 
-@query()
+@query(f"""
+{_CANONICAL.replace("WITH u AS", "WITH RECURSIVE u AS")}, {_names_sql(f"SELECT page_id, {_TITLE} AS t FROM pages", "page_id")},
+r AS (SELECT page_id AS id, url_canonical AS u, list_distinct({_TOKENS.format(_TITLE)}) AS t, names FROM c JOIN pages USING (page_id) JOIN names USING (page_id)),
+j AS (SELECT a.id AS a, b.id AS b, a.u = b.u AS same, abs(a.id - b.id) * 60 <= {C.DUP_HOURS * 3600} AS near, coalesce(len(list_intersect(a.t, b.t)) / nullif(len(list_distinct(list_concat(a.t, b.t))), 0), 0) AS w,
+  coalesce(len(list_intersect(a.names, b.names)) / nullif(len(list_distinct(list_concat(a.names, b.names))), 0), 0) AS n FROM r a JOIN r b ON a.id <> b.id),
+e AS (SELECT a, b FROM j WHERE same OR near AND (w >= {C.DUP_JACCARD} OR w >= {C.DUP_WEAK_JACCARD} AND n >= {C.DUP_ENTITY})),
+f(id, x) AS (SELECT id, id FROM r UNION SELECT f.id, e.b FROM f JOIN e ON e.a = f.x)
+SELECT id, min(x) AS canonical_id FROM f GROUP BY id""")
 def dedupe_groups(spark, sf_dir):
     """Headlines grouped by URL, time, words and names; a minute between pages."""
     return dedupe.duplicate_groups(_candidates(spark, sf_dir))
@@ -516,8 +534,8 @@ situations AS (SELECT user_id AS id, min_by(category, event_id) AS category, avg
   FROM news WHERE event_id % 2 = 0 GROUP BY user_id)"""
 
 
-def _signed(rows: DataFrame) -> DataFrame:
-    sig = scores.entity_signature(F.col("event_type"), (F.col("user_id") % 7).cast("string"), F.col("country").cast("string"))
+def _signed(rows: DataFrame, actors: int = 7) -> DataFrame:
+    sig = scores.entity_signature(F.col("event_type"), (F.col("user_id") % actors).cast("string"), F.col("country").cast("string"))
     return rows.withColumn("signature", sig)
 
 
@@ -533,32 +551,49 @@ def situation_states(spark, sf_dir):
     return s.select("id", "category", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), F.array_join("signature", "|").alias("signature"), F.col("at").cast("timestamp_ntz").alias("at"), "event_count", "sources")
 
 
-_TOK = "list_filter(['t' || (user_id % 40)::VARCHAR, 'r' || root, 'p' || event_type], lambda x: x IS NOT NULL)"
+#: Stories of a day: many small situations, whose places, marks and words differ.
+_FINE_SIG = "list_distinct(['actor:' || event_type, 'actor:' || (user_id % 400)::VARCHAR, 'geo:' || country::VARCHAR])"
+_FINE = f"""
+fine AS (SELECT user_id * 100 + extract(day FROM ts) AS id, min_by(category, event_id) AS category, avg(lat) AS lat, avg(lon) AS lon, list_sort(list_distinct(flatten(list({_FINE_SIG})))) AS signature, max(ts) AS ts
+  FROM news WHERE event_id % 2 = 0 GROUP BY 1)"""
+
+
+def _fine(spark, sf_dir) -> DataFrame:
+    e = _signed(with_scores(news(spark, sf_dir)), 400).filter("event_id % 2 = 0").withColumn("story", F.col("user_id") * 100 + F.dayofmonth("ts"))
+    rows = e.select("story", "category", "lat", "lon", "signature", F.col("ts").alias("at"), F.col("sources").alias("num_sources"), F.col("event_id").alias("seq"))
+    return cluster.initial_situations(rows, "story")
+
+
+_TOK = "['t' || user_id::VARCHAR, 'r' || root || 'u' || (user_id % 20)::VARCHAR, 'p' || event_type, 'd' || extract(day FROM ts)::VARCHAR || 'x' || (user_id % 10)::VARCHAR]"
 _SIM = f"""({C.SIM_ENTITY} * coalesce(len(list_intersect(e.sig, s.signature)) / nullif(len(list_distinct(list_concat(e.sig, s.signature))), 0), 0) + {C.SIM_GEO} * exp(-({_km('e.lat', 's.lat', 'e.lon', 's.lon')}) / {C.GEO_DECAY_KM})
   + {C.SIM_CATEGORY} * ({_COMPAT.format('e.category', 's.category')}) + {C.SIM_TIME} * exp(-{LN2} * abs((epoch_us(e.ts) - epoch_us(s.ts)) / 3.6e9) / ({_HALF.replace('CASE category', 'CASE s.category')})))"""
 
 
 @query(f"""
-WITH {_NEWS}, {_SIT}, tokens AS (SELECT user_id AS id, list_distinct(flatten(list({_TOK}))) AS t FROM news WHERE event_id % 2 = 0 GROUP BY user_id),
-e AS (SELECT *, {_SIG} AS sig, {_TOK} AS t FROM news WHERE event_id % 2 = 1),
-x AS (SELECT e.event_id, s.id, round({_SIM}, 9) AS score FROM e, situations s JOIN tokens k ON s.id = k.id WHERE len(list_intersect(e.t, k.t)) >= {C.SHARED_TOKENS}),
+WITH {_NEWS}, {_FINE}, tokens AS (SELECT user_id * 100 + extract(day FROM ts) AS id, list_distinct(flatten(list({_TOK}))) AS t FROM news WHERE event_id % 2 = 0 GROUP BY 1),
+e AS (SELECT *, {_FINE_SIG} AS sig, {_TOK} AS t FROM news WHERE event_id % 2 = 1),
+ew AS (SELECT event_id, unnest(t) AS w FROM e), sw AS (SELECT id, unnest(t) AS w FROM tokens),
+m AS (SELECT event_id, id FROM ew JOIN sw USING (w) GROUP BY 1, 2 HAVING count(*) >= {C.SHARED_TOKENS}),
+x AS (SELECT e.event_id, s.id, round({_SIM}, 9) AS score FROM m JOIN e USING (event_id) JOIN fine s ON s.id = m.id),
 b AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY score DESC, id) AS k FROM x WHERE score >= {C.JOIN_THRESHOLD})
 SELECT event_id, id AS situation_id, score FROM b WHERE k = 1""")
 def best_situation(spark, sf_dir):
-    """Each odd event against situations of the even ones, the best over the bar."""
-    rows = _signed(with_scores(news(spark, sf_dir))).withColumn("tokens", F.array(F.concat(F.lit("t"), F.col("user_id") % 40), F.concat(F.lit("r"), "root"), F.concat(F.lit("p"), "event_type")))
-    words = rows.filter("event_id % 2 = 0").groupBy(F.col("user_id").alias("id")).agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("tokens"))
+    """Each odd event against the day stories of the even ones, the best over the bar."""
+    day = F.dayofmonth("ts")
+    rows = _signed(with_scores(news(spark, sf_dir)), 400).withColumn("tokens", F.array(F.concat(F.lit("t"), F.col("user_id")), F.concat(F.lit("r"), "root", F.lit("u"), F.col("user_id") % 20), F.concat(F.lit("p"), "event_type"), F.concat(F.lit("d"), day, F.lit("x"), F.col("user_id") % 10)))
+    words = rows.filter("event_id % 2 = 0").select((F.col("user_id") * 100 + day).alias("id"), F.explode("tokens").alias("w")).groupBy("id").agg(F.collect_set("w").alias("tokens"))
     e = rows.filter("event_id % 2 = 1").select(F.col("event_id").alias("id"), "lat", "lon", "category", F.col("ts").alias("at"), "signature", "tokens")
-    return cluster.best_situation(e, _situations(spark, sf_dir).join(words, "id")).select("event_id", "situation_id", F.round("score", 9).alias("score"))
+    return cluster.best_situation(e, _fine(spark, sf_dir).join(words, "id")).select("event_id", "situation_id", F.round("score", 9).alias("score"))
 
 
 _MERGE = f"""({C.SIM_ENTITY} * coalesce(len(list_intersect(a.signature, b.signature)) / nullif(len(list_distinct(list_concat(a.signature, b.signature))), 0), 0) + {C.SIM_GEO} * exp(-({_km('a.lat', 'b.lat', 'a.lon', 'b.lon')}) / {C.GEO_DECAY_KM})
   + {C.SIM_CATEGORY} * ({_COMPAT.format('a.category', 'b.category')}) + {C.SIM_TIME} * exp(-{LN2} * abs((epoch_us(a.ts) - epoch_us(b.ts)) / 3.6e9) / ((({_HALF.replace('CASE category', 'CASE a.category')}) + ({_HALF.replace('CASE category', 'CASE b.category')})) / 2)))"""
 
 
-@query(f"""WITH {_NEWS}, {_SIT}, x AS (SELECT a.id AS a, b.id AS b, round({_MERGE}, 9) AS score FROM situations a JOIN situations b ON a.id < b.id) SELECT * FROM x WHERE score >= {C.MERGE_THRESHOLD}""")
+@query(f"""WITH {_NEWS}, {_FINE}, x AS (SELECT a.id AS a, b.id AS b, round({_MERGE}, 9) AS score FROM fine a JOIN fine b ON a.id < b.id) SELECT * FROM x WHERE score >= {C.MERGE_THRESHOLD}""")
 def merge_candidates(spark, sf_dir):
-    return cluster.merge_candidates(_situations(spark, sf_dir)).select("a", "b", F.round("score", 9).alias("score"))
+    """Day stories that are alike enough to be one."""
+    return cluster.merge_candidates(_fine(spark, sf_dir)).select("a", "b", F.round("score", 9).alias("score"))
 
 
 @query(f"""
@@ -687,12 +722,29 @@ def forecast_markets(spark, sf_dir):
     return feeds.forecast_markets(table(spark, sf_dir, "part").select(body.alias("value"))).select("id", "slug", "question", "probability", "volume")
 
 
-@query("SELECT n_name AS body, '\"' || lower(to_hex(({})::BIGINT)) || '\"' AS etag FROM nation".format(_FNV32.format("n_name")))
+@query(
+    "WITH b AS (SELECT n_name || ' é😀' AS body FROM nation) SELECT body, '\"' || lower(to_hex((list_reduce(list_prepend(2166136261::HUGEINT, flatten(list_transform(list_filter(string_split(body, ''), lambda c: c <> ''), "
+    "lambda c: CASE WHEN unicode(c) >= 65536 THEN [55296 + ((unicode(c) - 65536) >> 10)::HUGEINT, 56320 + ((unicode(c) - 65536) & 1023)::HUGEINT] ELSE [unicode(c)::HUGEINT] END))), lambda h, c: (xor(h, c) * 16777619) % 4294967296))::BIGINT)) || '\"' AS etag FROM b"
+)
 def etags(spark, sf_dir):
-    return table(spark, sf_dir, "nation").select(F.col("n_name").alias("body"), values.etag(F.col("n_name")).alias("etag"))
+    """Digests of bodies over UTF-16 units."""
+    body = F.concat("n_name", F.lit(" é😀"))
+    return table(spark, sf_dir, "nation").select(body.alias("body"), values.etag(body).alias("etag"))
 
 
-@query()
+@query(f"""{_CANONICAL.replace("trim(url) AS u", "regexp_replace(trim(url), '^([^?#]*)', '\\1/%C3%A9%20y/z%7B') AS u")}
+SELECT page_id, url_canonical, lpad(to_hex(({_FNV32.format('url_canonical')})::BIGINT), 8, '0').lower() AS url_hash FROM c""")
+def url_dotted(spark, sf_dir):
+    """Addresses with dot segments, blanks and letters that need escaping."""
+    raw = F.regexp_replace("url", r"^([^?#]*)", "$1/x/%2e%2E/./é y/q/../z{")
+    return table(spark, sf_dir, "pages").select("page_id", urls.canonical_url(raw).alias("url_canonical"), urls.url_hash(raw).alias("url_hash"))
+
+
+@query(f"""
+{_CANONICAL}, {_SIMHASH.strip()[5:]}
+SELECT 'art-' || lpad(to_hex(({_FNV32.format('url_canonical')})::BIGINT), 8, '0').lower() AS id, url_canonical, lpad(to_hex(({_FNV32.format('url_canonical')})::BIGINT), 8, '0').lower() AS url_hash, array_to_string({_TOKENS.format(_TITLE)}, ' ') AS title_norm,
+  regexp_replace(lower(lpad(to_hex(hi), 8, '0') || lpad(to_hex(lo), 8, '0')), '^0+(.)', '\\1') AS title_simhash, TIMESTAMP '2024-01-01' AS published_at, regexp_replace(lower(regexp_extract(url, '^[A-Za-z]+://([^/?#]+)', 1)), '^www\\.', '') AS publisher_domain
+FROM c JOIN pages USING (page_id) JOIN f USING (page_id) WHERE url <> '' AND {_TITLE} <> ''""")
 def article_search_rows(spark, sf_dir):
     """Pages as answers of the article search, one body a hundred pages, typed."""
     from ..operators.normalize import typed_articles
@@ -700,10 +752,12 @@ def article_search_rows(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     article = F.struct("url", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.lit("20240101T000000Z").alias("seendate"), urls.host_of(F.col("url")).alias("domain"), F.lit("English").alias("language"), F.lit("US").alias("sourcecountry"))
     bodies = p.groupBy(F.floor(F.col("page_id") / 100)).agg(F.to_json(F.struct(F.collect_list(article).alias("articles"))).alias("value"))
-    return typed_articles(feeds.articles_json(bodies), NOW).select("id", "url_canonical", "url_hash", "title_norm", "title_simhash", "published_at", "publisher_domain")
+    return typed_articles(feeds.articles_json(bodies), NOW).select("id", "url_canonical", "url_hash", "title_norm", "title_simhash", F.col("published_at").cast("timestamp_ntz").alias("published_at"), "publisher_domain")
 
 
-@query()
+@query("""
+SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'BTCUSDT' WHEN 1 THEN 'EURUSD' ELSE 'WTI' END AS symbol, value AS price, CASE WHEN event_id % 3 = 0 THEN 1.5 END AS change_percent,
+  CASE WHEN event_id % 3 = 0 THEN date_trunc('millisecond', ts) ELSE date_trunc('day', ts) END AS as_of, CASE WHEN event_id % 3 = 0 THEN 'continuous' ELSE 'closed' END AS session_state FROM events""")
 def quote_sources(spark, sf_dir):
     """Quotes of all three sources, from bodies as they write them."""
     e, col = table(spark, sf_dir, "events"), F.col
@@ -711,7 +765,7 @@ def quote_sources(spark, sf_dir):
     rate = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), F.create_map(F.lit("USD"), col("value")).alias("rates")))
     daily = F.to_json(F.struct(F.struct(F.array(F.struct(F.date_format("ts", "yyyy-MM-dd").alias("period"), col("value").cast("string").alias("value"))).alias("data")).alias("response")))
     quote = F.when(col("event_id") % 3 == 0, feeds.crypto_quote(ticker)).when(col("event_id") % 3 == 1, feeds.rate_quote(rate, F.lit("eurusd"))).otherwise(feeds.energy_quote(daily, F.lit("wti")))
-    return e.select("event_id", quote.alias("q")).filter("q is not null").select("event_id", "q.*")
+    return e.select("event_id", quote.alias("q")).filter("q is not null").select("event_id", "q.symbol", "q.price", "q.change_percent", F.col("q.as_of").cast("timestamp_ntz").alias("as_of"), "q.session_state")
 
 
 
