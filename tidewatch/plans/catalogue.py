@@ -692,6 +692,17 @@ def feed_typed_events(spark, sf_dir):
     return rows.select("id", "cameo_root", "category", "quad_class", "goldstein", "actor1_code", "lat", "lon", "country_iso", ntz("occurred_at"), ntz("first_seen_at"), "num_mentions", "num_sources", "num_articles", "relevant")
 
 
+@query("""
+SELECT CASE event_id % 4 WHEN 0 THEN 'export' WHEN 1 THEN 'mentions' ELSE 'gkg' END AS kind, event_id * 10 AS size_bytes, 'x' || event_id AS md5, strftime(ts, '%Y%m%d%H%M%S') AS ts FROM events WHERE event_id % 4 <> 3 AND event_id % 7 <> 0""")
+def feed_manifest(spark, sf_dir):
+    """Lines of "size digest address" with unknown kinds and broken lines among them."""
+    i = F.col("event_id")
+    suffix = F.element_at(F.array(*map(F.lit, (".export.CSV.zip", ".mentions.CSV.zip", ".gkg.csv.zip", ".other.zip"))), (i % 4 + 1).cast("int"))
+    url = F.concat(F.lit("http://files.org/"), F.date_format("ts", "yyyyMMddHHmmss"), suffix)
+    lines = F.when(i % 7 == 0, F.concat_ws(" ", i, url)).otherwise(F.concat_ws("  ", i * 10, F.concat(F.lit("x"), i), url))
+    return feeds.manifest(table(spark, sf_dir, "events").select(lines.alias("value"))).select("kind", "size_bytes", "md5", "ts")
+
+
 @query(f"""
 {_CANONICAL}, r AS (SELECT c.url_canonical, trim(replace({_TITLE}, '&amp;', '&')) AS title, 'src' || p.page_id % 9 AS source_name, p.page_id % 4 = 1 AS crisis, p.page_id FROM c JOIN pages p USING (page_id)),
 l AS (SELECT *, row_number() OVER (PARTITION BY url_canonical ORDER BY page_id DESC) AS k FROM r WHERE length(title) >= 8)
@@ -761,10 +772,11 @@ SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'BTCUSDT' WHEN 1 THEN 'EURUSD' EL
 def quote_sources(spark, sf_dir):
     """Quotes of all three sources, from bodies as they write them."""
     e, col = table(spark, sf_dir, "events"), F.col
+    read = {s: feeds.quote_reader(s, "key") for s in ("binance", "ecb_frankfurter", "eia")}
     ticker = F.to_json(F.struct(F.lit("BTCUSDT").alias("symbol"), col("value").cast("string").alias("lastPrice"), F.lit("1.5").alias("priceChangePercent"), F.unix_millis(col("ts").cast("timestamp")).alias("closeTime")))
     rate = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), F.create_map(F.lit("USD"), col("value")).alias("rates")))
     daily = F.to_json(F.struct(F.struct(F.array(F.struct(F.date_format("ts", "yyyy-MM-dd").alias("period"), col("value").cast("string").alias("value"))).alias("data")).alias("response")))
-    quote = F.when(col("event_id") % 3 == 0, feeds.crypto_quote(ticker)).when(col("event_id") % 3 == 1, feeds.rate_quote(rate, F.lit("eurusd"))).otherwise(feeds.energy_quote(daily, F.lit("wti")))
+    quote = F.when(col("event_id") % 3 == 0, read["binance"](ticker, None)).when(col("event_id") % 3 == 1, read["ecb_frankfurter"](rate, F.lit("eurusd"))).otherwise(read["eia"](daily, F.lit("wti")))
     return e.select("event_id", quote.alias("q")).filter("q is not null").select("event_id", "q.symbol", "q.price", "q.change_percent", F.col("q.as_of").cast("timestamp_ntz").alias("as_of"), "q.session_state")
 
 
@@ -801,28 +813,6 @@ def cluster_fold(spark, sf_dir):
     return ingest.assigned(chosen, states).select("event_id", "situation_id", "created", F.round("score", 9).alias("score"))
 
 
-@query(f"WITH {_NEWS} SELECT user_id, round(sum({_IMPULSE} * {_DECAY}), 5) AS score, count(*) AS n FROM news GROUP BY user_id")
-def stream_ingest(spark, sf_dir):
-    """Scores kept by a stream: each batch's decayed impulses per story, stored once a batch, then summed."""
-    import uuid
-
-    ship(spark)
-    ready(spark)
-    # The folder that all executors share; a batch that is done again writes over its own part.
-    root = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
-    schema = table(spark, sf_dir, "events").schema
-
-    def keep(batch: DataFrame, number: int) -> None:
-        e = with_scores(_news_of(batch)).withColumn("at", F.col("ts"))
-        part = F.col("impulse") * scores.decay_factor(F.col("category"), values.hours_between(F.col("ts"), now()))
-        e.groupBy("user_id").agg(F.sum(part).alias("score"), F.count("*").alias("n")).write.mode("overwrite").parquet(f"{root}/out/batch={number}")
-
-    # A glob names a file or a folder alike.
-    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
-    events.writeStream.foreachBatch(keep).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{root}/out").groupBy("user_id").agg(F.round(F.sum("score"), 5).alias("score"), F.sum("n").alias("n"))
-
-
 @query("""
 WITH p AS (SELECT user_id::VARCHAR AS asset_id, ts, value AS price, ['open', 'closed', 'odd'][(event_id % 3 + 1)::INT] AS s, event_id FROM events)
 SELECT * FROM (SELECT 'session_state is not allowed' AS fault, count(*) AS n FROM p WHERE s = 'odd' UNION ALL SELECT 'price is null', count(*) FROM p WHERE event_id % 50 = 0

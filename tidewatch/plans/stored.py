@@ -18,8 +18,9 @@ from ..operators import alerts
 from ..operators.graph import ready
 from ..sources import schemas
 from ..sources.store import Store, seed, upsert_links
+from ..streaming import ingest as streaming
 from . import ingest, notify, serve
-from .catalogue import _HALF, _LONG, _TOKENS, _WATCH_KEYS, _case, _rules_sql, LN2, NOW, now, query, table
+from .catalogue import _HALF, _LONG, _NEWS, _TOKENS, _event_lines, _WATCH_KEYS, _case, _rules_sql, LN2, NOW, now, query, table
 
 TITLES = ("Clash near Hormuz strait", "Talks on trade rules go on", "Quake hits northern coast", "Central bank lifts key rates", "Protest fills the capital", "Chip plant fire in Taiwan", "Tanker blocked at Suez canal")
 PLACES = ("Hormuz", "Suez", "Taiwan Strait", "Geneva", None)
@@ -299,6 +300,59 @@ def manual_links(spark, sf_dir):
     return store.read("situation_outlook").select("situation_id", "market_id", "confidence", F.col("is_manually_verified").alias("verified")).join(F.broadcast(switch))
 
 
+INTERVALS = ("20240101001500", "20240101003000")
+
+
+def _files(spark, sf_dir: str) -> tuple[str, str]:
+    """Folders with two intervals of event and article files: even events, then odd ones; one headline a story."""
+    ready(spark)
+    root = f"{spark.sparkContext.getCheckpointDir()}/feed-{uuid.uuid4().hex}"
+    col = F.col
+    events = _event_lines(spark, sf_dir)
+    u = table(spark, sf_dir, "events").select("user_id").distinct()
+    words = F.concat_ws(" ", F.lit("report"), F.concat(F.lit("place"), col("user_id") % 12), F.concat(F.lit("actor"), col("user_id") % 9), F.concat(F.lit("story"), "user_id"))
+    cells = {1: F.lit("20240101"), 3: F.concat(F.lit("src"), col("user_id") % 7), 4: F.concat(F.lit("https://www.site.com/a/"), "user_id", F.lit("?b=1&a=2")), 8: F.when(col("user_id") % 3 == 0, "PROTEST,1").otherwise("TAX,1"), 26: F.concat(F.lit("<PAGE_TITLE>"), words, F.lit("</PAGE_TITLE>"))}
+    articles = u.select(F.concat_ws("\t", *[cells.get(i, F.lit("")) for i in range(27)]).alias("value"))
+
+    def put(rows: DataFrame, folder: str, name: str) -> None:
+        """An interval is one file, as the feed has it."""
+        rows.select("value").coalesce(1).write.text(f"{root}/_{name}")
+        make = spark._jvm.org.apache.hadoop.fs.Path
+        fs = make(root).getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(make(f"{root}/{folder}"))
+        part = next(s.getPath() for s in fs.listStatus(make(f"{root}/_{name}")) if s.getPath().getName().startswith("part-"))
+        fs.rename(part, make(f"{root}/{folder}/{name}"))
+
+    for n, ts in enumerate(INTERVALS):
+        put(events.filter(col("seq") % 2 == n), "e", f"{ts}.export.CSV")
+        put(articles, "a", f"{ts}.gkg.csv")
+    return f"{root}/e", f"{root}/a"
+
+
+@query(f"""
+WITH {_NEWS}, f AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id, event_id % 2 ORDER BY severity DESC, mentions DESC, event_id) AS k
+  FROM news WHERE event_id % 10 <> 3 AND event_id % 6 <> 0 AND severity >= {C.SEVERITY_FLOOR} AND user_id % 3 = 0 AND (event_id % 2 = 0 OR user_id % 3 <> event_id % 3)),
+c AS (SELECT 'gdelt-' || event_id AS id, 'https://site.com/a/' || user_id || '?a=2&b=1' AS url, user_id FROM f WHERE k = 1)
+SELECT 'event' AS kind, id AS key, NULL AS other FROM c UNION ALL SELECT 'member', id, NULL FROM c UNION ALL SELECT DISTINCT 'article', url, 'report place' || user_id % 12 || ' actor' || user_id % 9 || ' story' || user_id FROM c
+UNION ALL SELECT 'link', id, 'art-' || substr(sha1(url), 1, 16) FROM c UNION ALL SELECT 'run', unnest(['success', 'success', 'success']), unnest(['{INTERVALS[0]}', '{INTERVALS[0]}', '{INTERVALS[1]}'])""")
+def stream_ingest(spark, sf_dir):
+    """Two intervals through the store: the first by the bounded catch-up, then both by the stream, where the first is a replay that changes nothing.
+
+    What is stored, and that each event is in exactly one situation; runs are noted with the interval they did.
+    """
+    exports, articles = _files(spark, sf_dir)
+    store = Store(spark, f"{exports}-store")
+    streaming.run_pending(store, exports, articles, "20240101000000", now(), limit=1)
+    done: list[str] = [streaming.high_water(store, "")]
+    streaming.stream(store, exports, articles, f"{exports}-state", now(), lambda _, counts: done.append(counts["ts"])).awaitTermination()
+    none = F.lit(None).cast("string")
+    part = lambda name, kind, key, other=none: store.read(name).select(F.lit(kind).alias("kind"), key.alias("key"), other.alias("other"))
+    ran = spark.createDataFrame([(x,) for x in sorted(done)], "other string").select(F.lit("run").alias("kind"), F.lit("success").alias("key"), "other")
+    assert store.read("ingest_runs").filter("status = 'success'").count() == len(done)
+    out = part("events", "event", F.col("id")).union(part("situation_events", "member", F.col("event_id"))).union(part("articles", "article", F.col("url_canonical"), F.col("title")))
+    return out.union(part("event_articles", "link", F.col("event_id"), F.col("article_id"))).union(ran)
+
+
 # Accounts, alerts, watches.
 
 

@@ -74,11 +74,11 @@ def pending(spark: SparkSession, exports: str, articles: str, after: str, limit:
     return [r["ts"] for r in found.collect()]  # at most ``limit`` rows
 
 
-def run_pending(store: Store, exports: str, articles: str, first: str, now=None) -> list[dict]:
+def run_pending(store: Store, exports: str, articles: str, first: str, now=None, limit: int = C.MAX_INTERVALS) -> list[dict]:
     """Bounded catch-up: each pending interval in order, with the interval noted in its run."""
     out = []
     spark = store.spark
-    for ts in pending(spark, exports, articles, high_water(store, first)):
+    for ts in pending(spark, exports, articles, high_water(store, first), limit):
         counts = process(store, spark.read.option("lineSep", "\n").text(f"{exports}/{ts}.export.CSV"), spark.read.option("lineSep", "\n").text(f"{articles}/{ts}.gkg.csv"), now)
         last = store.read("ingest_runs").filter("status = 'success'").orderBy(F.desc("finished_at")).limit(1).select("id").first()["id"]
         noted = F.when(F.col("id") == last, F.to_json(F.from_json(F.lit(json.dumps(counts | {"last_interval": ts})), "map<string,string>"))).otherwise(F.col("counts_json"))
@@ -100,7 +100,7 @@ def stream(store: Store, exports: str, articles: str, checkpoint: str, now=None,
             ts = path.rsplit("/", 1)[-1].split(".", 1)[0]
             counts = process(store, batch.filter(F.col("path") == path), spark.read.option("lineSep", "\n").text(f"{articles}/{ts}.gkg.csv"), now)
             if on_batch:
-                on_batch(number, counts)
+                on_batch(number, counts | {"ts": ts})
 
     lines = file_lines(store.spark, exports, "*.export.CSV")
     return lines.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
