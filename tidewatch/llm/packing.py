@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table, written
-from .tokens import encoder_for, slices
+from .tokens import encoder_for, forget, slices
 
 WINDOW = 2048
 END_ID = 1
@@ -87,6 +87,7 @@ def cut(tokens: DataFrame, window: int = WINDOW, code: str = "H") -> DataFrame:
     base = bases(tokens)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for whole in batches:
             for batch in slices(whole, "ids"):
                 starts = np.array([base[p] for p in batch["part"].to_pylist()], np.int64) + batch["local_start"].to_numpy()

@@ -9,6 +9,8 @@ pieces, which gives the same ids sooner.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import os
 import re
@@ -197,6 +199,19 @@ def encoder_for(path: str, spaced: bool, code: str) -> PieceEncoder:
     return PieceEncoder(path, spaced, code)
 
 
+def forget() -> None:
+    """Gives back what this process's encoders hold.
+
+    Reused workers outlive a stage; one that turns to other work shouldn't keep
+    vocabularies and pieces beside it.
+    """
+    if encoder_for.cache_info().currsize:
+        encoder_for.cache_clear()
+        gc.collect()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+
+
 def grouped(texts: Iterable[str]) -> Iterator[list[str]]:
     """Runs of texts, null as empty, of bounded rows and characters (one long text may exceed the latter)."""
     group: list[str] = []
