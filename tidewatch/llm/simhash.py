@@ -383,6 +383,9 @@ def sharing(nodes: DataFrame, known: DataFrame) -> DataFrame:
     """
     classed = nodes.join(known.select(F.col("x").alias("node"), F.col("y").alias("class")), "node", "left")
     rows = classed.select("node", "n", F.coalesce("class", "node").alias("class"), F.posexplode("keys").alias("at", "key"))
+    # Keys of one class alone make no pair: a large class's own keys would meet by the square of its size.
+    held = rows.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo != hi").select("key")
+    rows = written(rows.join(held, "key", "left_semi"), "simhash-keys")
     a, b = (rows.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "class", "at")]) for s in "xy")
     over, under = ALIKE
     left = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))
