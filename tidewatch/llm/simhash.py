@@ -337,8 +337,7 @@ def _keys(whole: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarr
 
 
 def sets(docs: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
-    """(doc_id, print, node, n, fp, keys) of every row with a doc_id: node names its set of n shingles, print its text."""
-    common, counts = frequent(docs, shingle)
+    """(doc_id, print, node, n, fp) of every row with a doc_id: node names its set of n shingles, print its text."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -346,10 +345,25 @@ def sets(docs: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
                 hashes = [shingles(t, shingle) for t in rows["text"].to_pylist()]
                 whole = [np.unique(h) for h in hashes]
                 found = np.fromiter(map(voted, hashes), np.uint64, len(hashes))
-                columns = [rows["doc_id"], rows["print"], pa.array([_named(w) for w in whole], pa.int64()), pa.array([len(w) for w in whole], pa.int64()), pa.array(found.view(np.int64)), _lists([_keys(w, common, counts) for w in whole])]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "print", "node", "n", "fp", "keys"])
+                columns = [rows["doc_id"], rows["print"], pa.array([_named(w) for w in whole], pa.int64()), pa.array([len(w) for w in whole], pa.int64()), pa.array(found.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "print", "node", "n", "fp"])
+
+    return _texts(docs).mapInArrow(of, "doc_id long, print long, node long, n long, fp long")
+
+
+def keyed(docs: DataFrame, nodes: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
+    """``nodes`` (doc_id, print, ...) with the keys of their sets, taken of the whole texts anew: keys are never stored."""
+    common, counts = frequent(docs, shingle)
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in slices(batch, "text"):
+                keys = [_keys(np.unique(shingles(t, shingle)), common, counts) for t in rows["text"].to_pylist()]
+                yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["print"], _lists(keys)], names=["doc_id", "print", "keys"])
 
-    return _texts(docs).mapInArrow(of, "doc_id long, print long, node long, n long, fp long, keys array<long>")
+    # Repeated rows have one list of keys.
+    found = _texts(docs).mapInArrow(of, "doc_id long, print long, keys array<long>").groupBy("doc_id", "print").agg(F.first("keys").alias("keys"))
+    return nodes.join(found, ["doc_id", "print"])
 
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
@@ -375,17 +389,20 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int =
     return written(pairs.join(left, "x").join(right, "y").filter(alike).select("x", "y"), "simhash-alike")
 
 
-def sharing(nodes: DataFrame, known: DataFrame) -> DataFrame:
+def sharing(docs: DataFrame, nodes: DataFrame, known: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
     """(x, y): every pair of ``nodes`` that may be alike, less those that ``known`` (x, y) puts in one class.
 
     A prefix filter: sets that are alike share ``DEPTH`` keys (or all that the smaller set needs), and at each
     of the first so many both have places enough left for the rest (positional filter).
     """
     classed = nodes.join(known.select(F.col("x").alias("node"), F.col("y").alias("class")), "node", "left")
-    rows = classed.select("node", "n", F.coalesce("class", "node").alias("class"), F.posexplode("keys").alias("at", "key"))
+    classed = classed.select("node", "n", "doc_id", "print", F.coalesce("class", "node").alias("class"))
+    rows = keyed(docs, classed, shingle).select("node", "n", "class", F.posexplode("keys").alias("at", "key"))
     # Keys of one class alone make no pair: a large class's own keys would meet by the square of its size.
-    held = rows.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo != hi").select("key")
-    rows = written(rows.join(held, "key", "left_semi"), "simhash-keys")
+    # Told within the one shuffle of the keys, which is the most that is ever moved.
+    under = W.partitionBy("key")
+    spread = F.min("class").over(under) != F.max("class").over(under)
+    rows = written(rows.withColumn("spread", spread).filter("spread").drop("spread"), "simhash-keys")
     a, b = (rows.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "class", "at")]) for s in "xy")
     over, under = ALIKE
     left = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))
@@ -401,26 +418,29 @@ def near_classes(docs: DataFrame, blocks: Blocks = NEAR, shingle: int = NEAR_SHI
     that may be alike and lie in different classes by then are found by their rarest shingles.
     """
     rows = written(sets(docs, shingle), "simhash-sets")
-    nodes = written(rows.groupBy("node").agg(F.min(F.struct("doc_id", "print")).alias("s"), *[F.first(c).alias(c) for c in ("n", "fp", "keys")]).select("node", "s.*", "n", "fp", "keys"), "simhash-nodes")
+    nodes = written(rows.groupBy("node").agg(F.min(F.struct("doc_id", "print")).alias("s"), *[F.first(c).alias(c) for c in ("n", "fp")]).select("node", "s.*", "n", "fp"), "simhash-nodes")
     prints = written(nodes.groupBy("fp").agg(F.min("node").alias("first")), "simhash-prints")
     same = nodes.join(prints, "fp").filter("node != first").select(F.col("node").alias("x"), F.col("first").alias("y"))
     links = verified(docs, nodes, stars(prints.select("fp", F.col("first").alias("node")), blocks).union(same), shingle)
-    links = links.union(verified(docs, nodes, sharing(nodes, components(links)), shingle))
+    links = links.union(verified(docs, nodes, sharing(docs, nodes, components(links), shingle), shingle))
     return rows.join(components(links).select(F.col("x").alias("node"), "y"), "node", "left").select("doc_id", "print", F.coalesce("y", "node").alias("class"))
 
 
 def deduplicated(docs: DataFrame, blocks: Blocks = NEAR, shingle: int = NEAR_SHINGLE) -> DataFrame:
-    """One row of each class of near copies, that of the least doc_id, then of the least text; rows without a doc_id stay."""
+    """One row of each class of near copies, that of the least doc_id, then of the least text hash; rows without a doc_id stay."""
     found = near_classes(docs, blocks, shingle)
-    print_, group, nth = unused(docs, "_print"), unused(docs, "_class"), unused(docs, "_nth")
-    least = found.groupBy("class").agg(F.min("doc_id").alias("doc_id"))
+    print_, copies, nth = unused(docs, "_print"), unused(docs, "_copies"), unused(docs, "_nth")
     # Rows that repeat a doc_id may hold different texts: a row is known by both.
-    keep = written(found.join(least, ["class", "doc_id"]).select("doc_id", F.col("print").alias(print_), F.col("class").alias(group)).distinct(), "simhash-keep")
+    rows = found.groupBy("class", "doc_id", "print").agg(F.count("*").alias("copies"))
+    least = rows.groupBy("class").agg(F.min(F.struct("doc_id", "print", "copies")).alias("s")).select("s.*")
+    keep = written(least.select("doc_id", F.col("print").alias(print_), F.col("copies").alias(copies)), "simhash-keep")
     known = docs.filter(F.col("doc_id").isNotNull()).withColumn(print_, F.xxhash64(F.col("text").cast("string")))
-    inside = known.join(keep, ["doc_id", print_])
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    first = inside.withColumn(nth, F.row_number().over(W.partitionBy("doc_id", group).orderBy("text"))).filter(F.col(nth) == 1).select(*columns)
-    return first.union(docs.filter(F.col("doc_id").isNull()))
+    alone = known.join(keep.filter(F.col(copies) == 1), ["doc_id", print_], "left_semi").select(*columns)
+    # Only rows that repeat both are counted out: no other text is moved for it.
+    again = known.join(keep.filter(F.col(copies) > 1), ["doc_id", print_], "left_semi")
+    first = again.withColumn(nth, F.row_number().over(W.partitionBy("doc_id", print_).orderBy("text"))).filter(F.col(nth) == 1).select(*columns)
+    return alone.union(first).union(docs.filter(F.col("doc_id").isNull()))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
