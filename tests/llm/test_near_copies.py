@@ -43,6 +43,34 @@ def test_all_alike_pairs_are_found(spark, monkeypatch):
         assert sorted(r["doc_id"] for r in simhash.deduplicated(df).collect()) == [*range(0, 24, 2), 24]
 
 
+def test_short_and_crowded_sets_by_keys_alone(spark):
+    """Without the help of fingerprints, keys alone find all alike pairs: texts of any length, most of whose words many texts hold."""
+    rng = random.Random(6)
+    passages = [[word(rng) for _ in range(30)] for _ in range(4)]
+    texts = []
+    for n in [*range(1, 24)] * 4:
+        base = [*rng.choice(passages)[: rng.randrange(30)], *[word(rng) for _ in range(n)]]
+        texts += [base, [*base, word(rng)], [*base[:-1], word(rng)], base[1:], [word(rng), word(rng), *base]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    own = [{tuple(t[k : k + 5]) for k in range(max(1, len(t) - 4))} if t else set() for t in texts]
+    root = list(range(len(own)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(own):
+        for j in range(i):
+            if a == own[j] or 5 * len(a & own[j]) >= 4 * len(a | own[j]):
+                x, y = sorted((top(i), top(j)))
+                root[y] = x
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"] for r in simhash.deduplicated(df, simhash.Blocks((11, 11, 11, 11, 10, 10), 3, 0)).select("doc_id").collect()}
+    want = {i for i in range(len(own)) if top(i) == i}
+    assert 0 < len(want) < len(own) and got == want
+
+
 def test_repeated_ids_with_different_texts_stay(spark):
     """A class keeps one row; another text of the same doc_id is no copy, and goes nowhere with one."""
     rng = random.Random(5)

@@ -83,6 +83,8 @@ ALIKE = (4, 5)
 SAMPLE, COMMON = 8192, 1 << 16
 #: Keys that a pair must share, where its sets have so many: a set has one more key for each beyond the first.
 DEPTH = 12
+#: Shared keys, counted from the rarest of all, that make a pair worth verifying.
+ENOUGH = 2
 
 
 def shingles(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
@@ -392,23 +394,31 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int =
 def sharing(docs: DataFrame, nodes: DataFrame, known: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
     """(x, y): every pair of ``nodes`` that may be alike, less those that ``known`` (x, y) puts in one class.
 
-    A prefix filter: sets that are alike share ``DEPTH`` keys (or all that the smaller set needs), and at each
-    of the first so many both have places enough left for the rest (positional filter).
+    A prefix filter in two orders.  Sets that are alike share so many keys, ``least``, that in any common order of
+    the keys the first ``ENOUGH`` shared ones lie within ``size - least + ENOUGH`` places of both.  That second order is by how many
+    sets hold a key, counted over all of them; keys of one class alone, which make no pair, come first and only take up places.
+    So a key that many sets hold joins only sets that have few others.
     """
     classed = nodes.join(known.select(F.col("x").alias("node"), F.col("y").alias("class")), "node", "left")
     classed = classed.select("node", "n", "doc_id", "print", F.coalesce("class", "node").alias("class"))
-    rows = keyed(docs, classed, shingle).select("node", "n", "class", F.posexplode("keys").alias("at", "key"))
-    # Keys of one class alone make no pair: a large class's own keys would meet by the square of its size.
+    rows = keyed(docs, classed, shingle).select("node", "n", "class", F.size("keys").alias("size"), F.explode("keys").alias("key"))
     # Told within the one shuffle of the keys, which is the most that is ever moved.
-    under = W.partitionBy("key")
+    under, own = W.partitionBy("key"), W.partitionBy("node")
     spread = F.min("class").over(under) != F.max("class").over(under)
-    rows = written(rows.withColumn("spread", spread).filter("spread").drop("spread"), "simhash-keys")
-    a, b = (rows.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "class", "at")]) for s in "xy")
-    over, under = ALIKE
-    left = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))
-    may = (F.col("node_x") > F.col("node_y")) & (F.col("class_x") != F.col("class_y")) & ((left + DEPTH - 1) * (over + under) >= (F.col("n_x") + F.col("n_y")) * over)
-    met = a.join(b, "key").filter(may).groupBy(F.col("node_x").alias("x"), F.col("node_y").alias("y")).agg(F.count("*").alias("keys"), F.min(F.least("n_x", "n_y")).alias("n"))
-    return met.filter(F.col("keys") >= F.least(F.lit(DEPTH), F.ceil(F.col("n") * over / under))).select("x", "y")
+    rows = written(rows.withColumn("holders", F.count("*").over(under)).withColumn("spread", spread).filter("spread").drop("spread"), "simhash-keys")
+    place = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("holders", "key")) - 1
+    over, under_ = ALIKE
+    # Whatever its partner, a set shares ``DEPTH`` keys (or all that it needs): places beyond serve nobody.
+    lowest = F.least(F.lit(DEPTH), F.ceil(F.col("n") * over / under_))
+    placed = rows.withColumn("at", place).filter(F.col("at") - F.col("size") < F.least(F.lit(ENOUGH), lowest) - lowest)
+    placed = written(placed.drop("holders"), "simhash-places")
+    a, b = (placed.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "class", "size", "at")]) for s in "xy")
+    shared = F.ceil((F.col("n_x") + F.col("n_y")) * over / (over + under_))
+    least = F.greatest(F.lit(1), shared - F.greatest(F.col("n_x") - F.col("size_x"), F.col("n_y") - F.col("size_y")))
+    within = F.greatest(F.col("at_x") - F.col("size_x"), F.col("at_y") - F.col("size_y")) < F.least(F.lit(ENOUGH), least) - least
+    may = (F.col("node_x") > F.col("node_y")) & (F.col("class_x") != F.col("class_y")) & (F.least("n_x", "n_y") >= shared) & within
+    met = a.join(b, "key").filter(may).groupBy(F.col("node_x").alias("x"), F.col("node_y").alias("y")).agg(F.count("*").alias("keys"), F.min(F.least(F.lit(ENOUGH), least)).alias("enough"))
+    return met.filter("keys >= enough").select("x", "y")
 
 
 def near_classes(docs: DataFrame, blocks: Blocks = NEAR, shingle: int = NEAR_SHINGLE) -> DataFrame:
