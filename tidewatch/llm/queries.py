@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, licenses, mil, packing, quality_rules, secret_scan, simhash, token_files, warc
+from . import ann, bpe, filter_audit, licenses, line_dedup, mil, packing, quality_rules, secret_scan, simhash, spelling, token_files, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_licenses": licenses.query,
         "op9_quality_classifier": mil.query,
         "op10_secrets": secret_scan.query,
+        "op11_spelling": spelling.query,
+        "op12_filter_audit": filter_audit.query,
+        "op13_line_dedup": line_dedup.query,
     }
 
 
@@ -28,4 +31,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": quality_rules.oracle(),
         "op5_warc": warc.oracle(),
+        "op12_filter_audit": filter_audit.oracle(),
+        "op13_line_dedup": line_dedup.oracle(),
     }
