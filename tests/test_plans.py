@@ -35,9 +35,9 @@ def lines(spark, *rows):
     return spark.createDataFrame([(n, r) for n, r in enumerate(rows)], "seq long, value string").coalesce(1)
 
 
-def batch(spark, store, events, articles, parallel=False):
+def batch(spark, store, events, articles, rounds=False):
     typed = typed_events(feeds.raw_events(lines(spark, *events))).filter("relevant").drop("relevant")
-    return ingest.ingest_batch(store, typed, feeds.article_titles(lines(spark, *articles), "seq"), F.lit(NOW_AT), parallel)
+    return ingest.ingest_batch(store, typed, feeds.article_titles(lines(spark, *articles), "seq"), F.lit(NOW_AT), rounds)
 
 
 def situations(store):
@@ -62,8 +62,8 @@ def test_ingest_and_replay(spark, tmp_path):
     store.write("situations", store.read("situations").withColumn("event_count", F.lit(0)))
     batch(spark, store, *FIRST)
     assert {r["id"]: r["event_count"] for r in store.read("situations").collect()} == {"sit-gdelt-0": 4, "sit-gdelt-3": 1}
-    other = Store(spark, str(tmp_path / "parallel"))
-    batch(spark, other, *FIRST, parallel=True)
+    other = Store(spark, str(tmp_path / "rounds"))
+    batch(spark, other, *FIRST, rounds=True)
     assert situations(other) == before
 
 

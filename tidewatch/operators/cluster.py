@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -147,73 +145,3 @@ def merge_candidates(situations: DataFrame, threshold: float = C.MERGE_THRESHOLD
 
 def visible(source_count: Column) -> Column:
     return source_count >= C.VISIBLE_SOURCES
-
-
-FOLDED = "event_id string, situation_id string, created boolean, score double, nth long"
-
-
-def folded(arrivals: DataFrame, situations: DataFrame, threshold: float = C.JOIN_THRESHOLD) -> DataFrame:
-    """(event_id, situation_id, created, score, nth): arrivals assigned one after the other, exactly.
-
-    Each decision changes the situation that the next one sees, so a batch is a fold in
-    time order.  Rows that no chain of shared words, URLs or headlines connects can't
-    influence each other: the fold runs per ``part``, a column of both inputs (one constant
-    part is always right; connected components make it parallel).
-    arrivals: part, nth, event_id, lat, lon, category, at, num_sources, signature, tokens, url, headline.
-    situations: part, id, lat, lon, category, at, event_count, source_count, signature, tokens, urls, headline.
-    """
-
-    def fold(_, new: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(list(_fold(new, known, threshold)), columns=["event_id", "situation_id", "created", "score", "nth"])
-
-    return arrivals.groupBy("part").cogroup(situations.groupBy("part")).applyInPandas(fold, FOLDED)
-
-
-def _fold(new: pd.DataFrame, known: pd.DataFrame, threshold: float) -> Iterator[tuple]:
-    states: dict[str, dict] = {}
-    by_url: dict[str, str] = {}
-    by_headline: dict[str, str] = {}
-    for row in known.sort_values("id").to_dict("records"):
-        row["signature"], row["tokens"] = set(row["signature"]), set(row["tokens"])
-        states[row["id"]] = row
-        by_url |= {u: row["id"] for u in row["urls"]}
-        by_headline[row["headline"]] = row["id"]
-
-    def compare(event: dict, state: dict) -> float:
-        union = event["signature"] | state["signature"]
-        entity = len(event["signature"] & state["signature"]) / len(union) if union else 0.0
-        a, b = event["category"], state["category"]
-        category = C.COMPAT_SAME if a == b else C.COMPAT_PILLAR if C.PILLAR[a] == C.PILLAR[b] else C.COMPAT_CROSS
-        hours = abs((event["at"] - state["at"]).total_seconds()) / 3600
-        time = math.exp(-math.log(2) * hours / C.HALF_LIFE[b])
-        rest = C.SIM_ENTITY * entity + C.SIM_CATEGORY * category + C.SIM_TIME * time
-        if pd.isna(event["lat"]) or pd.isna(event["lon"]):
-            return rest / (1 - C.SIM_GEO)
-        p, q = math.radians(event["lat"]), math.radians(state["lat"])
-        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(state["lon"] - event["lon"]) / 2) ** 2
-        return rest + C.SIM_GEO * math.exp(-2 * C.EARTH_KM * math.atan2(math.sqrt(h), math.sqrt(1 - h)) / C.GEO_DECAY_KM)
-
-    for event in new.sort_values("nth").to_dict("records"):
-        event["signature"], words = set(event["signature"]), set(event["tokens"])
-        target, score = by_url.get(event["url"]) or by_headline.get(event["headline"]), 1.0
-        if target not in states:
-            target, score = None, 0.0
-            for name, state in states.items():
-                if len(words & state["tokens"]) >= C.SHARED_TOKENS and (found := compare(event, state)) >= threshold and found > score:
-                    target, score = name, found
-        created = target is None
-        if created:
-            target = f"sit-{event['event_id']}"
-            place = [0.0 if pd.isna(event[k]) else event[k] for k in ("lat", "lon")]
-            states[target] = {"lat": place[0], "lon": place[1], "category": event["category"], "at": event["at"], "signature": set(event["signature"]), "tokens": set(), "event_count": 1, "source_count": event["num_sources"]}
-        else:
-            state = states[target]
-            n = state["event_count"]
-            for k in ("lat", "lon"):
-                if not pd.isna(event[k]):
-                    state[k] = (state[k] * n + event[k]) / (n + 1)
-            state["signature"] |= event["signature"]
-            state |= {"at": max(state["at"], event["at"]), "event_count": n + 1, "source_count": max(state["source_count"], event["num_sources"])}
-        states[target]["tokens"] |= words
-        by_url[event["url"]] = by_headline[event["headline"]] = target
-        yield event["event_id"], target, created, None if created else score, event["nth"]

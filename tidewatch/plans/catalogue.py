@@ -802,15 +802,41 @@ def ingest_candidates(spark, sf_dir):
     return _arrivals(spark, sf_dir).select("id", "url_canonical", F.round("severity", 9).alias("severity"), "url_seq")
 
 
-@query()
+_FOLD_TITLE = "regexp_extract(coalesce(text, ''), '^[^.\n|]{0,80}', 0)"
+_FOLD_STORY = "STRUCT(id VARCHAR, lat DOUBLE, lon DOUBLE, cat VARCHAR, ts BIGINT, n BIGINT, marks VARCHAR[], words VARCHAR[])[]"
+_FOLD_SCORE = f"""({C.SIM_ENTITY} * len(list_intersect(x.marks, marks)) / len(list_distinct(list_concat(x.marks, marks))) + {C.SIM_GEO} * exp(-({_km('lat', 'x.lat', 'lon', 'x.lon')}) / {C.GEO_DECAY_KM})
+  + {C.SIM_CATEGORY} * ({_COMPAT.format('cat', 'x.cat')}) + {C.SIM_TIME} * exp(-{LN2} * abs((ts - x.ts) / 3.6e9) / ({_HALF.replace('CASE category', 'CASE x.cat')})))"""
+
+
+@query(f"""
+WITH RECURSIVE t AS (SELECT doc_id, {_FOLD_TITLE} AS title FROM documents),
+a AS (SELECT row_number() OVER (ORDER BY doc_id) AS nth, 'd' || doc_id AS id, (doc_id % 3) * 20 + (doc_id % 5) * 0.25 AS lat, (doc_id % 7) * 0.25 AS lon, ['warArmedConflict', 'militaryMovement', 'centralBankDecision'][doc_id % 3 + 1] AS cat,
+  epoch_us(TIMESTAMP '2024-01-01') + doc_id * 180000000 AS ts, ['actor:A' || doc_id % 4, 'geo:C' || doc_id % 3] AS marks, list_distinct({_TOKENS.format('title')}) AS words, array_to_string({_TOKENS.format('title')}, ' ') AS head FROM t WHERE title <> ''),
+f AS (
+  SELECT 0::BIGINT AS k, []::{_FOLD_STORY} AS s, []::STRUCT(h VARCHAR, i BIGINT)[] AS heads, '' AS event_id, '' AS situation_id, false AS created, NULL::DOUBLE AS score
+  UNION ALL
+  SELECT nth, CASE WHEN target IS NULL THEN list_append(s, {{'id': 'sit-' || id, 'lat': lat::DOUBLE, 'lon': lon::DOUBLE, 'cat': cat, 'ts': ts, 'n': 1::BIGINT, 'marks': marks, 'words': words}})
+      ELSE list_transform(s, lambda x, i: CASE WHEN i <> target THEN x ELSE {{'id': x.id, 'lat': (x.lat * x.n + lat) / (x.n + 1), 'lon': (x.lon * x.n + lon) / (x.n + 1), 'cat': x.cat, 'ts': greatest(x.ts, ts), 'n': x.n + 1,
+        'marks': list_distinct(list_concat(x.marks, marks)), 'words': list_distinct(list_concat(x.words, words))}} END) END,
+    list_append(heads, {{'h': head, 'i': coalesce(target, len(s) + 1)}}), id, CASE WHEN target IS NULL THEN 'sit-' || id ELSE s[target].id END, target IS NULL, CASE WHEN same IS NOT NULL THEN 1.0 WHEN target IS NOT NULL THEN -best.m END
+  FROM (SELECT *, coalesce(same, best.i) AS target FROM (SELECT *, list_filter(heads, lambda y: y.h = head)[-1].i AS same,
+    list_sort(list_filter(list_transform(s, lambda x, i: {{'m': CASE WHEN len(list_intersect(x.words, words)) >= {C.SHARED_TOKENS} THEN -{_FOLD_SCORE} END, 'i': i}}), lambda y: y.m <= -{C.JOIN_THRESHOLD}))[1] AS best
+    FROM f JOIN a ON a.nth = f.k + 1)))
+SELECT event_id, situation_id, created, round(score, 9) AS score FROM f WHERE k > 0""")
 def cluster_fold(spark, sf_dir):
-    """The arrivals above, assigned one after the other to situations that start empty."""
-    ready(spark)
-    chosen = _arrivals(spark, sf_dir).checkpoint()
+    """All documents' first words as headlines, assigned one after the other to situations that start empty; in rounds."""
+    i, col = F.col("doc_id"), F.col
+    d = table(spark, sf_dir, "documents").select(i, F.regexp_extract(F.coalesce("text", F.lit("")), r"^[^.\n|]{0,80}", 0).alias("title")).filter("title <> ''")
+    seen = F.timestamp_micros(F.unix_micros(F.to_timestamp(F.lit("2024-01-01"))) + i * 180_000_000)
+    kind = F.element_at(F.array(*map(F.lit, ("warArmedConflict", "militaryMovement", "centralBankDecision"))), (i % 3 + 1).cast("int"))
+    fresh = d.select(
+        F.concat(F.lit("d"), i).alias("id"), seen.alias("first_seen_at"), i.alias("url_seq"), ((i % 3) * 20 + (i % 5) * 0.25).alias("lat"), ((i % 7) * 0.25).alias("lon"), kind.alias("category"), F.lit(1).alias("num_sources"),
+        F.concat(F.lit("A"), i % 4).alias("actor1_code"), F.lit(None).cast("string").alias("actor2_code"), F.concat(F.lit("C"), i % 3).alias("country_iso"), "title", F.concat(F.lit("u"), i).alias("url_canonical"),
+    )
     none = F.array().cast("array<string>")
     fields = "id string, lat double, lon double, category string, at timestamp, event_count bigint, source_count bigint, headline string"
     states = spark.createDataFrame([], fields).withColumns({"signature": none, "tokens": none, "urls": none})
-    return ingest.assigned(chosen, states).select("event_id", "situation_id", "created", F.round("score", 9).alias("score"))
+    return ingest.assigned(fresh, states, rounds=True).select(col("event_id"), "situation_id", "created", F.round("score", 9).alias("score"))
 
 
 @query("""
