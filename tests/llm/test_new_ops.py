@@ -201,3 +201,20 @@ def test_spelling_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     found = queries()["op11_spelling"](spark, SF)
     assert sorted(map(tuple, found.select(*COLUMNS).collect()), key=lambda r: r[0]) == plain_spelling(rows)
+
+
+def test_ids_beside_control_characters():
+    """Signs that stand beside characters which only Python takes for white space get the library's ids."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tidewatch.llm import tokens
+
+    rng = random.Random(1)
+    signs = [chr(c) for c in range(33)] + list("\x7f\x85\xa0 　.,;:!?'\"-_#é́aAbB19Σ")
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(12))) for _ in range(4000)] + [f"{a}{b}{c}" for a in signs for b in signs for c in ".,a "]
+    for name, spaced in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        library, encoder = Tokenizer.from_file(public_tokenizers.path(name)), tokens.PieceEncoder(public_tokenizers.path(name), spaced)
+        for k in range(0, len(texts), 500):
+            found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.group(texts[k : k + 500])]
+            assert found == [library.encode(t, add_special_tokens=False).ids for t in texts[k : k + 500]]

@@ -32,8 +32,8 @@ GROUP_CHARS, GROUP_ROWS = 4_000_000, 1024
 
 #: The byte-level split of text into words, numbers, signs and blanks (fixed value).
 WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Two signs side by side (marks on letters count as signs here).
-SIGNS = re.compile(r"[^\w\s]{2}|_")
+#: Two signs side by side (marks on letters count as signs here, and so do U+001C to U+001F, which are no white space to the library).
+SIGNS = re.compile(r"(?:[^\w\s]|[\x1c-\x1f]){2}|_")
 
 
 def byte_letters() -> dict[str, int]:
