@@ -1,5 +1,6 @@
 """Ingestion, serving, alerting and streaming over a store, end to end."""
 
+import json
 from datetime import timedelta
 
 import pytest
@@ -76,22 +77,45 @@ def test_candidates(spark, tmp_path):
     assert [r["title"] for r in store.read("articles").collect()] == ["Last headline wins here"]
 
 
+INTERVALS = ("20260920130000", "20260920131500", "20260920133000")
+
+
 def test_streams(spark, tmp_path):
-    (tmp_path / "e").mkdir()
-    (tmp_path / "a").mkdir()
-    for k, ts in enumerate(("20260920130000", "20260920131500")):
-        (tmp_path / f"e/{ts}.export.CSV").write_text("\n".join([*(event(100 * k + i, f"http://s{i}.com/{k}", added=ts) for i in range(5)), "bad line", ""]))
-        (tmp_path / f"a/{ts}.gkg.csv").write_text("\n".join(article(f"http://s{i}.com/{k}", t, source=f"src{i}.com") for i, t in enumerate(TITLES)))
+    """A late article file delays the stream, which then goes on; catch-up and stream share the mark."""
+    e, a = tmp_path / "e", tmp_path / "a"
+    e.mkdir()
+    a.mkdir()
+    heads = lambda k: "\n".join(article(f"http://s{i}.com/{k}", t, source=f"src{i}.com") for i, t in enumerate(TITLES))
+    for k, ts in enumerate(INTERVALS):
+        (e / f"{ts}.export.CSV").write_text("\n".join([*(event(100 * k + i, f"http://s{i}.com/{k}", added=ts) for i in range(5)), "bad line", ""]))
+        if k != 1:
+            (a / f"{ts}.gkg.csv").write_text(heads(k))
     one, two = Store(spark, str(tmp_path / "one")), Store(spark, str(tmp_path / "two"))
-    runs = stream.run_pending(one, str(tmp_path / "e"), str(tmp_path / "a"), "20260920124500", F.lit(NOW_AT))
-    assert [r["ts"] for r in runs] == ["20260920130000", "20260920131500"]
-    assert stream.run_pending(one, str(tmp_path / "e"), str(tmp_path / "a"), "20260920124500", F.lit(NOW_AT)) == []
-    for _ in range(2):  # the second finds nothing new
-        q = stream.stream(two, str(tmp_path / "e"), str(tmp_path / "a"), str(tmp_path / "ck"), F.lit(NOW_AT))
+    first, now = "20260920124500", F.lit(NOW_AT)
+
+    def start(limit=6):
+        done = []
+        q = stream.stream(two, str(e), str(a), str(tmp_path / "ck"), first, now, lambda n, counts: done.append(counts["ts"]), limit)
         q.awaitTermination()
         assert q.exception() is None
+        return done
+
+    def agreed():
+        """The mark, which is also the checkpoint's last offset."""
+        last = max((p for p in (tmp_path / "ck/offsets").iterdir() if p.name.isdigit()), key=lambda p: int(p.name)).read_text().splitlines()[-1]
+        assert json.loads(last)["interval"] == stream.high_water(two, first)
+        return stream.high_water(two, first)
+
+    assert start() == [INTERVALS[0]] and agreed() == INTERVALS[0]
+    assert start() == []  # the third is there, the second is not
+    (a / f"{INTERVALS[1]}.gkg.csv").write_text(heads(1))
+    assert start(limit=1) == [INTERVALS[1]] and agreed() == INTERVALS[1]
+    assert [r["ts"] for r in stream.run_pending(two, str(e), str(a), first, now)] == [INTERVALS[2]]
+    assert start() == [] and agreed() == INTERVALS[2]  # the catch-up did it
+    assert [r["ts"] for r in stream.run_pending(one, str(e), str(a), first, now)] == list(INTERVALS)
+    assert stream.run_pending(one, str(e), str(a), first, now) == []
     assert situations(one) == situations(two) and len(situations(one)) == 2
-    assert two.read("ingest_runs").filter("status = 'success'").count() == 2
+    assert two.read("ingest_runs").filter("status = 'success'").count() == 3
 
 
 @pytest.fixture

@@ -8,6 +8,7 @@ store, and the SQL twins say what must come out.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -300,11 +301,11 @@ def manual_links(spark, sf_dir):
     return store.read("situation_outlook").select("situation_id", "market_id", "confidence", F.col("is_manually_verified").alias("verified")).join(F.broadcast(switch))
 
 
-INTERVALS = ("20240101001500", "20240101003000")
+INTERVALS = ("20240101001500", "20240101003000", "20240101004500")
 
 
-def _files(spark, sf_dir: str) -> tuple[str, str]:
-    """Folders with two intervals of event and article files: even events, then odd ones; one headline a story."""
+def _files(spark, sf_dir: str) -> tuple[str, str, Callable[[], None]]:
+    """Folders with three intervals of event and article files, a third of the events each and one headline a story; the last brings the second's articles, which are late."""
     ready(spark)
     root = f"{spark.sparkContext.getCheckpointDir()}/feed-{uuid.uuid4().hex}"
     col = F.col
@@ -323,34 +324,39 @@ def _files(spark, sf_dir: str) -> tuple[str, str]:
         part = next(s.getPath() for s in fs.listStatus(make(f"{root}/_{name}")) if s.getPath().getName().startswith("part-"))
         fs.rename(part, make(f"{root}/{folder}/{name}"))
 
+    late = INTERVALS[1]
     for n, ts in enumerate(INTERVALS):
-        put(events.filter(col("seq") % 2 == n), "e", f"{ts}.export.CSV")
-        put(articles, "a", f"{ts}.gkg.csv")
-    return f"{root}/e", f"{root}/a"
+        put(events.filter(col("seq") % 3 == n), "e", f"{ts}.export.CSV")
+        if ts != late:
+            put(articles, "a", f"{ts}.gkg.csv")
+    return f"{root}/e", f"{root}/a", lambda: put(articles, "a", f"{late}.gkg.csv")
 
 
 @query(f"""
-WITH {_NEWS}, f AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id, event_id % 2 ORDER BY severity DESC, mentions DESC, event_id) AS k
+WITH {_NEWS}, f AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id, event_id % 3 ORDER BY severity DESC, mentions DESC, event_id) AS k
   FROM news WHERE event_id % 10 <> 3 AND event_id % 6 <> 0 AND severity >= {C.SEVERITY_FLOOR} AND user_id % 3 = 0 AND (event_id % 2 = 0 OR user_id % 3 <> event_id % 3)),
 c AS (SELECT 'gdelt-' || event_id AS id, 'https://site.com/a/' || user_id || '?a=2&b=1' AS url, user_id FROM f WHERE k = 1)
 SELECT 'event' AS kind, id AS key, NULL AS other FROM c UNION ALL SELECT 'member', id, NULL FROM c UNION ALL SELECT DISTINCT 'article', url, 'report place' || user_id % 12 || ' actor' || user_id % 9 || ' story' || user_id FROM c
-UNION ALL SELECT 'link', id, 'art-' || substr(sha1(url), 1, 16) FROM c UNION ALL SELECT 'run', unnest(['success', 'success', 'success']), unnest(['{INTERVALS[0]}', '{INTERVALS[0]}', '{INTERVALS[1]}'])""")
+UNION ALL SELECT 'link', id, 'art-' || substr(sha1(url), 1, 16) FROM c UNION ALL SELECT 'run', 'success', unnest({list(INTERVALS)}) UNION ALL SELECT 'start', unnest(['1', '2', '2']), unnest({list(INTERVALS)}) UNION ALL SELECT 'mark', unnest(['1', '2']), unnest(['{INTERVALS[0]}', '{INTERVALS[2]}'])""")
 def stream_ingest(spark, sf_dir):
-    """Two intervals through the store: the first by the bounded catch-up, then both by the stream, where the first is a replay that changes nothing.
+    """Three intervals through the store by the stream, the second's article file late: the first start stops before it, the second goes on; a catch-up then finds nothing.
 
-    What is stored, and that each event is in exactly one situation; runs are noted with the interval they did.
+    What is stored, that each event is in exactly one situation, the runs with their intervals, what each start did, and the mark after it.
     """
-    exports, articles = _files(spark, sf_dir)
+    exports, articles, arrive = _files(spark, sf_dir)
     store = Store(spark, f"{exports}-store")
-    streaming.run_pending(store, exports, articles, "20240101000000", now(), limit=1)
-    done: list[str] = [streaming.high_water(store, "")]
-    streaming.stream(store, exports, articles, f"{exports}-state", now(), lambda _, counts: done.append(counts["ts"])).awaitTermination()
+    first, said = "20240101000000", []
+    for start in ("1", "2"):
+        streaming.stream(store, exports, articles, f"{exports}-state", first, now(), lambda _, counts, start=start: said.append(("start", start, counts["ts"]))).awaitTermination()
+        said.append(("mark", start, streaming.high_water(store, first)))
+        if start == "1":
+            arrive()
+    said += [("start", "catch-up", counts["ts"]) for counts in streaming.run_pending(store, exports, articles, first, now())]
     none = F.lit(None).cast("string")
     part = lambda name, kind, key, other=none: store.read(name).select(F.lit(kind).alias("kind"), key.alias("key"), other.alias("other"))
-    ran = spark.createDataFrame([(x,) for x in sorted(done)], "other string").select(F.lit("run").alias("kind"), F.lit("success").alias("key"), "other")
-    assert store.read("ingest_runs").filter("status = 'success'").count() == len(done)
     out = part("events", "event", F.col("id")).union(part("situation_events", "member", F.col("event_id"))).union(part("articles", "article", F.col("url_canonical"), F.col("title")))
-    return out.union(part("event_articles", "link", F.col("event_id"), F.col("article_id"))).union(ran)
+    out = out.union(part("event_articles", "link", F.col("event_id"), F.col("article_id"))).union(part("ingest_runs", "run", F.col("status"), F.get_json_object("counts_json", "$.last_interval")))
+    return out.union(spark.createDataFrame(said, "kind string, key string, other string"))
 
 
 # Accounts, alerts, watches.

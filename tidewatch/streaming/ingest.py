@@ -1,4 +1,7 @@
-"""Incremental ingestion: interval files as a stream, each batch through the store."""
+"""Incremental ingestion: interval file pairs, by a stream or by a bounded catch-up, each interval through the store.
+
+Both go by the same mark, the last interval that a successful run notes: what one did, the other passes over.
+"""
 
 from __future__ import annotations
 
@@ -8,32 +11,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import constants as C
 from ..functions.values import interval_start
 from ..operators.normalize import typed_events
 from ..plans.ingest import ingest_batch, ranking_tick
 from ..sources.feeds import article_titles, complete_intervals, raw_events
+from ..sources.intervals import ARTICLES, EXPORT, IntervalSource
 from ..sources.store import Store, upsert
 
-LINE = T.StructType([T.StructField("value", T.StringType())])
 STAMP = r"(\d{14})\.[^/]*$"
 
 
-def file_lines(spark: SparkSession, folder: str, glob: str, files_per_batch: int = C.MAX_INTERVALS) -> DataFrame:
-    """(value, path, ts) of the lines of interval files as they arrive."""
-    reader = spark.readStream.schema(LINE).option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_batch).option("lineSep", "\n")
-    return reader.text(folder).select("value", F.col("_metadata.file_path").alias("path")).withColumn("ts", F.regexp_extract("path", STAMP, 1))
-
-
 def numbered(rows: DataFrame) -> DataFrame:
     """With ``seq``, the order of lines: interval, then place in the file as scanned."""
     return rows.withColumn("seq", F.monotonically_increasing_id())
 
 
-def process(store: Store, events: DataFrame, articles: DataFrame, now) -> dict[str, int]:
-    """One batch of raw lines (value): parse, keep what is relevant, store, rank; logged as a run."""
+def process(store: Store, events: DataFrame, articles: DataFrame, now, interval: str | None = None) -> dict[str, int]:
+    """One batch of raw lines (value): parse, keep what is relevant, store, rank; logged as a run, with its interval."""
     typed = typed_events(raw_events(numbered(events.select("value")))).filter("relevant").drop("relevant")
     run, spark = f"run-{uuid.uuid4().hex}", store.spark
     stamp = now if now is not None else F.current_timestamp()
@@ -52,7 +48,7 @@ def process(store: Store, events: DataFrame, articles: DataFrame, now) -> dict[s
     except Exception as error:
         log("failed", None, str(error)[:500])
         raise
-    log("success", counts, None)
+    log("success", counts if interval is None else counts | {"last_interval": interval}, None)
     return counts
 
 
@@ -74,33 +70,33 @@ def pending(spark: SparkSession, exports: str, articles: str, after: str, limit:
     return [r["ts"] for r in found.collect()]  # at most ``limit`` rows
 
 
+def _interval(store: Store, export_path: str, article_path: str, now, ts: str) -> dict:
+    lines = store.spark.read.option("lineSep", "\n")
+    return process(store, lines.text(export_path), lines.text(article_path), now, ts) | {"ts": ts}
+
+
 def run_pending(store: Store, exports: str, articles: str, first: str, now=None, limit: int = C.MAX_INTERVALS) -> list[dict]:
-    """Bounded catch-up: each pending interval in order, with the interval noted in its run."""
-    out = []
-    spark = store.spark
-    for ts in pending(spark, exports, articles, high_water(store, first), limit):
-        counts = process(store, spark.read.option("lineSep", "\n").text(f"{exports}/{ts}.export.CSV"), spark.read.option("lineSep", "\n").text(f"{articles}/{ts}.gkg.csv"), now)
-        last = store.read("ingest_runs").filter("status = 'success'").orderBy(F.desc("finished_at")).limit(1).select("id").first()["id"]
-        noted = F.when(F.col("id") == last, F.to_json(F.from_json(F.lit(json.dumps(counts | {"last_interval": ts})), "map<string,string>"))).otherwise(F.col("counts_json"))
-        store.write("ingest_runs", store.read("ingest_runs").withColumn("counts_json", noted))
-        out.append(counts | {"ts": ts})
-    return out
-
-
-def stream(store: Store, exports: str, articles: str, checkpoint: str, now=None, on_batch: Callable[[int, dict], None] | None = None):
-    """Starts a query that ingests every export file that arrives, then stops when all are done.
-
-    Replays are harmless: the batch is keyed by ids, and the checkpoint says which files were done.
+    """Bounded catch-up: each pending interval in order."""
+    return [_interval(store, f"{exports}/{EXPORT.format(ts=ts)}", f"{articles}/{ARTICLES.format(ts=ts)}", now, ts) for ts in pending(store.spark, exports, articles, high_water(store, first), limit)]
+
+
+def stream(store: Store, exports: str, articles: str, checkpoint: str, first: str, now=None, on_batch: Callable[[int, dict], None] | None = None, limit: int = C.MAX_INTERVALS, trigger: dict | None = None):
+    """Starts a query that ingests complete intervals as they come; by default it takes those that are there and stops.
+
+    A new stream starts behind the mark; one that starts again goes by its checkpoint, and passes
+    over what the mark says is done, whoever did it.  An interval that was cut off is done again,
+    which changes nothing but what it lacked.
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        paths = [r["path"] for r in batch.select("path").distinct().collect()]  # at most the files of one batch
-        for path in sorted(paths):
-            ts = path.rsplit("/", 1)[-1].split(".", 1)[0]
-            counts = process(store, batch.filter(F.col("path") == path), spark.read.option("lineSep", "\n").text(f"{articles}/{ts}.gkg.csv"), now)
-            if on_batch:
-                on_batch(number, counts | {"ts": ts})
-
-    lines = file_lines(store.spark, exports, "*.export.CSV")
-    return lines.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        mark = high_water(store, first)
+        for row in batch.orderBy("ts").collect():  # at most ``limit`` rows: names of intervals
+            if row["ts"] > mark:
+                counts = _interval(store, row["export_path"], row["article_path"], now, row["ts"])
+                if on_batch:
+                    on_batch(number, counts)
+
+    store.spark.dataSource.register(IntervalSource)
+    options = {"exports": exports, "articles": articles, "after": high_water(store, first), "limit": str(limit)}
+    intervals = store.spark.readStream.format(IntervalSource.name()).options(**options).load()
+    return intervals.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
