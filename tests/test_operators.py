@@ -200,3 +200,54 @@ def test_store(spark, tmp_path):
     s.write("outlook_controls", s.read("outlook_controls"))
     assert s.vacuum("outlook_controls", 1) == 2 and s.read("outlook_controls").count() == 2
     assert s.read("devices").count() == 0
+
+
+def _files(root, name):
+    return {p: p.stat().st_size for p in (root / name).rglob("*.parquet")}
+
+
+def test_changes_are_small(spark, tmp_path):
+    """One device's change writes and reads one bucket; changes merge in order, and many of them into one part."""
+    s, n = store.Store(spark, str(tmp_path)), 2000
+    devices = frame(spark, "devices", [{"id": f"d{k}", "apns_token": f"t{k}", "is_pro": False, "created_at": T0, "last_seen_at": T0} for k in range(n)])
+    s.write("devices", devices)
+    before = _files(tmp_path, "devices")
+    one = s.read("devices", of="d7")
+    assert one.count() == 1 and "PartitionFilters: [isnotnull(in_folder" in one._jdf.queryExecution().toString() and len(one.inputFiles()) <= len(before)
+    s.change("devices", one.withColumn("apns_token", F.lit("new")), gone=s.read("devices", of="d8"))
+    added = _files(tmp_path, "devices").keys() - before.keys()
+    assert len({p.parent.name for p in added}) <= 2 and sum(p.stat().st_size for p in added) < sum(before.values()) / 4
+    rows = {r["id"]: r["apns_token"] for r in s.read("devices").collect()}
+    assert len(rows) == n - 1 and rows["d7"] == "new" and "d8" not in rows and rows["d9"] == "t9"
+    assert s.read("devices", of="d8").count() == 0 and s.read("devices", of="d7").first()["apns_token"] == "new"
+    s.append("devices", devices.filter("id = 'd8'"))  # after it was gone
+    s.change("devices", devices.filter("id = 'd7'"))
+    assert s.read("devices").count() == n and s.read("devices", of="d7").first()["apns_token"] == "t7"
+    s.write("devices", s.read("devices"))
+    assert s.version("devices")["changes"] == [] and s.read("devices").exceptAll(devices).count() == 0
+
+
+def test_parts_are_put_together(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "PARTS", 3)
+    s = store.Store(spark, str(tmp_path))
+    control = lambda region, on: spark.createDataFrame([(region, on, None, T0)], schemas.TABLES["outlook_controls"].schema)
+    for k in range(6):
+        s.change("outlook_controls", control(f"R{k % 4}", k % 2 == 0), gone=control("R1", True) if k == 4 else None)
+        assert len(s.version("outlook_controls")["parts"]) <= 3
+    assert sorted((r["region_iso"], r["is_enabled"]) for r in s.read("outlook_controls").collect()) == [("R0", True), ("R1", False), ("R2", True), ("R3", False)]
+
+
+def test_days(spark, tmp_path):
+    """A range of time reads its days, and what is too old goes without a file written."""
+    s = store.Store(spark, str(tmp_path))
+    price = lambda h, p: {"asset_id": "a", "ts": T0 - timedelta(hours=h), "price": p, "as_of": T0, "session_state": "open"}
+    s.write("asset_prices", frame(spark, "asset_prices", [price(12 * k, float(k)) for k in range(40)]))
+    files = _files(tmp_path, "asset_prices")
+    some = s.read("asset_prices", since=F.lit(T0 - timedelta(days=3)))
+    assert some.count() == 7 and "PartitionFilters: [isnotnull(in_folder" in some._jdf.queryExecution().toString()
+    s.drop_before("asset_prices", str(T0 - timedelta(days=2)))
+    assert s.read("asset_prices").count() == 5 and _files(tmp_path, "asset_prices") == files
+    s.change("asset_prices", frame(spark, "asset_prices", [price(24, 9.0), price(24 * 9, 1.0)]))
+    assert sorted(r["price"] for r in s.read("asset_prices").collect()) == [0.0, 1.0, 3.0, 4.0, 9.0]
+    s.drop_before("asset_prices", str(T0 - timedelta(days=5)))  # the bound never goes back
+    assert s.read("asset_prices").count() == 5

@@ -20,7 +20,7 @@ from ..operators.alerts import current_values, due_alerts, watch_impacts
 from ..operators.graph import ready
 from ..sources import files, push
 from ..sources.push import DEAD, GROUP, PAUSE_SECONDS, RETRIES, SendError, send  # noqa: F401
-from ..sources.store import Store, absent, delete_keys, update
+from ..sources.store import Store, absent
 
 WATCH_KEY = ("device_id", "kind", "symbol", "exchange", "situation_id")
 
@@ -79,7 +79,7 @@ def _record(store: Store, folder: str, record) -> int:
         record(sent)
     if outcomes.get(push.GONE):
         # By token: a device that has registered anew since is alive.
-        store.write("devices", delete_keys(store.read("devices"), gone.select(F.col("token").alias("apns_token")).distinct(), ["apns_token"]))
+        store.change("devices", gone=store.read("devices").join(gone.select(F.col("token").alias("apns_token")), "apns_token", "left_semi"))
     files.put_text(f"{folder}/recorded.json", json.dumps(outcomes))
     return outcomes.get(push.SENT, 0)
 
@@ -98,8 +98,8 @@ def alert_tick(store: Store, sender: Sender, now: Column, pause: float = PAUSE_S
     def record(sent: DataFrame) -> None:
         rows = sent.select(F.col("key").alias("alert_id"), F.col("at").alias("fired_at"), "payload_hash")
         store.append("alert_deliveries", absent(store.read("alert_deliveries"), rows, ("alert_id", "fired_at")))
-        marked = store.read("alerts").join(sent.select(F.col("key").alias("id"), F.col("at").alias("_sent")), "id", "left")
-        store.write("alerts", update(marked, F.col("_sent").isNotNull(), last_fired_at=F.col("_sent")))
+        marked = store.read("alerts").join(sent.select(F.col("key").alias("id"), F.col("at").alias("_sent")), "id")
+        store.change("alerts", marked.withColumn("last_fired_at", F.col("_sent")))
 
     return _tick(store, "alerts", due, record, sender, pause)
 

@@ -18,7 +18,7 @@ from ..operators.normalize import typed_events
 from ..plans.ingest import ingest_batch, ranking_tick
 from ..sources.feeds import article_titles, complete_intervals, raw_events
 from ..sources.intervals import ARTICLES, EXPORT, IntervalSource
-from ..sources.store import Store, upsert
+from ..sources.store import Store
 
 STAMP = r"(\d{14})\.[^/]*$"
 
@@ -39,7 +39,7 @@ def process(store: Store, events: DataFrame, articles: DataFrame, now, interval:
             F.lit(run).alias("id"), stamp.alias("started_at"), (F.lit(None).cast("timestamp") if status == "running" else F.current_timestamp()).alias("finished_at"), F.lit("score").alias("stage"),
             F.lit(status).alias("status"), F.lit(None if counts is None else json.dumps(counts)).cast("string").alias("counts_json"), F.lit(error).cast("string").alias("error"),
         )
-        store.write("ingest_runs", upsert(store.read("ingest_runs"), row, ("id",)))
+        store.change("ingest_runs", row)
 
     log("running", None, None)
     try:
