@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 from collections import Counter
 from datetime import timedelta
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from tests.test_operators import T0, frame, situation
 from tidewatch.functions import constants as C
 from tidewatch.operators.normalize import typed_events
-from tidewatch.plans import ingest, notify, serve
+from tidewatch.plans import ingest, kept, notify, serve
 from tidewatch.sources import feeds, schemas
 from tidewatch.sources.store import Store, seed, upsert_links
 from tidewatch.streaming import ingest as stream
@@ -70,6 +71,22 @@ def test_ingest_and_replay(spark, tmp_path):
     assert situations(other) == before
 
 
+def test_kept_views(spark, tmp_path):
+    """After batches that repeat articles, events and stories the kept views are what the stored tables say."""
+    rng, store = random.Random(4), Store(spark, str(tmp_path))
+    words = ["Iran", "base", "Hormuz", "strait", "naval", "strikes", "port", "tanker", "talks"]
+    for _ in range(2):
+        pages = {f"http://s{rng.randrange(12)}.com/n": " ".join(rng.sample(words, 5)) for _ in range(9)}
+        events = [event(rng.randrange(40), rng.choice(list(pages)), mentions=str(rng.randrange(20, 90)), a1=rng.choice(["IRNGOV", "USAMIL"]), lat=str(25 + rng.random())) for _ in range(14)]
+        batch(spark, store, events, [article(u, t, source=f"src{rng.randrange(4)}.com") for u, t in pages.items()])
+    found = {name: sorted(map(str, store.read(name).collect())) for name in ("kept_keys", "kept_picks")}
+    assert found["kept_keys"] and store.version("kept_keys")["changes"] == []  # keys are only added
+    assert found["kept_keys"] == sorted(map(str, kept.keys_of(kept.history(store)).collect()))
+    assert found["kept_picks"] == sorted(map(str, kept.picks_of(kept.history(store)).collect()))
+    numbers = {r["situation_id"]: (r["article_count"], r["publishers"]) for r in kept.numbers(store, store.read("situation_events")).collect()}
+    assert numbers == {r["id"]: (r["event_count"], r["source_count"]) for r in store.read("situations").collect()}
+
+
 def test_candidates(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     events = [event(1, "http://a.com/x", goldstein="-5"), event(2, "http://www.a.com/x/", goldstein="-9"), event(3, "http://a.com/x", lat=""), event(4, "http://b.com/x", goldstein="9"), event(5, "http://c.com/x"), event(6, "http://d.com/x")]

@@ -93,6 +93,15 @@ TABLES = {
     "watch_deliveries": Table("device_id string not null, kind string not null, symbol string not null, exchange string not null, situation_id string not null, delivered_at timestamp not null", ("device_id", "kind", "symbol", "exchange", "situation_id"), parents={"device_id": "devices"}),
 }
 
+#: Views that the engine keeps of the tables above, stored like them.
+KEPT = {
+    "kept_keys": Table("situation_id string not null, kind string not null, value string not null", ("situation_id", "kind", "value")),
+    "kept_picks": Table(
+        "situation_id string not null, headline struct<m: bigint, t: bigint, event_id: string, article_id: string, title: string>, place struct<m: bigint, first_seen_at: timestamp, event_id: string, lat: double, lon: double, geo_name: string, country_iso: string>",
+        ("situation_id",),
+    ),
+}
+
 
 def row_faults(name: str) -> Column:
     """Names of the rules that a row breaks, on its own."""

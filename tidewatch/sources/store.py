@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..shipping import ship
-from .schemas import TABLES
+from .schemas import KEPT, TABLES, Table
 
 
 def insert_absent(old: DataFrame, new: DataFrame, *keys: tuple[str, ...]) -> DataFrame:
@@ -91,7 +91,7 @@ PARTS = 64
 BUCKETS = 16
 
 #: Column by whose hash or day a table is laid out; a key's rows never move to another folder.
-BY_HASH = {"devices": "id", "alerts": "device_id", "device_watches": "device_id", "watch_deliveries": "device_id", "alert_deliveries": "alert_id"}
+BY_HASH = {"devices": "id", "alerts": "device_id", "device_watches": "device_id", "watch_deliveries": "device_id", "alert_deliveries": "alert_id", "kept_keys": "situation_id", "kept_picks": "situation_id"}
 BY_DAY = {"asset_prices": "ts", "score_history": "ts"}
 FOLDER, PART = "in_folder", "part"
 
@@ -105,6 +105,10 @@ def folder_of(name: str, value: Column | None = None) -> Column | None:
     return None
 
 
+def table_of(name: str) -> Table:
+    return TABLES[name] if name in TABLES else KEPT[name]
+
+
 class Store:
     """Tables below one folder of any Hadoop file system."""
 
@@ -138,7 +142,7 @@ class Store:
         ``of``: only rows whose layout column has this value, from their bucket; ``since``:
         only rows from this time on, from their days.
         """
-        now, schema = self.version(name), TABLES[name].schema
+        now, schema = self.version(name), table_of(name).schema
         keep = []
         if of is not None:
             keep += [F.col(FOLDER) == folder_of(name, F.lit(of)), F.col(BY_HASH[name]) == of]
@@ -152,7 +156,7 @@ class Store:
         # Changes that a filter leaves out concern rows that it leaves out: a key never leaves its folder.
         changes = self._rows(name, now["changes"], marked, keep)
         order = F.create_map(*[F.lit(x) for n, p in enumerate(now["changes"]) for x in (p, n)])
-        key = list(TABLES[name].key)
+        key = list(table_of(name).key)
         last = changes.groupBy(*key).agg(F.max_by(F.struct("gone", *schema.names), order[F.col(PART)]).alias("_r")).select("_r.*")
         return base.drop(FOLDER, PART).join(last.select(*key), key, "left_anti").select(*schema.names).unionByName(last.filter(~F.col("gone")).select(*schema.names))
 
@@ -178,7 +182,7 @@ class Store:
 
     def change(self, name: str, rows: DataFrame | None = None, gone: DataFrame | None = None) -> None:
         """Puts ``rows`` in or over those of their keys and takes ``gone`` (whole rows) out; nothing else is written."""
-        names = TABLES[name].schema.names
+        names = table_of(name).schema.names
         both = [df.select(*names, F.lit(flag).alias("gone")) for df, flag in ((gone, True), (rows, False)) if df is not None]
         self._add(name, self.version(name), self._part(name, reduce(DataFrame.unionByName, both), changes=True), True)
 
@@ -195,7 +199,7 @@ class Store:
 
     def _part(self, name: str, rows: DataFrame, changes: bool = False) -> str:
         part, folder = f"v-{uuid.uuid4().hex}", folder_of(name)
-        typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].schema], *(["gone"] if changes else []))
+        typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table_of(name).schema], *(["gone"] if changes else []))
         path = f"{self.root}/{name}/{PART}={part}"
         if folder is None:
             typed.write.parquet(path)
