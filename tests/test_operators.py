@@ -251,3 +251,28 @@ def test_days(spark, tmp_path):
     assert sorted(r["price"] for r in s.read("asset_prices").collect()) == [0.0, 1.0, 3.0, 4.0, 9.0]
     s.drop_before("asset_prices", str(T0 - timedelta(days=5)))  # the bound never goes back
     assert s.read("asset_prices").count() == 5
+
+
+@pytest.mark.parametrize("hubs", [4, 2000])
+def test_components_of_stars(spark, monkeypatch, hubs):
+    """Hubs, repeated edges, chains across partitions and lone nodes, by union-find over all edges."""
+    monkeypatch.setattr(graph, "HUBS", hubs)
+    monkeypatch.setattr(graph, "UNITED", 50)
+    rng = random.Random(6)
+    edges = [(0, k) for k in range(1, 400)] + [(5000, k) for k in range(5001, 5200)] * 2 + [(k, k + 1) for k in range(6000, 6060)] + [(rng.randrange(7000, 7300), rng.randrange(7000, 7300)) for _ in range(140)] + [(9, 9), (8000, 8000), (399, 5100)]
+    above = {}
+
+    def root(x):
+        while above.setdefault(x, x) != x:
+            x = above[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((root(a), root(b)))
+        above[b] = a
+    rng.shuffle(edges)
+    df = spark.createDataFrame([*edges, (None, 1)], "a long, b long").repartition(6)
+    assert {r["id"]: r["root"] for r in graph.components(df).collect()} == {x: root(x) for x in list(above)}
+    kept = graph.forest(df.filter("a is not null").coalesce(1))
+    assert kept.count() <= len(edges)
+    assert graph.components(df.limit(0)).count() == 0

@@ -20,7 +20,7 @@ from ..operators.graph import ready
 from ..sources import schemas
 from ..sources.store import Store, seed, upsert_links
 from ..streaming import ingest as streaming
-from . import ingest, notify, serve
+from . import ingest, kept, notify, serve
 from .catalogue import _HALF, _LONG, _NEWS, _TOKENS, _event_lines, _WATCH_KEYS, _case, _rules_sql, LN2, NOW, now, query, table
 
 TITLES = ("Clash near Hormuz strait", "Talks on trade rules go on", "Quake hits northern coast", "Central bank lifts key rates", "Protest fills the capital", "Chip plant fire in Taiwan", "Tanker blocked at Suez canal")
@@ -83,6 +83,19 @@ FIXTURE = {
 _BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+_STANDING: dict[tuple, Store] = {}
+
+
+def standing(spark, sf_dir: str, *names: str) -> Store:
+    """A filled store with its kept views, made once a session, for queries that only read."""
+    key = (spark.sparkContext.applicationId, sf_dir, names)
+    if key not in _STANDING:
+        _STANDING[key] = filled(spark, sf_dir, *names)
+        if "situation_events" in names and "articles" in names:
+            kept.rebuilt(_STANDING[key])
+    return _STANDING[key]
+
+
 def filled(spark, sf_dir: str, *names: str) -> Store:
     """A new store in the shared folder with these tables filled."""
     ready(spark)
@@ -120,7 +133,7 @@ SELECT 'situation' AS section, row_number() OVER (ORDER BY map_rank) - 1 AS pos,
 UNION ALL SELECT 'asset', row_number() OVER (ORDER BY symbol) - 1, id, symbol, price, as_of FROM t_assets LEFT JOIN (SELECT *, {LATEST} AS rn FROM t_asset_prices) p ON asset_id = id AND rn = 1 WHERE license_class = 'green'""", "situations", "assets", "asset_prices"))
 def serve_now(spark, sf_dir):
     """The snapshot: ranked situations and licensed assets with their latest quote, in their order."""
-    snap = serve.now_snapshot(filled(spark, sf_dir, "situations", "assets", "asset_prices"), now())
+    snap = serve.now_snapshot(standing(spark, sf_dir, "situations", "assets", "asset_prices"), now())
     s = snap.select(F.lit("situation").alias("section"), F.posexplode("situations").alias("pos", "x")).select("section", F.col("pos").cast("bigint").alias("pos"), "x.id", F.col("x.title").alias("name"), F.col("x.trendingScore").alias("number"), F.col("x.lastEventAt").cast("timestamp_ntz").alias("at"))
     a = snap.select(F.lit("asset").alias("section"), F.posexplode("assets").alias("pos", "x")).select("section", F.col("pos").cast("bigint").alias("pos"), "x.id", F.col("x.symbol").alias("name"), F.col("x.quote.price").alias("number"), F.col("x.quote.asOf").cast("timestamp_ntz").alias("at"))
     return s.unionByName(a)
@@ -133,7 +146,7 @@ l AS (SELECT a.asset_id, a.price, a.as_of, coalesce(a.change_pct, CASE WHEN b.pr
 @query(twin(f"{_CHANGE} SELECT id, symbol, name, class, price, round(change, 6) AS change, as_of FROM t_assets LEFT JOIN l ON asset_id = id WHERE license_class = 'green'", "assets", "asset_prices"))
 def serve_markets(spark, sf_dir):
     """Licensed assets with their latest quote; a source's own change comes first, else it is derived."""
-    m = serve.markets(filled(spark, sf_dir, "assets", "asset_prices"), now())
+    m = serve.markets(standing(spark, sf_dir, "assets", "asset_prices"), now())
     return m.select("id", "symbol", "name", "class", "quote.price", F.round("quote.changePercent", 6).alias("change"), F.col("quote.asOf").cast("timestamp_ntz").alias("as_of"))
 
 
@@ -143,7 +156,7 @@ g AS (SELECT DISTINCT symbol, floor(j * ((n - 1) / {float(C.SERIES_POINTS - 1)})
 SELECT n.symbol, n.ts, n.price FROM n LEFT JOIN g ON n.symbol = g.symbol AND n.i = g.i WHERE n.n <= {C.SERIES_POINTS} OR g.i IS NOT NULL""", "assets", "asset_prices"))
 def serve_history(spark, sf_dir):
     """Thinned series of licensed assets over the days that are kept; more days than that are cut to them."""
-    h = serve.history(filled(spark, sf_dir, "assets", "asset_prices"), now(), 90)
+    h = serve.history(standing(spark, sf_dir, "assets", "asset_prices"), now(), 90)
     return h.select("symbol", F.explode("points").alias("p")).select("symbol", F.col("p.ts").cast("timestamp_ntz").alias("ts"), "p.price")
 
 
@@ -155,7 +168,7 @@ a AS (SELECT id, string_agg(symbol, ',' ORDER BY nth) AS assets FROM al GROUP BY
 SELECT s.id, title, category, source_count, assets, companies FROM t_situations s LEFT JOIN a USING (id) LEFT JOIN f USING (id) WHERE {SHOWN} AND (assets IS NOT NULL OR companies IS NOT NULL)""", "situations"))
 def serve_impact(spark, sf_dir):
     """Ranked situations with linked assets and companies, in rule order."""
-    rows = serve.impact(filled(spark, sf_dir, "situations"))
+    rows = serve.impact(standing(spark, sf_dir, "situations"))
     symbols = lambda c: F.array_join(F.transform(c, lambda x: x["symbol"]), ",").alias(c)
     return rows.select(F.col("situationID").alias("id"), "title", "category", F.col("sourceCount").alias("source_count"), symbols("assets"), symbols("companies"))
 
@@ -172,7 +185,7 @@ UNION ALL SELECT 'assets', t.id, t.symbol, price, as_of FROM al JOIN t_assets t
 UNION ALL SELECT 'companies', symbol, rule_id, nth, NULL FROM cl""", "situations", "situation_events", "events", "event_articles", "articles", "sources", "situation_outlook", "outlook_markets", "assets", "asset_prices"))
 def serve_situation(spark, sf_dir):
     """All sections of one situation's page: a point lookup, with every row that hangs on it."""
-    store = filled(spark, sf_dir, "situations", "situation_events", "events", "event_articles", "articles", "sources", "situation_outlook", "outlook_markets", "assets", "asset_prices")
+    store = standing(spark, sf_dir, "situations", "situation_events", "events", "event_articles", "articles", "sources", "situation_outlook", "outlook_markets", "assets", "asset_prices")
     page = serve.situation(store, _PAGE, now())
     part = lambda name, key, label, number, at: page[name].select(F.lit(name).alias("section"), F.col(key).alias("id"), F.col(label).alias("name"), F.lit(0.0).alias("number") if number is None else F.col(number).cast("double").alias("number"), at.cast("timestamp_ntz").alias("at"))
     out = part("situation", "id", "title", "trendingScore", F.col("lastEventAt")).unionByName(part("events", "id", "actor1Name", "goldstein", F.col("occurredAt")))
@@ -192,7 +205,7 @@ UNION ALL (SELECT 'assets', id, name, 1.0 FROM t_assets WHERE license_class = 'g
 UNION ALL (SELECT 'companies', symbol, name, 0.0 FROM (VALUES {_FIRMS}) v(symbol, name) WHERE contains(lower(symbol), 'er') OR contains(lower(name), 'er') ORDER BY symbol LIMIT {C.SEARCH_LIMIT})""", "situations", "assets"))
 def serve_search(spark, sf_dir):
     """Names that hold a text, the best twenty of each kind."""
-    found = serve.search(filled(spark, sf_dir, "situations", "assets"), " er ")
+    found = serve.search(standing(spark, sf_dir, "situations", "assets"), " er ")
     part = lambda kind, key, name, score: found[kind].select(F.lit(kind).alias("section"), F.col(key).alias("id"), F.col(name).alias("name"), score.cast("double").alias("score"))
     return part("situations", "id", "title", F.col("score")).unionByName(part("assets", "id", "name", F.col("score"))).unionByName(part("companies", "symbol", "name", F.lit(0)))
 
@@ -204,7 +217,7 @@ w AS (SELECT situation_id, list_sort(list_distinct(flatten(list(t)))) AS tokens,
 SELECT id, array_to_string(coalesce(signature, []), '|') AS signature, array_to_string(coalesce(tokens, []), '|') AS tokens, coalesce(urls, 0)::INT AS urls FROM t_situations LEFT JOIN g ON g.situation_id = id LEFT JOIN w ON w.situation_id = id WHERE status = 'active'""", "situations", "situation_events", "events", "event_articles", "articles"))
 def active_states(spark, sf_dir):
     """Marks, headline words and addresses of every active situation, through the link tables."""
-    rows = ingest.active_states(filled(spark, sf_dir, "situations", "situation_events", "events", "event_articles", "articles"))
+    rows = ingest.active_states(standing(spark, sf_dir, "situations", "situation_events", "events", "event_articles", "articles"))
     line = lambda c: F.array_join(F.array_sort(c), "|").alias(c)
     return rows.select("id", line("signature"), line("tokens"), F.size("urls").alias("urls"))
 
@@ -212,7 +225,7 @@ def active_states(spark, sf_dir):
 @query(twin("""SELECT DISTINCT event_id AS id FROM t_situation_events JOIN (SELECT id FROM t_situations WHERE event_count > 0) s ON s.id = situation_id""", "situations", "situation_events"))
 def known_events(spark, sf_dir):
     """Events whose situation was aggregated."""
-    return ingest.known_events(filled(spark, sf_dir, "situations", "situation_events"))
+    return ingest.known_events(standing(spark, sf_dir, "situations", "situation_events"))
 
 
 # Ingestion, ranking, markets.
