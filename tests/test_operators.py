@@ -184,6 +184,27 @@ def test_zip_source(spark, tmp_path):
     assert [r["value"] for r in found] == ["a\tb", "c"]
 
 
+def test_archives_against_a_manifest(spark, tmp_path, monkeypatch):
+    """Only archives whose size and digest the manifest has are opened; lines come in blocks."""
+    import hashlib
+    import zipfile
+
+    monkeypatch.setattr(feeds, "BLOCK_LINES", 3)
+    said = []
+    for ts, fault in (("20260920130000", None), ("20260920131500", "md5"), ("20260920133000", "size"), ("20260920134500", "not listed")):
+        path = tmp_path / f"{ts}.export.CSV.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            z.writestr("x.CSV", "\n".join(f"{ts} {k}\u2028é" for k in range(8)) + "\n")
+        data = path.read_bytes()
+        if fault != "not listed":
+            said.append(f"{len(data) + (fault == 'size')} {hashlib.md5(data + b'x' * (fault == 'md5')).hexdigest().upper()} http://a.org/{path.name}")
+    listed = feeds.manifest(spark.createDataFrame([(x,) for x in said], "value string"))
+    assert {r["path"][-29:-15]: r["fault"] for r in feeds.archives(spark, str(tmp_path), listed).collect()} == {"20260920130000": None, "20260920131500": "md5", "20260920133000": "size", "20260920134500": "not listed"}
+    found = feeds.unzipped(spark, str(tmp_path), listed).orderBy("seq").collect()
+    assert [(r["seq"], r["value"]) for r in found] == [(k, f"20260920130000 {k}\u2028é") for k in range(8)]
+    assert feeds.unzipped(spark, str(tmp_path)).count() == 32
+
+
 def test_violations(spark):
     bad = frame(spark, "situations", [situation(1), situation(2, slug="slug1")]).withColumn("status", F.lit("odd"))
     faults = sorted(r["fault"] for r in schemas.violations(bad, "situations").collect())

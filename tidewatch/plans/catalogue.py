@@ -349,12 +349,12 @@ WITH hits AS (SELECT id, 'company' AS kind, symbol FROM ({_rules_sql(C.COMPANY_R
 keys AS (SELECT * FROM (VALUES {", ".join(f"({n}, '{k[0]}', '{k[1]}', '{k[2]}')" for n, k in enumerate(_WATCH_KEYS))}) v(n, kind, symbol, exchange)),
 w AS (SELECT c_custkey AS device_id, kind, symbol, exchange, c_custkey % 1000 AS since FROM customer JOIN keys ON c_custkey % {len(_WATCH_KEYS)} = n),
 r AS (SELECT device_id, h.id AS situation_id, w.kind, w.symbol, row_number() OVER (PARTITION BY device_id ORDER BY lpad(h.id::VARCHAR, 9, '0'), w.kind, w.symbol, exchange) AS nth
-      FROM w JOIN hits h ON w.kind = h.kind AND w.symbol = h.symbol WHERE h.id % 25 = 7 AND h.id >= since AND (device_id + h.id) % 5 <> 0)
+      FROM w JOIN hits h ON w.kind = h.kind AND w.symbol = h.symbol WHERE h.id >= since AND (device_id + h.id) % 5 <> 0)
 SELECT device_id, situation_id, kind, symbol, nth::INT AS nth FROM r WHERE nth <= {C.MAX_PUSHES}"""
 )
 def watch_impact_cap(spark, sf_dir):
     """Watches against linked stories, not older than the watch, not yet sent, three a device."""
-    stories = _stories(spark, sf_dir).select(F.lpad(F.col("id").cast("string"), 9, "0").alias("id"), "title", "category", "geo_name", F.lit("active").alias("status"), F.when(F.col("id") % 25 == 7, 1).alias("map_rank"), F.col("id").alias("first_seen_at"))
+    stories = _stories(spark, sf_dir).select(F.lpad(F.col("id").cast("string"), 9, "0").alias("id"), "title", "category", "geo_name", F.lit("active").alias("status"), F.lit(1).alias("map_rank"), F.col("id").alias("first_seen_at"))
     keys = spark.createDataFrame([(n, *k) for n, k in enumerate(_WATCH_KEYS)], "n bigint, kind string, symbol string, exchange string")
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("device_id"))
     watches = c.withColumn("n", F.col("device_id") % len(_WATCH_KEYS)).join(F.broadcast(keys), "n").withColumn("created_at", F.col("device_id") % 1000)
@@ -521,11 +521,13 @@ def geo_proximity(spark, sf_dir):
     return news(spark, sf_dir).select("event_id", F.round(scores.haversine_km(*here), 4).alias("km"), F.round(scores.geo_proximity(*here), 9).alias("proximity"))
 
 
-@query(f"WITH c AS (SELECT unnest([{', '.join(repr(c) for c in C.CATEGORIES)}]) AS c) SELECT a.c AS a, b.c AS b, {_COMPAT.format('a.c', 'b.c')} AS compat FROM c a, c b")
+@query(f"""WITH {_NEWS}, p AS (SELECT category AS a, lag(category) OVER (PARTITION BY user_id ORDER BY event_id) AS b FROM news)
+SELECT a, b, {_COMPAT.format('a', 'b')} AS compat, count(*) AS n FROM p WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY a, b""")
 def category_compat_matrix(spark, sf_dir):
-    c = F.array(*map(F.lit, C.CATEGORIES))
-    pairs = spark.range(1).select(F.explode(c).alias("a")).select("a", F.explode(c).alias("b"))
-    return pairs.select("a", "b", scores.category_compat(F.col("a"), F.col("b")).alias("compat"))
+    """Categories of each story's events that follow each other, with what they have in common."""
+    before = F.lag("category").over(W.partitionBy("user_id").orderBy("event_id"))
+    pairs = with_scores(news(spark, sf_dir)).select(F.col("category").alias("a"), before.alias("b")).filter("a is not null and b is not null")
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("n")).withColumn("compat", scores.category_compat(F.col("a"), F.col("b")))
 
 
 _SIG = "list_distinct(['actor:' || event_type, 'actor:' || (user_id % 7)::VARCHAR, 'geo:' || country::VARCHAR])"
@@ -633,30 +635,38 @@ def ndcg_at_k(spark, sf_dir):
     return calibrate.ndcg(rows, ["source"], [F.desc("n_chars"), F.col("doc_id")], "rel").select("source", F.round("ndcg", 9).alias("ndcg"))
 
 
-@query("""
-WITH s AS (SELECT range AS x FROM range(0, 21))
-SELECT a.x / 20.0 AS "newsVelocity", b.x / 20.0 AS "sourceConfirmation", c.x / 20.0 AS severity, d.x / 20.0 AS "marketMovement", (20 - a.x - b.x - c.x - d.x) / 20.0 AS "outlookMovement"
-FROM s a, s b, s c, s d WHERE a.x + b.x + c.x + d.x <= 20""")
-def simplex_weights(spark, sf_dir):
-    return calibrate.simplex(spark).drop("seq")
+_PARTS = ("(n_chars % 101) / 100.0", "(doc_id % 17) / 16.0", "(n_chars % 7) / 6.0", "(doc_id % 5) / 4.0", "(n_chars % 3) / 2.0")
+_GRID = """s AS (SELECT range AS v FROM range(0, 21)),
+w AS (SELECT row_number() OVER (ORDER BY a.v, b.v, c.v, d.v) AS id, a.v / 20.0 AS w0, b.v / 20.0 AS w1, c.v / 20.0 AS w2, d.v / 20.0 AS w3, (20 - a.v - b.v - c.v - d.v) / 20.0 AS w4 FROM s a, s b, s c, s d WHERE a.v + b.v + c.v + d.v <= 20)"""
 
 
-_PARTS = ("(n_chars % 101) / 100.0", "(doc_id % 17) / 16.0", "(n_chars % 7) / 6.0", "(doc_id % 5) / 4.0", "(n_chars % 3) / 2.0")
+@query(f"""
+WITH m AS (SELECT source, {", ".join(f'round(avg({p}), 9) AS x{n}' for n, p in enumerate(_PARTS))} FROM documents GROUP BY source), {_GRID},
+z AS (SELECT source, w.*, round(w0 * x0 + w1 * x1 + w2 * x2 + w3 * x3 + w4 * x4, 9) AS score FROM w, m),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, id) AS k, count(*) FILTER (score >= 0.5) OVER (PARTITION BY source) AS n FROM z)
+SELECT source, n AS over_half, score, w0 AS "newsVelocity", w1 AS "sourceConfirmation", w2 AS severity, w3 AS "marketMovement", w4 AS "outlookMovement" FROM r WHERE k = 1""")
+def simplex_weights(spark, sf_dir):
+    """Of all 10,626 weight vectors those that lift a source's mean score over a half, counted, and the best one."""
+    means = table(spark, sf_dir, "documents").groupBy("source").agg(*[F.round(F.avg(F.expr(p.replace("/ ", "/ double(") + ")")), 9).alias(f"x{n}") for n, p in enumerate(_PARTS)])
+    score = F.round(sum((F.col(c) * F.col(f"x{n}") for n, c in enumerate(calibrate.COMPONENTS)), F.lit(0.0)), 9)
+    scored = means.join(F.broadcast(calibrate.simplex(spark))).withColumn("score", score)  # a fixed set of vectors against a row a source
+    best = F.min(F.struct((-F.col("score")).alias("s"), "seq", *calibrate.COMPONENTS)).alias("b")
+    return scored.groupBy("source").agg(F.count_if(F.col("score") >= 0.5).alias("over_half"), best).select("source", "over_half", (-F.col("b.s")).alias("score"), *[F.col(f"b.{c}").alias(c) for c in calibrate.COMPONENTS])
 
 
 @query(f"""
-WITH x AS (SELECT doc_id AS seq, {", ".join(f'{p} AS x{n}' for n, p in enumerate(_PARTS))}, 2 * quality + toxic AS rel FROM documents JOIN labels USING (doc_id) WHERE doc_id < 2000),
-s AS (SELECT range AS v FROM range(0, 5)), w AS (SELECT row_number() OVER (ORDER BY a.v, b.v, c.v, d.v) AS id, a.v / 4.0 AS w0, b.v / 4.0 AS w1, c.v / 4.0 AS w2, d.v / 4.0 AS w3, (4 - a.v - b.v - c.v - d.v) / 4.0 AS w4 FROM s a, s b, s c, s d WHERE a.v + b.v + c.v + d.v <= 4),
-z AS (SELECT w.*, seq, rel, w0 * x0 + w1 * x1 + w2 * x2 + w3 * x3 + w4 * x4 AS score FROM w, x),
-o AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, seq) AS p, row_number() OVER (PARTITION BY id ORDER BY rel DESC) AS i FROM z),
-g AS (SELECT id, w0, w1, w2, w3, w4, round(sum(CASE WHEN p <= 10 THEN (pow(2, rel) - 1) / log2(p + 1) ELSE 0 END) / sum(CASE WHEN i <= 10 THEN (pow(2, rel) - 1) / log2(i + 1) ELSE 0 END), 9) AS ndcg FROM o GROUP BY ALL)
-SELECT w0 AS "newsVelocity", w1 AS "sourceConfirmation", w2 AS severity, w3 AS "marketMovement", w4 AS "outlookMovement", ndcg FROM g ORDER BY ndcg DESC, id LIMIT 1""".replace(" WHERE doc_id < 2000", ""))
+WITH x AS (SELECT doc_id AS seq, {", ".join(f'{p} AS x{n}' for n, p in enumerate(_PARTS))}, 2 * quality + toxic AS rel FROM documents JOIN labels USING (doc_id)), {_GRID},
+z AS (SELECT id, seq, rel, w0 * x0 + w1 * x1 + w2 * x2 + w3 * x3 + w4 * x4 AS score FROM w, x),
+o AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, seq) AS p FROM z),
+ideal AS (SELECT sum((pow(2, rel) - 1) / log2(i + 1)) AS best FROM (SELECT rel, row_number() OVER (ORDER BY rel DESC) AS i FROM x) WHERE i <= 10),
+g AS (SELECT id, round(sum((pow(2, rel) - 1) / log2(p + 1)) / any_value(best), 9) AS ndcg FROM o, ideal WHERE p <= 10 GROUP BY id)
+SELECT w0 AS "newsVelocity", w1 AS "sourceConfirmation", w2 AS severity, w3 AS "marketMovement", w4 AS "outlookMovement", ndcg FROM g JOIN w USING (id) ORDER BY ndcg DESC, id LIMIT 1""")
 def grid_search(spark, sf_dir):
-    """The best of 70 weight vectors over all labelled documents."""
+    """The best of all 10,626 weight vectors over all labelled documents."""
     rows = table(spark, sf_dir, "documents").select("doc_id", "n_chars").join(table(spark, sf_dir, "labels"), "doc_id")
     parts = dict(zip(calibrate.COMPONENTS, _PARTS, strict=True))
     examples = rows.select(F.col("doc_id").alias("seq"), *[F.expr(p).cast("double").alias(c) for c, p in parts.items()], (2 * F.col("quality") + F.col("toxic")).alias("relevance"))
-    return calibrate.grid_search(examples, 10, 0.25).select(*calibrate.COMPONENTS, F.round("ndcg", 9).alias("ndcg"))
+    return calibrate.grid_search(examples, 10).select(*calibrate.COMPONENTS, F.round("ndcg", 9).alias("ndcg"))
 
 
 # Feeds, from rows written as the feeds write them.

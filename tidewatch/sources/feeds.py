@@ -6,6 +6,7 @@ import io
 import zipfile
 from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -153,10 +154,30 @@ def register(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.option("multiLine", True).json(path).select(F.explode(name).alias("r")).select("r.*")
 
 
-def unzipped(spark: SparkSession, path: str) -> DataFrame:
-    """(path, seq, value): the lines of every zip archive below ``path``.
+#: Lines that a task takes out of an archive at a time.
+BLOCK_LINES = 50_000
 
-    Archives hold one interval each and are opened whole by the task that reads them.
+
+def archives(spark: SparkSession, path: str, listed: DataFrame | None = None) -> DataFrame:
+    """(path, content, fault) of the zip archives below ``path``, held against a manifest (url, size_bytes, md5) where one is given.
+
+    ``fault`` is null, "not listed", "size" or "md5"; an archive is known by its file name.
+    Only faultless ones are worth opening; the others come again with the next fetch.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "length", "content")
+    if listed is None:
+        return files.select("path", "content", F.lit(None).cast("string").alias("fault"))
+    name = lambda c: F.element_at(F.split(c, "/"), -1)
+    # The last entry of a name counts, as the newest manifest is read last; ties by digest.
+    known = listed.groupBy(name(F.col("url")).alias("name")).agg(F.max(F.struct("size_bytes", "md5")).alias("k"))
+    fault = F.when(F.col("k").isNull(), "not listed").when(F.col("length") != F.col("k.size_bytes"), "size").when(F.md5("content") != F.lower("k.md5"), "md5")
+    return files.withColumn("name", name(F.col("path"))).join(F.broadcast(known), "name", "left").select("path", "content", fault.alias("fault"))
+
+
+def unzipped(spark: SparkSession, path: str, listed: DataFrame | None = None) -> DataFrame:
+    """(path, seq, value): the lines of every zip archive below ``path``, of faultless ones only where a manifest is given.
+
+    An archive holds one interval; the task that reads it takes its lines out block by block.
     """
 
     def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,11 +185,14 @@ def unzipped(spark: SparkSession, path: str) -> DataFrame:
             for name, content in zip(frame["path"], frame["content"], strict=True):
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     for member in archive.namelist():
-                        found = archive.read(member).decode("utf-8", "replace").split("\n")
-                        yield pd.DataFrame({"path": name, "seq": range(len(found)), "value": found})
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
-    return files.mapInPandas(extract, "path string, seq long, value string")
+                        with archive.open(member) as stream:
+                            text, seq = io.TextIOWrapper(stream, "utf-8", "replace", newline="\n"), 0
+                            while block := list(islice(text, BLOCK_LINES)):
+                                yield pd.DataFrame({"path": name, "seq": range(seq, seq + len(block)), "value": [x.removesuffix("\n") for x in block]})
+                                seq += len(block)
+
+    whole = archives(spark, path, listed).filter("fault is null").select("path", "content")
+    return whole.mapInPandas(extract, "path string, seq long, value string")
 
 
 def complete_intervals(exports: DataFrame, articles: DataFrame, after: str, limit: int = C.MAX_INTERVALS, minutes: int = C.INTERVAL_MINUTES) -> DataFrame:
