@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..functions import constants as C
 from ..functions import scores, text, urls, values
 from ..operators import alerts, calibrate, cluster, dedupe, links, quotes, ranking
-from ..operators.graph import ready
 from ..shipping import ship
 from ..sources import feeds, schemas, store
 from . import ingest

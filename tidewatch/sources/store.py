@@ -62,14 +62,6 @@ def update(rows: DataFrame, where: Column, **values: Column) -> DataFrame:
     return rows.withColumns({c: F.when(F.coalesce(where, F.lit(False)), v).otherwise(F.col(c)) for c, v in values.items()})
 
 
-def delete(rows: DataFrame, where: Column) -> DataFrame:
-    return rows.filter(~F.coalesce(where, F.lit(False)))
-
-
-def delete_keys(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    return rows.join(keys.select(*on), on, "left_anti")
-
-
 def upsert_markets(old: DataFrame, new: DataFrame) -> DataFrame:
     """Forecast markets by venue and slug: the previous probability moves only when the current one changes.
 
