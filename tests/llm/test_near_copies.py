@@ -38,8 +38,9 @@ def test_all_alike_pairs_are_found(spark, monkeypatch):
         copy[at] = word(rng)
     texts.append(" ".join(copy))
     df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
-    for common in (simhash.COMMON, 3):
+    for common, members in ((simhash.COMMON, simhash.MEMBERS), (3, 1)):
         monkeypatch.setattr(simhash, "COMMON", common)
+        monkeypatch.setattr(simhash, "MEMBERS", members)
         assert sorted(r["doc_id"] for r in simhash.deduplicated(df).collect()) == [*range(0, 24, 2), 24]
 
 

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import partitions, table, unused, written
+from .common import met, partitions, table, unused, written
 from .tokens import slices
 
 SHINGLE = 3
@@ -85,6 +85,8 @@ SAMPLE, COMMON = 8192, 1 << 16
 DEPTH = 12
 #: Shared keys, counted from the rarest of all, that make a pair worth verifying.
 ENOUGH = 2
+#: Pairs of one set that are verified together: it is copied once for so many.
+MEMBERS = 1024
 
 
 def shingles(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
@@ -384,11 +386,15 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int =
     texts = _texts(docs).join(wanted.select("doc_id", "print"), ["doc_id", "print"], "left_semi").select("text")
     whole = written(texts.mapInArrow(of, "node long, whole array<long>").groupBy("node").agg(F.first("whole").alias("whole")), "simhash-whole")
     left, right = (whole.select(F.col("node").alias(c), F.col("whole").alias(f"whole_{c}")) for c in "xy")
+    # The pairs of a star's centre are split, and the centre's set goes to each part.
+    centres = written(pairs.groupBy("y").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / MEMBERS)), "simhash-centres")
+    split = met(pairs, centres, ["y"], "n").withColumn("part", F.pmod(F.xxhash64("x"), "parts")).drop("parts")
+    right = centres.select("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).join(right, "y")
     shared = F.size(F.array_intersect("whole_x", "whole_y"))
     # shared / (n_x + n_y - shared) >= over / under, in whole numbers
     over, under = ALIKE
     alike = shared * (over + under) >= (F.size("whole_x") + F.size("whole_y")) * over
-    return written(pairs.join(left, "x").join(right, "y").filter(alike).select("x", "y"), "simhash-alike")
+    return written(split.join(left, "x").join(right, ["y", "part"]).filter(alike).select("x", "y"), "simhash-alike")
 
 
 def sharing(docs: DataFrame, nodes: DataFrame, known: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
@@ -428,12 +434,14 @@ def near_classes(docs: DataFrame, blocks: Blocks = NEAR, shingle: int = NEAR_SHI
     that may be alike and lie in different classes by then are found by their rarest shingles.
     """
     rows = written(sets(docs, shingle), "simhash-sets")
-    nodes = written(rows.groupBy("node").agg(F.min(F.struct("doc_id", "print")).alias("s"), *[F.first(c).alias(c) for c in ("n", "fp")]).select("node", "s.*", "n", "fp"), "simhash-nodes")
-    prints = written(nodes.groupBy("fp").agg(F.min("node").alias("first")), "simhash-prints")
-    same = nodes.join(prints, "fp").filter("node != first").select(F.col("node").alias("x"), F.col("first").alias("y"))
+    nodes = written(rows.groupBy("node").agg(F.min(F.struct("doc_id", "print")).alias("s"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n", "fp")]).select("node", "s.*", "copies", "n", "fp"), "simhash-nodes")
+    prints = written(nodes.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("sets")), "simhash-prints")
+    same = met(nodes, prints, ["fp"], "sets").filter("node != first").select(F.col("node").alias("x"), F.col("first").alias("y"))
     links = verified(docs, nodes, stars(prints.select("fp", F.col("first").alias("node")), blocks).union(same), shingle)
     links = links.union(verified(docs, nodes, sharing(docs, nodes, components(links), shingle), shingle))
-    return rows.join(components(links).select(F.col("x").alias("node"), "y"), "node", "left").select("doc_id", "print", F.coalesce("y", "node").alias("class"))
+    # A set that a large share of the rows hold meets its class by a broadcast.
+    named = written(components(links).select(F.col("x").alias("node"), "y").join(nodes.select("node", "copies"), "node"), "simhash-named")
+    return met(rows, named, ["node"], "copies").select("doc_id", "print", F.coalesce("y", "node").alias("class"))
 
 
 def deduplicated(docs: DataFrame, blocks: Blocks = NEAR, shingle: int = NEAR_SHINGLE) -> DataFrame:
