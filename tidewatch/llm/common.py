@@ -98,6 +98,29 @@ def met(rows: DataFrame, facts: DataFrame, key: list[str], weight: str) -> DataF
     return wide.filter(F.col(mark).isNotNull()).drop(mark).unionByName(rest)
 
 
+#: Words of 64 bits in a sieve: its size whatever the rows, so it is broadcast.
+SIEVE = 1 << 18
+
+
+def sifted(rows: DataFrame, few: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose key may be one of ``few``'s, and those whose key surely is none of them.
+
+    Each key of ``few`` sets one of ``64 * SIEVE`` bits by its hash, nulls as any value.  Only rows that
+    hit a set bit need an exact join; where bits are all set, as ``few`` grows, that is every row.
+    """
+    place, word, bits = (unused(rows, name) for name in ("_place", "_word", "_bits"))
+
+    def placed(df: DataFrame) -> DataFrame:
+        at = F.pmod(F.xxhash64(*[F.col(f"`{k}`").cast(few.schema[k].dataType) for k in key]), F.lit(64 * SIEVE))
+        return df.withColumn(place, at).withColumn(word, F.shiftright(place, 6)).withColumn(place, F.pmod(place, F.lit(64)).cast("int"))
+
+    known = placed(few).groupBy(word).agg(F.bit_or(F.expr(f"shiftleft(1L, {place})")).alias(bits))
+    wide = placed(rows).join(F.broadcast(written(known, "sieve")), word, "left")
+    hit = F.coalesce(F.getbit(bits, place), F.lit(0)) == 1
+    kept = [F.col(f"`{c}`") for c in rows.columns]
+    return wide.filter(hit).select(*kept), wide.filter(~hit).select(*kept)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import met, partitions, table, unused, written
+from .common import met, partitions, sifted, table, unused, written
 from .tokens import slices
 
 SHINGLE = 3
@@ -382,8 +382,9 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int =
     pairs = written(pairs.distinct(), "simhash-pairs")
     ends = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
     wanted = written(nodes.join(ends, "node", "left_semi").select("node", "doc_id", "print"), "simhash-wanted")
-    # Stored, so that its true size decides how it meets the texts: few rows need no shuffle of them.
-    texts = _texts(docs).join(wanted.select("doc_id", "print"), ["doc_id", "print"], "left_semi").select("text")
+    # Only texts that may be wanted are moved.
+    wanted = wanted.select("doc_id", "print")
+    texts = sifted(_texts(docs), wanted, ["doc_id", "print"])[0].join(wanted, ["doc_id", "print"], "left_semi").select("text")
     whole = written(texts.mapInArrow(of, "node long, whole array<long>").groupBy("node").agg(F.first("whole").alias("whole")), "simhash-whole")
     left, right = (whole.select(F.col("node").alias(c), F.col("whole").alias(f"whole_{c}")) for c in "xy")
     # The pairs of a star's centre are split, and the centre's set goes to each part.
@@ -449,16 +450,19 @@ def deduplicated(docs: DataFrame, blocks: Blocks = NEAR, shingle: int = NEAR_SHI
     found = near_classes(docs, blocks, shingle)
     print_, copies, nth = unused(docs, "_print"), unused(docs, "_copies"), unused(docs, "_nth")
     # Rows that repeat a doc_id may hold different texts: a row is known by both.
-    rows = found.groupBy("class", "doc_id", "print").agg(F.count("*").alias("copies"))
+    rows = written(found.groupBy("class", "doc_id", "print").agg(F.count("*").alias("copies")), "simhash-rows")
     least = rows.groupBy("class").agg(F.min(F.struct("doc_id", "print", "copies")).alias("s")).select("s.*")
     keep = written(least.select("doc_id", F.col("print").alias(print_), F.col("copies").alias(copies)), "simhash-keep")
     known = docs.filter(F.col("doc_id").isNotNull()).withColumn(print_, F.xxhash64(F.col("text").cast("string")))
     columns = [F.col(f"`{c}`") for c in docs.columns]
+    # Rows that go, and such as are there more than once; where a row can be none of them it stays where it is.
+    touched = rows.select("doc_id", F.col("print").alias(print_)).join(keep.filter(F.col(copies) == 1), ["doc_id", print_], "left_anti")
+    known, stay = sifted(known, touched, ["doc_id", print_])
     alone = known.join(keep.filter(F.col(copies) == 1), ["doc_id", print_], "left_semi").select(*columns)
     # Only rows that repeat both are counted out: no other text is moved for it.
     again = known.join(keep.filter(F.col(copies) > 1), ["doc_id", print_], "left_semi")
     first = again.withColumn(nth, F.row_number().over(W.partitionBy("doc_id", print_).orderBy("text"))).filter(F.col(nth) == 1).select(*columns)
-    return alone.union(first).union(docs.filter(F.col("doc_id").isNull()))
+    return stay.select(*columns).union(alone).union(first).union(docs.filter(F.col("doc_id").isNull()))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
