@@ -87,6 +87,8 @@ DEPTH = 12
 ENOUGH = 2
 #: Pairs of one set that are verified together: it is copied once for so many.
 MEMBERS = 1024
+#: Bits of a set's sketch.
+PLACES = 4096
 
 
 def shingles(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
@@ -370,32 +372,56 @@ def keyed(docs: DataFrame, nodes: DataFrame, shingle: int = NEAR_SHINGLE) -> Dat
     return nodes.join(found, ["doc_id", "print"])
 
 
+def sketch(whole: np.ndarray) -> np.ndarray:
+    """``PLACES`` bits as signed 64-bit words: those that the top bits of some shingle name are set."""
+    bits = np.zeros(PLACES, np.uint8)
+    bits[(whole >> np.uint64(64 - PLACES.bit_length() + 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def beside(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    """``pairs`` (x, y) with the columns of ``facts`` (node, ...) for both ends, named with _x and _y.
+
+    The pairs of a star's centre are split, and the centre's fact goes to each part.
+    """
+    left, right = (facts.select(F.col("node").alias(c), *[F.col(f).alias(f"{f}_{c}") for f in facts.columns if f != "node"]) for c in "xy")
+    centres = written(pairs.groupBy("y").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / MEMBERS)), "simhash-centres")
+    split = met(pairs, centres, ["y"], "n").withColumn("part", F.pmod(F.xxhash64("x"), "parts")).drop("parts")
+    right = centres.select("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).join(right, "y")
+    return split.join(left, "x").join(right, ["y", "part"]).drop("part")
+
+
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
-    """Those of ``pairs`` (x, y) whose sets of shingles, taken of the whole texts, have a Jaccard similarity of ``ALIKE`` or more."""
+    """Those of ``pairs`` (x, y) whose sets of shingles, taken of the whole texts, have a Jaccard similarity of ``ALIKE`` or more.
+
+    Sketches go first: a bit that one set alone has is a shingle that the other lacks, which bounds what both can
+    share, so whole sets are moved for pairs within that bound only, and none that is alike is lost.
+    """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, "text"):
                 whole = [np.unique(shingles(t, shingle)) for t in rows["text"].to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array([_named(w) for w in whole], pa.int64()), _lists(whole)], names=["node", "whole"])
+                yield pa.RecordBatch.from_arrays([pa.array([_named(w) for w in whole], pa.int64()), _lists(whole), _lists([sketch(w) for w in whole])], names=["node", "whole", "bits"])
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
 
     pairs = written(pairs.distinct(), "simhash-pairs")
-    ends = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
-    wanted = written(nodes.join(ends, "node", "left_semi").select("node", "doc_id", "print"), "simhash-wanted")
+    wanted = written(nodes.join(ends(pairs), "node", "left_semi").select("doc_id", "print"), "simhash-wanted")
     # Only texts that may be wanted are moved.
-    wanted = wanted.select("doc_id", "print")
     texts = sifted(_texts(docs), wanted, ["doc_id", "print"])[0].join(wanted, ["doc_id", "print"], "left_semi").select("text")
-    whole = written(texts.mapInArrow(of, "node long, whole array<long>").groupBy("node").agg(F.first("whole").alias("whole")), "simhash-whole")
-    left, right = (whole.select(F.col("node").alias(c), F.col("whole").alias(f"whole_{c}")) for c in "xy")
-    # The pairs of a star's centre are split, and the centre's set goes to each part.
-    centres = written(pairs.groupBy("y").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / MEMBERS)), "simhash-centres")
-    split = met(pairs, centres, ["y"], "n").withColumn("part", F.pmod(F.xxhash64("x"), "parts")).drop("parts")
-    right = centres.select("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).join(right, "y")
-    shared = F.size(F.array_intersect("whole_x", "whole_y"))
+    found = texts.mapInArrow(of, "node long, whole array<long>, bits array<long>").groupBy("node").agg(F.first("whole").alias("whole"), F.first("bits").alias("bits"))
+    count = lambda words: F.aggregate(words, F.lit(0), lambda n, w: n + F.bit_count(w))
+    found = written(found.withColumn("n", F.size("whole")).withColumn("hit", count(F.col("bits"))), "simhash-whole")
     # shared / (n_x + n_y - shared) >= over / under, in whole numbers
     over, under = ALIKE
-    alike = shared * (over + under) >= (F.size("whole_x") + F.size("whole_y")) * over
-    return written(split.join(left, "x").join(right, ["y", "part"]).filter(alike).select("x", "y"), "simhash-alike")
+    alike = lambda shared: shared * (over + under) >= (F.col("n_x") + F.col("n_y")) * over
+    both = count(F.zip_with("bits_x", "bits_y", lambda a, b: a.bitwiseAND(b)))
+    most = F.least(*[F.col(f"n_{c}") - F.col(f"hit_{c}") for c in "xy"]) + both
+    may = written(beside(pairs, found.select("node", "n", "hit", "bits")).filter(alike(F.least("n_x", "n_y"))).filter(alike(most)).select("x", "y"), "simhash-may")
+    whole = sifted(found.select("node", "n", "whole"), written(ends(may), "simhash-ends"), ["node"])[0]
+    return written(beside(may, whole).filter(alike(F.size(F.array_intersect("whole_x", "whole_y")))).select("x", "y"), "simhash-alike")
 
 
 def sharing(docs: DataFrame, nodes: DataFrame, known: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
