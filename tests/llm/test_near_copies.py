@@ -3,6 +3,8 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from tidewatch.llm import simhash
 
 
@@ -108,3 +110,29 @@ def test_stage_against_all_pairs(spark):
     want = {ids[i] for i in root if top(i) == i}
     got = {r["doc_id"] for r in simhash.deduplicated(df).select("doc_id").collect()}
     assert len(want) < len(ids) and got == want
+
+
+def test_sieve_loses_no_row(spark):
+    from tidewatch.llm.common import sifted
+
+    rows = spark.range(5000).selectExpr("IF(id % 50 = 0, NULL, CAST(id % 700 AS INT)) AS doc_id", "CAST(id % 3 AS STRING) AS print", "id AS _place", "id AS word")
+    few = spark.sql("SELECT * FROM VALUES (7L, '1'), (NULL, '2'), (8L, NULL), (7L, '1') AS t(doc_id, print)")
+    hit, rest = sifted(rows, few, ["doc_id", "print"])
+    found, left = ([tuple(r) for r in df.collect()] for df in (hit, rest))
+    assert sorted(found + left, key=repr) == sorted(map(tuple, rows.collect()), key=repr) and hit.columns == rows.columns
+    wanted = {(7, "1"), (None, "2")}
+    assert not [r for r in left if r[:2] in wanted] and {r[:2] for r in found} >= wanted
+    assert len(found) < 100  # a hash that meets one of three bits by chance is rare
+    assert sifted(rows, few.limit(0), ["doc_id", "print"])[0].count() == 0
+
+
+def test_sketches_bound_what_sets_share():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 3, 60, 900, 40_000):
+        for shared in {0, n // 2, n}:
+            both = rng.integers(0, 1 << 64, shared, dtype=np.uint64)
+            x, y = (np.unique(np.concatenate([both, rng.integers(0, 1 << 64, n - shared + extra, dtype=np.uint64)])) for extra in (0, n // 9))
+            a, b = simhash.sketch(x), simhash.sketch(y)
+            hits = lambda words: int(np.bitwise_count(words.view(np.uint64)).sum())
+            bound = min(len(x) - hits(a), len(y) - hits(b)) + hits(a & b)
+            assert len(np.intersect1d(x, y)) <= bound <= min(len(x), len(y)) and len(a) == simhash.PLACES // 64
