@@ -20,6 +20,7 @@ from ..operators.graph import ready
 from ..sources import schemas
 from ..sources.store import Store, seed, upsert_links
 from ..streaming import ingest as streaming
+from ..streaming import ticks
 from . import ingest, kept, notify, serve
 from .catalogue import _HALF, _LONG, _NEWS, _TOKENS, _event_lines, _WATCH_KEYS, _case, _rules_sql, LN2, NOW, now, query, table
 
@@ -485,6 +486,12 @@ def watch_tick(spark, sf_dir):
     return sent.union(store.read("devices").select(F.lit("device").alias("kind"), F.col("id").alias("device_id"), none.alias("symbol"), none.alias("situation_id")))
 
 
+@query(" UNION ALL ".join(f"SELECT '{name}' AS job, min(ts) AS at FROM events WHERE ts IS NOT NULL GROUP BY time_bucket(INTERVAL {minutes} MINUTE, ts)" for name, minutes in ticks.PERIODS.items()))
+def tick_schedule(spark, sf_dir):
+    """Each event's time as a tick: which of them run which periodic job."""
+    return ticks.due_ticks(table(spark, sf_dir, "events").select(F.col("ts").alias("at")))
+
+
 # Registers, addresses, digests.
 
 

@@ -95,6 +95,7 @@ TABLES = {
 
 #: Views that the engine keeps of the tables above, stored like them.
 KEPT = {
+    "kept_ticks": Table("job string not null, at bigint, error string", ("job",)),
     "kept_keys": Table("situation_id string not null, kind string not null, value string not null", ("situation_id", "kind", "value")),
     "kept_picks": Table(
         "situation_id string not null, headline struct<m: bigint, t: bigint, event_id: string, article_id: string, title: string>, place struct<m: bigint, first_seen_at: timestamp, event_id: string, lat: double, lon: double, geo_name: string, country_iso: string>",
