@@ -1,5 +1,6 @@
 """Operators on small frames with known results."""
 
+import hashlib
 import random
 from datetime import datetime, timedelta
 
@@ -297,3 +298,9 @@ def test_components_of_stars(spark, monkeypatch, hubs):
     kept = graph.forest(df.filter("a is not null").coalesce(1))
     assert kept.count() <= len(edges)
     assert graph.components(df.limit(0)).count() == 0
+
+
+def test_delivery_key_writes_small_values_without_an_exponent(spark):
+    said = {0.25: "0.250000000000000", 0.0: "0.00000000000000", 1e-4: "0.000100000000000000", 5e-5: "0.0000500000000000000", -1.25e-6: "-0.00000125000000000000", 1234.5: "1234.50000000000"}
+    rows = spark.createDataFrame([(v,) for v in said], "v double").select("v", alerts.delivery_key(F.lit("al1"), F.lit("t"), F.col("v")).alias("k"))
+    assert {r["v"]: r["k"] for r in rows.collect()} == {v: hashlib.sha256(f"al1|t|{text}".encode()).hexdigest() for v, text in said.items()}

@@ -28,9 +28,16 @@ def reason(active: Column, fires: Column, last_fired: Column, now: Column, coold
     return F.when(~active, "inactive").when(~F.coalesce(fires, F.lit(False)), "below_threshold").when(F.coalesce(elapsed < cooldown_minutes, F.lit(False)), "cooldown").otherwise("triggered")
 
 
+def fifteen_digits(value: Column) -> Column:
+    """Fifteen significant digits with their zeros, small values without an exponent too (the format turns to one below 0.0001)."""
+    part = F.split(F.format_string("%.14e", value), "e")
+    small = F.concat(F.when(value < 0, "-").otherwise(""), F.lit("0."), F.repeat(F.lit("0"), -part[1].cast("int") - 1), F.regexp_replace(part[0], "[.-]", ""))
+    return F.when((value != 0) & (F.abs(value) < 1e-4), small).otherwise(F.format_string("%.15g", value))
+
+
 def delivery_key(alert_id: Column, fired_at: Column, value: Column) -> Column:
     """Digest of alert, time and value at fifteen significant digits."""
-    return F.sha2(F.concat_ws("|", alert_id, fired_at, F.format_string("%.15g", value)).cast("binary"), 256)
+    return F.sha2(F.concat_ws("|", alert_id, fired_at, fifteen_digits(value)).cast("binary"), 256)
 
 
 def current_values(prices: DataFrame, situations: DataFrame, markets: DataFrame) -> DataFrame:
