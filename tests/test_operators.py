@@ -304,3 +304,32 @@ def test_delivery_key_writes_small_values_without_an_exponent(spark):
     said = {0.25: "0.250000000000000", 0.0: "0.00000000000000", 1e-4: "0.000100000000000000", 5e-5: "0.0000500000000000000", -1.25e-6: "-0.00000125000000000000", 1234.5: "1234.50000000000"}
     rows = spark.createDataFrame([(v,) for v in said], "v double").select("v", alerts.delivery_key(F.lit("al1"), F.lit("t"), F.col("v")).alias("k"))
     assert {r["v"]: r["k"] for r in rows.collect()} == {v: hashlib.sha256(f"al1|t|{text}".encode()).hexdigest() for v, text in said.items()}
+
+
+def test_watches_take_their_first_hits_without_meeting_all_of_them(spark):
+    """Against all pairs, where the first hits of some devices were all sent and times and ids are in different order; pairs looked at stay few."""
+    rng = random.Random(5)
+    stories = [(f"s{n:04d}", "Tanker near Hormuz", C.CATEGORIES[0], None, "active", 1, T0 + timedelta(hours=rng.randrange(500))) for n in range(600)]
+    situations = spark.createDataFrame(stories, "id string, title string, category string, geo_name string, status string, map_rank int, first_seen_at timestamp")
+    hit = {(r["id"], "asset", r["symbol"], "") for r in links.asset_links(situations).collect()} | {(r["id"], "company", r["symbol"], r["exchange"]) for r in links.company_links(situations, C.COMPANY_LIMIT_WATCH).collect()}
+    keys = sorted({k[1:] for k in hit})
+    watches = [(f"d{n}", *keys[(n + i) % len(keys)], T0 + timedelta(hours=rng.randrange(520))) for n in range(200) for i in range(min(2, len(keys)))]
+    seen = {s[0]: s[-1] for s in stories}
+    pairs = [(d, k, s, e, i) for d, k, s, e, at in watches for i, *key in hit if [k, s, e] == key and seen[i] >= at]
+    sent = {p for p in pairs if p[0] in ("d1", "d2") and p[4] < "s0400" or rng.random() < 0.2}
+    want = set()
+    for d in {w[0] for w in watches}:
+        want |= set(sorted((p[4], *p[:4]) for p in pairs if p[0] == d and p not in sent)[: C.MAX_PUSHES])
+    schema = "device_id string, kind string, symbol string, exchange string"
+    table, devices = spark.createDataFrame(sorted(sent), f"{schema}, situation_id string"), spark.createDataFrame([(f"d{n}", "t") for n in range(200)], "id string, apns_token string")
+    looked = []
+
+    def unsent(rows):
+        looked.append(rows.count())
+        return rows.join(table, table.columns, "left_anti")
+
+    watched = spark.createDataFrame(watches, f"{schema}, created_at timestamp")
+    for delivered in (unsent, table):
+        found = alerts.watch_impacts(watched, devices, situations, delivered)
+        assert {(r["situation_id"], *(r[c] for c in schema.replace(" string", "").split(", "))) for r in found.collect()} == want
+    assert len(looked) > 1 and looked[0] <= len(watches) * 2 * C.MAX_PUSHES and sum(looked) * 10 < len(pairs)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
+from .fold import numbered
+from .graph import ready, saved
 from .links import asset_links, company_links
 
 
@@ -85,21 +89,92 @@ def fired_series(observations: DataFrame, minutes: int) -> DataFrame:
     return ordered.mapInPandas(fold, f"key {kinds['key']}, at {kinds['at']}, rn {kinds['rn']}, fired boolean")
 
 
-def watch_impacts(watches: DataFrame, devices: DataFrame, situations: DataFrame, delivered: DataFrame, most: int = C.MAX_PUSHES) -> DataFrame:
+#: Rows that stand together when the first hits of watches are looked up: bounds a group, whatever a target's share.
+BLOCK = 4096
+
+
+def _smallest(rows: DataFrame, k: int) -> DataFrame:
+    """(group, at, ids) of rows that ask: the ``k`` smallest ids of the rows before each in its group.
+
+    rows: group, at, ids (sorted array or null), asks; one that asks and brings ids asks first.
+    A group's rows stream by in order, with ``k`` ids in memory.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, best = None, []
+        for batch in batches:
+            out = []
+            for g, at, ids, asks in zip(*(batch[c].to_pylist() for c in ("group", "at", "ids", "asks")), strict=True):
+                if g != group:
+                    group, best = g, []
+                if asks:
+                    out.append((g, at, best))
+                if ids and (len(best) < k or ids[0] < best[-1]):
+                    best = sorted(best + ids)[:k]
+            types = (pa.string(), pa.int64(), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=["group", "at", "ids"])
+
+    return rows.repartition("group").sortWithinPartitions("group", "at").mapInArrow(scan, "group string, at long, ids array<string>")
+
+
+def _first_hits(line: DataFrame, k: int) -> DataFrame:
+    """(nth, ids) of the questions of ``line``: the ``k`` smallest ids of their target's hits before them.
+
+    line: nth (place from 0 on, a target's rows together), target, id (null: a question).  Blocks of
+    bounded size are summed up by their ``k`` smallest ids; what the blocks before one hold is carried
+    into it, so no task gets all rows of a target, only its blocks' sums.
+    """
+    line = line.withColumn("block", F.floor(F.col("nth") / BLOCK))
+    nth = F.row_number().over(W.partitionBy("block", "target").orderBy(F.asc_nulls_last("id")))
+    ends = line.withColumn("_n", nth).filter(F.col("_n") <= k).groupBy("target", "block").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    carried = _smallest(ends.select(F.col("target").alias("group"), F.col("block").alias("at"), "ids", F.lit(True).alias("asks")), k)
+    group = F.concat_ws("|", "block", "target").alias("group")
+    inside = line.select(group, F.col("nth").alias("at"), F.when(F.col("id").isNotNull(), F.array("id")).alias("ids"), F.col("id").isNull().alias("asks"))
+    ahead = carried.select(F.concat_ws("|", "at", "group").alias("group"), F.lit(-1).cast("long").alias("at"), "ids", F.lit(False).alias("asks"))
+    return _smallest(inside.unionByName(ahead), k).select(F.col("at").alias("nth"), "ids")
+
+
+def _fresh(watches: DataFrame, hits: DataFrame, sent: Callable[[DataFrame], DataFrame], most: int) -> DataFrame:
+    """(device_id, kind, symbol, exchange, situation_id): the first ``most`` unsent hits of each watch at least, in the order of their ids.
+
+    Watches never meet all hits of their target: each takes its first few, and only those that had too
+    many of them sent already come again for four times as many.
+    """
+    target, own = F.to_json(F.array("kind", "symbol", "exchange")).alias("target"), ["device_id", "kind", "symbol", "exchange"]
+    todo = saved(watches.filter("kind is not null and symbol is not null and exchange is not null and created_at is not null").select(*own, target, F.col("created_at").alias("at")))
+    new = hits.filter("first_seen_at is not null").select(target, F.col("first_seen_at").alias("at"), "id")
+    asked = todo.select("target", "at").distinct().withColumn("id", F.lit(None).cast("string"))
+    line = saved(numbered(new.unionByName(asked), "target", F.desc("at"), F.col("id").isNull()))
+    k, out = 2 * most, []
+    while True:
+        places = line.filter("id is null").join(todo.select("target", "at").distinct(), ["target", "at"], "left_semi")
+        found = saved(_first_hits(line.filter("id is not null").unionByName(places), k).join(places.select("nth", "target", "at"), "nth").select("target", "at", "ids"))
+        pairs = todo.join(found, ["target", "at"]).select(*own, (F.size("ids") == k).alias("more"), F.explode("ids").alias("situation_id"))
+        fresh = saved(sent(pairs))
+        enough = fresh.groupBy(*own).agg(F.count("*").alias("n")).filter(F.col("n") >= most)
+        short = saved(todo.join(found.filter(F.size("ids") == k), ["target", "at"]).join(enough, own, "left_anti").select(todo.columns))
+        out.append(fresh.drop("more"))
+        if short.isEmpty():
+            return reduce(DataFrame.unionByName, out)
+        out[-1] = out[-1].join(short, own, "left_anti")
+        todo, k = short, 4 * k
+
+
+def watch_impacts(watches: DataFrame, devices: DataFrame, situations: DataFrame, delivered: DataFrame | Callable[[DataFrame], DataFrame], most: int = C.MAX_PUSHES) -> DataFrame:
     """Pushes to send: watched names that visible situations link to, not older than the watch, not yet sent.
 
-    At most ``most`` a device and run; the rest stay unsent and come with a later run.
+    At most ``most`` a device and run; the rest stay unsent and come with a later run.  ``delivered``
+    is the table of what was sent, or leaves the unsent ones of (device_id, kind, symbol, exchange, situation_id).
     """
+    ready(watches.sparkSession)
     shown = situations.filter("status = 'active' and map_rank is not null")
     named = company_links(shown, C.COMPANY_LIMIT_WATCH).select("id", F.lit("company").alias("kind"), "symbol", "exchange")
     named = named.unionByName(asset_links(shown).select("id", F.lit("asset").alias("kind"), "symbol", F.lit("").alias("exchange")))
     hits = named.join(shown.select("id", "first_seen_at"), "id")
-    target, own = ["kind", "symbol", "exchange"], ["device_id", "kind", "symbol", "exchange"]
+    own = ["device_id", "kind", "symbol", "exchange"]
     known = devices.select(F.col("id").alias("device_id"), "apns_token")
-    # Watches meet the hits of their target; what is older or was sent goes before the window,
-    # whose group limit keeps ``most`` rows a device in every task ahead of its shuffle.
-    rows = watches.join(known.select("device_id"), "device_id", "left_semi").join(hits, target).filter(F.col("first_seen_at") >= F.col("created_at"))
-    fresh = rows.select(*own, F.col("id").alias("situation_id")).join(delivered.select(*own, "situation_id"), [*own, "situation_id"], "left_anti")
+    sent = delivered if callable(delivered) else lambda pairs: pairs.join(delivered.select(*own, "situation_id"), [*own, "situation_id"], "left_anti")
+    fresh = _fresh(watches.join(known.select("device_id"), "device_id", "left_semi"), hits, sent, most)
     nth = F.row_number().over(W.partitionBy("device_id").orderBy("situation_id", "kind", "symbol", "exchange"))
     few = fresh.withColumn("nth", nth).filter(F.col("nth") <= most)
     names = F.create_map(*[F.lit(x) for s, v in C.COMPANIES.items() for x in (f"company|{s}", v[0])], *[F.lit(x) for s, v in C.WATCHABLE_ASSETS.items() for x in (f"asset|{s}", v)])
