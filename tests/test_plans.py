@@ -281,3 +281,25 @@ def test_quotes_and_seeds(spark, served):
     assert schemas.violations(served.read("sources"), "sources").count() == 0
 
 
+def test_receipts_of_many_groups_lie_in_few_files(tmp_path):
+    from types import SimpleNamespace
+
+    import pyspark
+    from tidewatch.sources import files, push
+
+    class Dead5:
+        def send(self, token, payload):
+            if token.endswith("5"):
+                raise push.SendError(410, "Unregistered")
+
+    rows = [pyspark.sql.Row(key=f"k{n}", device=f"d{n}", token=f"t{n}", payload="{}") for n in range(50 * push.GROUP)]
+    was, push.TaskContext = push.TaskContext, SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0, taskAttemptId=lambda: 7))
+    try:
+        writer = push.PushWriter(str(tmp_path), Dead5(), 0)
+        assert writer.write(iter(rows)).rows == len(rows)
+        assert writer.write(iter(rows)).rows == 0  # a second try finds all receipts
+    finally:
+        push.TaskContext = was
+    found = files.listed(f"{tmp_path}/receipts", "p")
+    lines = [line for path in found for line in files.read_text(path).splitlines()]
+    assert len(found) == 1 and len(lines) == len(rows) and sum(push.GONE in line for line in lines) == len(rows) // 10

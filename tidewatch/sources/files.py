@@ -40,3 +40,8 @@ def put_text(path: str, text: str) -> None:
     with store.open_output_stream(aside) as file:
         file.write(text.encode())
     store.move(aside, inner)
+
+
+def remove(path: str) -> None:
+    store, inner = opened(path)
+    store.delete_file(inner)

@@ -1,7 +1,8 @@
 """Pushes as a sink with receipts: each task sends its rows and notes what came of them.
 
 A task takes its rows in groups.  A group's intent is written, the group is sent, then
-its receipts are put in place in one move.  A task that is started again passes over
+its receipts are put in place in one move.  Many groups' receipts are then put together
+in one file, and only after that the groups' own files go.  A task that is started again passes over
 keys that have a receipt, so a lost worker repeats the open group at most; the job's
 commit says that all rows were tried.  Receipts stay as files: no row and no key goes
 through the driver.
@@ -23,6 +24,8 @@ from . import files
 
 #: Rows that a lost worker may send again.
 GROUP = 20
+#: Groups whose receipts are put together in one file, so that recording a tick reads few of them.
+TOGETHER = 1_000
 RETRIES, PAUSE_SECONDS = 3, 0.25
 DEAD = ("BadDeviceToken", "Unregistered")
 SENT, GONE, FAILED = "sent", "dead", "failed"
@@ -75,7 +78,7 @@ class PushWriter(DataSourceWriter):
         context = TaskContext.get()
         name = f"p{context.partitionId():06d}"
         done = {json.loads(line)["key"] for path in files.listed(f"{self.folder}/receipts", f"{name}-") for line in files.read_text(path).splitlines()}
-        dead, n, tried = None, 0, 0
+        dead, n, tried, whole = None, 0, 0, {}  # whole: receipts of groups whose files are to be put together
         todo = (row for row in iterator if row["key"] not in done)
         while group := list(islice(todo, GROUP)):
             stamp = f"{name}-{context.taskAttemptId()}-{n:06d}.json"
@@ -86,9 +89,23 @@ class PushWriter(DataSourceWriter):
                 dead = row["device"] if outcome == GONE else dead
                 receipts.append(json.dumps({"key": row["key"], "outcome": outcome}))
             files.put_text(f"{self.folder}/receipts/{stamp}", "\n".join(receipts))
+            whole[stamp] = receipts
             n, tried = n + 1, tried + len(group)
+            if len(whole) == TOGETHER:
+                whole = self._together(whole)
+        self._together(whole)
         return Tried(tried)
 
+    def _together(self, whole: dict[str, list[str]]) -> dict:
+        """One file for the receipts of many groups; none left over."""
+        if len(whole) > 1:
+            last = list(whole)[-1]
+            files.put_text(f"{self.folder}/receipts/{last.removesuffix('.json')}-all.json", "\n".join(line for lines in whole.values() for line in lines))
+            for stamp in whole:
+                files.remove(f"{self.folder}/receipts/{stamp}")
+                files.remove(f"{self.folder}/intents/{stamp}")
+        return {}
+
     def commit(self, messages: list) -> None:
         """All rows were tried: one number of rows a task."""
         files.put_text(f"{self.folder}/tried.json", json.dumps([m.rows for m in messages if m is not None]))
