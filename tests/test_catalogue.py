@@ -50,3 +50,16 @@ def test_query(spark, duck, name):
     names = [d[0] for d in cursor.description]
     assert sorted(names) == sorted(df.columns)
     assert found == rows(names, cursor.fetchall())
+
+
+def test_article_titles_with_entities(spark, tmp_path):
+    heads = ["token = &quot;73ab&quot;", "Bread &amp; butter", "A &amp;quot;B&amp;quot; story", "&amp;amp; and &amp;lt; &lt;", "Caf&#233; &#x41; &#39;it&apos;s", "a &amp;#39; b &amp;#65; c"]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    db.executemany("INSERT INTO pages VALUES (?, ?, ?)", [(n, f"https://a.org/{n}", f"<html><title>{h}</title>") for n, h in enumerate(heads)])
+    db.execute(f"COPY pages TO '{tmp_path}/pages.parquet'")
+    df = catalogue.queries()["feed_article_titles"](spark, str(tmp_path))
+    cursor = db.execute(catalogue.oracle_sql()["feed_article_titles"])
+    names = [d[0] for d in cursor.description]
+    want = rows(names, cursor.fetchall())
+    assert len(want) == len(heads) and rows(df.columns, [tuple(r) for r in df.collect()]) == want
