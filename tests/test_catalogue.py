@@ -63,3 +63,16 @@ def test_article_titles_with_entities(spark, tmp_path):
     names = [d[0] for d in cursor.description]
     want = rows(names, cursor.fetchall())
     assert len(want) == len(heads) and rows(df.columns, [tuple(r) for r in df.collect()]) == want
+
+
+def test_alert_tick_with_amounts_of_cents(spark, tmp_path):
+    """Scores below 0.0001 are part of what a delivery's digest says."""
+    db = duckdb.connect()
+    for path in Path(SF).glob("*.parquet"):
+        columns = "* REPLACE (c_custkey % 9 / 100.0 AS c_acctbal)" if path.stem == "customer" else "*"
+        db.execute(f"COPY (SELECT {columns} FROM '{path}') TO '{tmp_path}/{path.name}'")
+        db.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{tmp_path}/{path.name}'")
+    df = catalogue.queries()["alert_tick"](spark, str(tmp_path))
+    cursor = db.execute(catalogue.oracle_sql()["alert_tick"])
+    names = [d[0] for d in cursor.description]
+    assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(names, cursor.fetchall())
