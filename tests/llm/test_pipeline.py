@@ -39,3 +39,24 @@ def test_registered():
     assert "pipeline" in names
     for n in range(1, 11):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
+
+
+def test_batches_give_memory_back():
+    """What a batch left free between live objects doesn't stay with a worker that waits."""
+    import re
+    from pathlib import Path
+
+    import pyarrow as pa
+
+    from tidewatch.llm.tokens import slices
+
+    def anonymous() -> float:
+        return int(re.search(r"\nAnonymous:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+    blocks = [bytes(2000) for _ in range(100_000)]
+    live = blocks[::1000]
+    full = anonymous()
+    del blocks
+    for _ in slices(pa.record_batch({"text": ["a", None]}), "text"):
+        pass
+    assert len(live) == 100 and full - anonymous() > 120
