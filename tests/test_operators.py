@@ -306,6 +306,13 @@ def test_delivery_key_writes_small_values_without_an_exponent(spark):
     assert {r["v"]: r["k"] for r in rows.collect()} == {v: hashlib.sha256(f"al1|t|{text}".encode()).hexdigest() for v, text in said.items()}
 
 
+def test_delivery_key_rounds_the_number_not_its_shortest_text(spark):
+    """Sixteen digits that end in a five, the number itself below the middle: SQL and toPrecision round down."""
+    said = {3.073211178125135: "3.07321117812513", 6.275265885374805: "6.27526588537480", 0.0005644468332401975: "0.000564446833240197", 9.014274576114835e-07: "0.000000901427457611483", -0.0: "0.00000000000000"}
+    rows = spark.createDataFrame([(v,) for v in [*said, None]], "v double").select("v", alerts.fifteen_digits(F.col("v")).alias("d"))
+    assert {r["v"]: r["d"] for r in rows.collect()} == said | {None: None}
+
+
 def test_watches_take_their_first_hits_without_meeting_all_of_them(spark):
     """Against all pairs, where the first hits of some devices were all sent and times and ids are in different order; pairs looked at stay few."""
     rng = random.Random(5)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -33,10 +34,23 @@ def reason(active: Column, fires: Column, last_fired: Column, now: Column, coold
 
 
 def fifteen_digits(value: Column) -> Column:
-    """Fifteen significant digits with their zeros, small values without an exponent too (the format turns to one below 0.0001)."""
-    part = F.split(F.format_string("%.14e", value), "e")
-    small = F.concat(F.when(value < 0, "-").otherwise(""), F.lit("0."), F.repeat(F.lit("0"), -part[1].cast("int") - 1), F.regexp_replace(part[0], "[.-]", ""))
-    return F.when((value != 0) & (F.abs(value) < 1e-4), small).otherwise(F.format_string("%.15g", value))
+    """Fifteen significant digits with their zeros, rounded from the number itself, small values without an exponent too.
+
+    The built-in formats round the shortest decimal text that reads back as the number, so one that
+    ends in a sixteenth digit of five goes up although the number lies below the middle.
+    """
+
+    def said(x: float | None) -> str | None:
+        if x is None:
+            return None
+        if not math.isfinite(x):
+            return "NaN" if x != x else "Infinity" if x > 0 else "-Infinity"
+        x = x or 0.0  # no sign of zero
+        short = f"{x:.14e}"
+        exponent = int(short.split("e")[1])
+        return short if exponent > 14 else f"{x:.{14 - exponent}f}"
+
+    return F.udf(said, "string", useArrow=True)(value.cast("double"))
 
 
 def delivery_key(alert_id: Column, fired_at: Column, value: Column) -> Column:
