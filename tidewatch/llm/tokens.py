@@ -32,10 +32,21 @@ GROUP_CHARS, GROUP_ROWS = 4_000_000, 1024
 
 #: The byte-level split of text into words, numbers, signs and blanks (fixed value).
 WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The split of a word-end vocabulary, after white space became spaces and letters small (fixed value).
+WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Two signs side by side (marks on letters count as signs here, and so do U+001C to U+001F, which are no white space to the library).
 SIGNS = re.compile(r"(?:[^\w\s]|[\x1c-\x1f]){2}|_")
 
 
+_SIGN = bytes(95 if chr(b) == "_" else 33 if SIGNS.match(chr(b) * 2) else 120 for b in range(128)) + bytes(128)
+
+
+def two_signs(text: str) -> bool:
+    """What ``SIGNS`` finds, of ASCII text."""
+    kinds = text.encode().translate(_SIGN)
+    return b"!!" in kinds or b"_" in kinds
+
+
 def byte_letters() -> dict[str, int]:
     """A byte-level vocabulary's letter for each byte: itself if printable, else the next code point from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -62,6 +73,7 @@ class PieceEncoder:
         self.mark_text = "<|endoftext|>"
         self.mark = self.library.token_to_id(self.mark_text)
         self.ranked = self._ranked(path) if spaced else None
+        self.worded, self.ends = (None, None) if spaced else self._worded(path)
         self.line_end = self.ranked.encode_single_token("\n") if self.ranked else None
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -87,6 +99,46 @@ class PieceEncoder:
         ranks = {bytes(map(letters.__getitem__, t)): i for t, i in vocab.items() if i < 256 + len(merges)}
         return tiktoken.Encoding("ranks", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
+    def _worded(self, path: str):
+        """A ``tiktoken`` encoding of words of ASCII letters for a word-end file, and which ids end a word; or two Nones.
+
+        A zero byte stands for the word's end.  Its pairs with a last letter have the least ranks, so they
+        are joined first; then the merges follow in their order.
+        """
+        try:
+            import tiktoken
+        except ImportError:
+            return None, None
+        with open(path, encoding="utf-8") as file:
+            whole = json.load(file)
+        model, letters = whole["model"], byte_letters()
+        vocab, end = model["vocab"], model.get("end_of_word_suffix")
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        splits = [s["pattern"].get("Regex", "") for s in (whole["pre_tokenizer"] or {}).get("pretokenizers", []) if s["type"] == "Split"]
+        if end != "</w>" or splits != [WORD_SPLIT] or model.get("ignore_merges") or {"type": "Lowercase"} not in (whole["normalizer"] or {}).get("normalizers", []):
+            return None, None
+        if sorted(vocab[c] for c in letters) != [*range(256)] or sorted(vocab[c + end] for c in letters) != [*range(256, 512)] or any(vocab[a + b] != 512 + n for n, (a, b) in enumerate(merges)):
+            return None, None
+        known = [(t, i) for t, i in vocab.items() if i < 512 + len(merges)]
+        ranks = {bytes(map(letters.__getitem__, t.removesuffix(end))) + b"\0" * t.endswith(end): i for t, i in known}
+        if len(ranks) != len(known):
+            return None, None
+        ends = np.zeros(512 + len(merges), bool)
+        ends[[i for t, i in known if t.endswith(end)]] = True
+        return tiktoken.Encoding("words", pat_str="[a-z]+\0", mergeable_ranks=ranks, special_tokens={}), ends
+
+    def _by_word(self, words: list[str]) -> list[bytes]:
+        """ids of words of small ASCII letters."""
+        out: list[bytes] = []
+        for start in range(0, len(words), 4096):
+            some = words[start : start + 4096]
+            ids = np.array(self.worded.encode_ordinary("\0".join([*some, ""])), self.code)
+            cuts, raw = [0, *((np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize).tolist()], ids.tobytes()
+            if len(cuts) != len(some) + 1:
+                raise ValueError("a word has no end")
+            out += [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return out
+
     def _by_rank(self, pieces: list[str]) -> list[bytes]:
         """The same for pieces without line ends, which stand between them in one call."""
         out: list[bytes] = []
@@ -116,6 +168,15 @@ class PieceEncoder:
             found, apart = dict(zip(alone, self._whole([lead + pieces[i] for i in alone]), strict=True)), set(alone)
             rest = iter(self._by_rank([p for i, p in enumerate(pieces) if i not in apart]))
             return [found[i] if i in found else next(rest) for i in range(len(pieces))]
+        if self.worded is not None:
+            words = [p for p in pieces if len(p) <= LONGEST_REMEMBERED and p.isascii() and p.isalpha()]
+            found = dict(zip(words, self._by_word([p.lower() for p in words]), strict=True))
+            if rest := [p for p in pieces if p not in found]:
+                found.update(zip(rest, self._by_library(rest, lead), strict=True))
+            return [found[p] for p in pieces]
+        return self._by_library(pieces, lead)
+
+    def _by_library(self, pieces: list[str], lead: str) -> list[bytes]:
         if self.mark is None:
             return self._whole([lead + p for p in pieces])
         alone = [i for i, p in enumerate(pieces) if self.mark_text[:2] in p or len(p) > LONGEST_REMEMBERED]
@@ -142,7 +203,7 @@ class PieceEncoder:
         small = text.lower()
         if "<|" not in text and "\u03a3" not in text and (text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", small)):
             text = small
-            if not SIGNS.search(text):  # every sign stands alone, so it is a token of its own wherever it is
+            if not (two_signs(text) if text.isascii() else SIGNS.search(text)):  # every sign stands alone, so it is a token of its own wherever it is
                 text = text.replace(".", " . ").replace(",", " , ")
         return text.replace("\n", " ").split(" ")
 
@@ -152,6 +213,10 @@ class PieceEncoder:
 
     def group(self, texts: list[str]) -> list[bytes]:
         """ids of each text of a bounded group."""
+        return self._cut(texts)
+
+    def _cut(self, texts: list[str]) -> list[bytes]:
+        """The same by pieces of the texts."""
         if self.spaced:
             # The first piece has no space before it: it is looked up under a key of its own.
             pieces = [t.split(" ") for t in texts]
