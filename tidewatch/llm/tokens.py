@@ -3,8 +3,9 @@
 A text is cut where that cannot change its ids, and each distinct piece is
 encoded once per worker; a bounded two-generation memory keeps the ids of
 frequent pieces.  Texts that cannot be cut safely go to the library whole.
-Byte-level files whose ids are their merge ranks let ``tiktoken`` encode the
-pieces, which gives the same ids sooner.
+Byte-level files whose ids are their merge ranks let ``tiktoken`` encode whole
+texts, which gives the same ids sooner and remembers nothing; only texts that
+may hold a special token or have very long runs are cut into pieces.
 """
 
 from __future__ import annotations
@@ -27,6 +28,10 @@ import pyarrow.compute as pc
 REMEMBERED = 350_000
 #: Longer pieces are encoded each time, so that memory stays bounded.
 LONGEST_REMEMBERED = 48
+#: A text with a longer run of bytes without ASCII white space, or of it alone, is not encoded whole: the work on a run may grow with its square.
+LONGEST_RUN = 1_000
+KINDS = bytes(32 if b == 32 or 9 <= b <= 13 else 120 for b in range(256))
+LONG_BLANK, LONG_WORD = b" " * LONGEST_RUN, b"x" * LONGEST_RUN
 #: Texts are handled in groups of at most so many characters or rows.
 GROUP_CHARS, GROUP_ROWS = 4_000_000, 1024
 
@@ -139,6 +144,13 @@ class PieceEncoder:
             out += [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
         return out
 
+    def _plain(self, text: str) -> bool:
+        """True if ``tiktoken`` may encode ``text`` at once: no special token can stand there, and no run is long."""
+        if "<|" in text:
+            return False
+        kinds = text.encode().translate(KINDS)
+        return LONG_BLANK not in kinds and LONG_WORD not in kinds
+
     def _by_rank(self, pieces: list[str]) -> list[bytes]:
         """The same for pieces without line ends, which stand between them in one call."""
         out: list[bytes] = []
@@ -213,7 +225,13 @@ class PieceEncoder:
 
     def group(self, texts: list[str]) -> list[bytes]:
         """ids of each text of a bounded group."""
-        return self._cut(texts)
+        if self.ranked is None:
+            return self._cut(texts)
+        out = [self._bytes(self.ranked.encode_ordinary(t)) if self._plain(t) else None for t in texts]
+        if rest := [t for t, ids in zip(texts, out, strict=True) if ids is None]:
+            found = iter(self._cut(rest))
+            out = [next(found) if ids is None else ids for ids in out]
+        return out
 
     def _cut(self, texts: list[str]) -> list[bytes]:
         """The same by pieces of the texts."""
