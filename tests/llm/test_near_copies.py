@@ -136,3 +136,17 @@ def test_sketches_bound_what_sets_share():
             hits = lambda words: int(np.bitwise_count(words.view(np.uint64)).sum())
             bound = min(len(x) - hits(a), len(y) - hits(b)) + hits(a & b)
             assert len(np.intersect1d(x, y)) <= bound <= min(len(x), len(y)) and len(a) == simhash.PLACES // 64
+
+
+def test_parities_bound_what_one_set_has_alone():
+    rng = np.random.default_rng(7)
+    odd = lambda x: simhash.parities(x).view(np.uint64)
+    told = 0
+    for n in (0, 1, 3, 60, 300, 5_000):
+        for shared in {0, n // 2, n}:
+            both = rng.integers(0, 1 << 64, shared, dtype=np.uint64)
+            x, y = (np.unique(np.concatenate([both, rng.integers(0, 1 << 64, n - shared + extra, dtype=np.uint64)])) for extra in (0, n // 9))
+            apart = int(np.bitwise_count(odd(x) ^ odd(y)).sum())
+            assert apart <= len(np.setxor1d(x, y)) and len(odd(x)) == len(simhash.ODD)
+            told += apart > len(x) + len(y) - 2 * -(-4 * (len(x) + len(y)) // 9)  # not alike, by parities alone
+    assert told >= 4

@@ -89,6 +89,8 @@ ENOUGH = 2
 MEMBERS = 1024
 #: Bits of a set's sketch.
 PLACES = 4096
+#: Words of 64 bits of a set's parities, which ride along with its keys.
+ODD = [f"odd{k}" for k in range(4)]
 
 
 def shingles(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
@@ -342,8 +344,18 @@ def _keys(whole: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarr
     return whole[np.lexsort((whole, often))][: n - need + min(DEPTH, need)]
 
 
+def parities(whole: np.ndarray) -> np.ndarray:
+    """Whether each of equal parts of the hashes holds an odd number of a set's shingles, as signed 64-bit words.
+
+    Two sets' parities differ in no more bits than there are shingles that one set alone has.
+    """
+    places = 64 * len(ODD)
+    n = np.bincount((whole >> np.uint64(64 - places.bit_length() + 1)).astype(np.int64), minlength=places)
+    return np.packbits((n & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def sets(docs: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
-    """(doc_id, print, node, n, fp) of every row with a doc_id: node names its set of n shingles, print its text."""
+    """(doc_id, print, node, n, fp, parities) of every row with a doc_id: node names its set of n shingles, print its text."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -351,10 +363,11 @@ def sets(docs: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
                 hashes = [shingles(t, shingle) for t in rows["text"].to_pylist()]
                 whole = [np.unique(h) for h in hashes]
                 found = np.fromiter(map(voted, hashes), np.uint64, len(hashes))
-                columns = [rows["doc_id"], rows["print"], pa.array([_named(w) for w in whole], pa.int64()), pa.array([len(w) for w in whole], pa.int64()), pa.array(found.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "print", "node", "n", "fp"])
+                odd = np.array([parities(w) for w in whole], np.int64).reshape(len(whole), len(ODD))
+                columns = [rows["doc_id"], rows["print"], pa.array([_named(w) for w in whole], pa.int64()), pa.array([len(w) for w in whole], pa.int64()), pa.array(found.view(np.int64)), *[pa.array(odd[:, k]) for k in range(len(ODD))]]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "print", "node", "n", "fp", *ODD])
 
-    return _texts(docs).mapInArrow(of, "doc_id long, print long, node long, n long, fp long")
+    return _texts(docs).mapInArrow(of, ", ".join(f"{c} long" for c in ["doc_id", "print", "node", "n", "fp", *ODD]))
 
 
 def keyed(docs: DataFrame, nodes: DataFrame, shingle: int = NEAR_SHINGLE) -> DataFrame:
@@ -430,7 +443,8 @@ def sharing(docs: DataFrame, nodes: DataFrame, known: DataFrame, shingle: int =
     A prefix filter in two orders.  Sets that are alike share so many keys, ``least``, that in any common order of
     the keys the first ``ENOUGH`` shared ones lie within ``size - least + ENOUGH`` places of both.  That second order is by how many
     sets hold a key, counted over all of them; keys of one class alone, which make no pair, come first and only take up places.
-    So a key that many sets hold joins only sets that have few others.
+    So a key that many sets hold joins only sets that have few others, and of these only such as their parities
+    let be alike: they bound from below how many shingles either set has alone.
     """
     classed = nodes.join(known.select(F.col("x").alias("node"), F.col("y").alias("class")), "node", "left")
     classed = classed.select("node", "n", "doc_id", "print", F.coalesce("class", "node").alias("class"))
@@ -444,12 +458,13 @@ def sharing(docs: DataFrame, nodes: DataFrame, known: DataFrame, shingle: int =
     # Whatever its partner, a set shares ``DEPTH`` keys (or all that it needs): places beyond serve nobody.
     lowest = F.least(F.lit(DEPTH), F.ceil(F.col("n") * over / under_))
     placed = rows.withColumn("at", place).filter(F.col("at") - F.col("size") < F.least(F.lit(ENOUGH), lowest) - lowest)
-    placed = written(placed.drop("holders"), "simhash-places")
-    a, b = (placed.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "class", "size", "at")]) for s in "xy")
+    placed = written(placed.drop("holders").join(nodes.select("node", *ODD), "node"), "simhash-places")
+    a, b = (placed.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "class", "size", "at", *ODD)]) for s in "xy")
     shared = F.ceil((F.col("n_x") + F.col("n_y")) * over / (over + under_))
     least = F.greatest(F.lit(1), shared - F.greatest(F.col("n_x") - F.col("size_x"), F.col("n_y") - F.col("size_y")))
     within = F.greatest(F.col("at_x") - F.col("size_x"), F.col("at_y") - F.col("size_y")) < F.least(F.lit(ENOUGH), least) - least
-    may = (F.col("node_x") > F.col("node_y")) & (F.col("class_x") != F.col("class_y")) & (F.least("n_x", "n_y") >= shared) & within
+    apart = sum(F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) for c in ODD)
+    may = (F.col("node_x") > F.col("node_y")) & (F.col("class_x") != F.col("class_y")) & (F.least("n_x", "n_y") >= shared) & within & (apart <= F.col("n_x") + F.col("n_y") - 2 * shared)
     met = a.join(b, "key").filter(may).groupBy(F.col("node_x").alias("x"), F.col("node_y").alias("y")).agg(F.count("*").alias("keys"), F.min(F.least(F.lit(ENOUGH), least)).alias("enough"))
     return met.filter("keys >= enough").select("x", "y")
 
@@ -461,7 +476,7 @@ def near_classes(docs: DataFrame, blocks: Blocks = NEAR, shingle: int = NEAR_SHI
     that may be alike and lie in different classes by then are found by their rarest shingles.
     """
     rows = written(sets(docs, shingle), "simhash-sets")
-    nodes = written(rows.groupBy("node").agg(F.min(F.struct("doc_id", "print")).alias("s"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n", "fp")]).select("node", "s.*", "copies", "n", "fp"), "simhash-nodes")
+    nodes = written(rows.groupBy("node").agg(F.min(F.struct("doc_id", "print")).alias("s"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n", "fp", *ODD)]).select("node", "s.*", "copies", "n", "fp", *ODD), "simhash-nodes")
     prints = written(nodes.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("sets")), "simhash-prints")
     same = met(nodes, prints, ["fp"], "sets").filter("node != first").select(F.col("node").alias("x"), F.col("first").alias("y"))
     links = verified(docs, nodes, stars(prints.select("fp", F.col("first").alias("node")), blocks).union(same), shingle)
