@@ -90,7 +90,7 @@ MEMBERS = 1024
 #: Bits of a set's sketch.
 PLACES = 4096
 #: Words of 64 bits of a set's parities, which ride along with its keys.
-ODD = [f"odd{k}" for k in range(4)]
+ODD = [f"odd{k}" for k in range(16)]
 
 
 def shingles(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
