@@ -303,3 +303,16 @@ def test_receipts_of_many_groups_lie_in_few_files(tmp_path):
     found = files.listed(f"{tmp_path}/receipts", "p")
     lines = [line for path in found for line in files.read_text(path).splitlines()]
     assert len(found) == 1 and len(lines) == len(rows) and sum(push.GONE in line for line in lines) == len(rows) // 10
+
+
+def test_batches_are_not_worked_out_twice(spark, monkeypatch):
+    """An eager checkpoint runs its plan twice; a batch stores its steps as files, once."""
+    from tidewatch.plans import catalogue, stored
+
+    assert stored.FIXTURE
+
+    def twice(self, *_):
+        raise AssertionError("checkpoint")
+
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", twice)
+    assert catalogue.queries()["stream_ingest"](spark, "/root/testdata/sf0.001").count()
